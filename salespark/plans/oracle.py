@@ -55,9 +55,11 @@ tagged AS (
     coalesce(sale_id, 'N/A') AS sale_id,
     coalesce(user_id, 'N/A') AS user_id,
     product_id,
-    CASE WHEN error_reason = 'missing_field' THEN coalesce(quantity, 0) ELSE quantity END AS quantity,
-    CASE WHEN error_reason = 'missing_field' THEN coalesce(unit_price, 0) ELSE unit_price END AS unit_price,
-    CASE WHEN error_reason = 'missing_field' THEN coalesce(total_amount, 0) ELSE total_amount END AS total_amount,
+    CAST(CASE WHEN error_reason = 'missing_field' THEN coalesce(quantity, 0) ELSE quantity END AS INTEGER) AS quantity,
+    CAST(CASE WHEN error_reason = 'missing_field' THEN coalesce(unit_price, 0) ELSE unit_price END
+         AS DECIMAL(10,2)) AS unit_price,
+    CAST(CASE WHEN error_reason = 'missing_field' THEN coalesce(total_amount, 0) ELSE total_amount END
+         AS DECIMAL(12,2)) AS total_amount,
     CASE WHEN error_reason = 'missing_field' THEN coalesce(event_timestamp, 'N/A') ELSE event_timestamp END
       AS event_timestamp,
     error_reason,

@@ -142,7 +142,7 @@ SELECT ingest_key,
        ELSE array_to_string(list_sort(list_concat(
               list_filter(['sale_id', 'user_id', 'product_id', 'quantity', 'unit_price',
                            'total_amount', 'event_timestamp'],
-                          k -> CASE k WHEN 'sale_id' THEN sale_id IS NOT NULL
+                          lambda k: CASE k WHEN 'sale_id' THEN sale_id IS NOT NULL
                                       WHEN 'user_id' THEN user_id IS NOT NULL
                                       WHEN 'product_id' THEN product_id IS NOT NULL
                                       WHEN 'quantity' THEN quantity IS NOT NULL

@@ -93,8 +93,8 @@ def catalog_rows() -> list[dict]:
 def date_series(start, end) -> F.Column:
     """``GENERATE_SERIES(start, end, '1 day')`` as an exploded column; both
     ends included.  ``start`` / ``end`` are date columns or literals."""
-    s = F.to_date(start) if not isinstance(start, F.Column) else start
-    e = F.to_date(end) if not isinstance(end, F.Column) else end
+    s = F.to_date(start if isinstance(start, F.Column) else F.lit(start))
+    e = F.to_date(end if isinstance(end, F.Column) else F.lit(end))
     return F.explode(F.sequence(s, e, F.expr("INTERVAL 1 DAY")))
 
 
@@ -115,7 +115,7 @@ def calendar(days: DataFrame, col: str = "d") -> DataFrame:
 def dim_date(spark: SparkSession, start: str = SEED_DATE_START,
              end: str = SEED_DATE_END) -> DataFrame:
     """dim_date for a fixed range (the seed uses 2025-01-01 .. 2026-12-31)."""
-    days = spark.range(1).select(date_series(F.lit(start), F.lit(end)).alias("d"))
+    days = spark.range(1).select(date_series(start, end).alias("d"))
     return calendar(days)
 
 
