@@ -82,3 +82,25 @@ def minute_bucket(ts: Column | str) -> Column:
     seconds (with their fraction) is zone-free."""
     t = _c(ts)
     return t - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), t))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+_MICROS_PER_DAY = 86_400_000_000
+
+
+def ntz_to_instant(ts: Column | str) -> Column:
+    """Wall clock (TIMESTAMP_NTZ) read as UTC -> TIMESTAMP, without the session
+    zone (a watermark needs a zoned TIMESTAMP column)."""
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.to_date(F.lit("1970-01-01"))).cast("bigint")
+    secs = F.hour(t) * 3600 + F.minute(t) * 60 + F.extract(F.lit("SECOND"), t)
+    return F.timestamp_micros(days * _MICROS_PER_DAY + (secs * 1_000_000).cast("bigint"))
+
+
+def instant_to_ntz(ts: Column | str) -> Column:
+    """Inverse of ``ntz_to_instant``: UTC wall clock of an instant as NTZ."""
+    micros = F.unix_micros(_c(ts))
+    days = F.floor(micros / _MICROS_PER_DAY).cast("int")
+    rest = (micros - days.cast("bigint") * _MICROS_PER_DAY).cast("decimal(18,0)") / 1_000_000
+    return (F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+            + F.make_dt_interval(days=days, secs=rest.cast("decimal(18,6)")))

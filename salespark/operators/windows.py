@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespark.functions import money as M
+from salespark.functions import time as TS
 from salespark.schemas import MONEY_SUM
 
 # Window length and slide of the aggregation job.
@@ -26,16 +27,22 @@ WINDOW_SLIDE = "10 seconds"
 
 def window_stats(valid: DataFrame, time_col: str, length: str = WINDOW_LENGTH,
                  slide: str = WINDOW_SLIDE, watermark: str | None = None) -> DataFrame:
-    df = valid
+    df, t = valid, time_col
     if watermark is not None:
-        df = df.withWatermark(time_col, watermark)
-    agg = (df.groupBy(F.window(time_col, length, slide).alias("w"))
+        # a watermark needs a zoned TIMESTAMP: convert the wall clock without
+        # the session zone, and the window bounds back afterwards
+        df = df.withColumn("_t", TS.ntz_to_instant(time_col)).withWatermark("_t", watermark)
+        t = "_t"
+    agg = (df.groupBy(F.window(t, length, slide).alias("w"))
              .agg(F.count(F.lit(1)).alias("sale_count"),
                   F.sum(F.coalesce(F.col("total_amount"), F.lit(0).cast("decimal(12,2)")))
                    .alias("_rev")))
+    start, end = F.col("w.start"), F.col("w.end")
+    if watermark is not None:
+        start, end = TS.instant_to_ntz(start), TS.instant_to_ntz(end)
     return agg.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        start.alias("window_start"),
+        end.alias("window_end"),
         "sale_count",
         F.col("_rev").cast(MONEY_SUM).alias("total_revenue"),
         M.mean_cents(F.col("_rev"), F.col("sale_count")).alias("avg_order_value"))
