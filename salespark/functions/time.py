@@ -31,23 +31,32 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The shape producers emit; Spark's own cast reads it directly.
+ISO_SIMPLE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
 def ts_iso(s: Column | str) -> Column:
     """``datetime.fromisoformat(s)`` as TIMESTAMP_NTZ (offset dropped), NULL when
-    Python would raise (bad text, empty, null, impossible dates, year 0)."""
+    Python would raise (bad text, empty, null, impossible dates, year 0).
+
+    Pass a column, not a large expression: the text is read several times.
+    Cost per row: one regex for the common ``yyyy-MM-dd[T ]HH:mm:ss`` shape; the
+    other extended forms add one match and one rewrite; the basic form
+    (``20260709T103000``) is only tried when the others fail."""
     s = _c(s)
-    ext_date = F.regexp_extract(s, ISO_EXTENDED, 1)
-    ext_time = F.regexp_replace(F.regexp_extract(s, ISO_EXTENDED, 2), ",", ".")
-    extended = F.when(ext_time == "", ext_date).otherwise(F.concat(ext_date, F.lit("T"), ext_time))
+    extended = F.rtrim(F.regexp_replace(F.regexp_replace(s, ISO_EXTENDED, "$1T$2"), ",", "."),
+                       F.lit("T"))
     b = [F.regexp_extract(s, ISO_BASIC, i) for i in range(1, 8)]
     basic_date = F.concat(b[0], F.lit("-"), b[1], F.lit("-"), b[2])
     basic_time = F.concat(
         b[3], F.lit(":"), F.when(b[4] == "", "00").otherwise(b[4]), F.lit(":"),
         F.when(b[5] == "", "00").otherwise(b[5]), F.regexp_replace(b[6], ",", "."))
     basic = F.when(b[3] == "", basic_date).otherwise(F.concat(basic_date, F.lit("T"), basic_time))
-    text = (F.when(s.rlike(ISO_EXTENDED), extended)
+    text = (F.when(s.rlike(ISO_SIMPLE), s)
+             .when(s.rlike(ISO_EXTENDED), extended)
              .when(s.rlike(ISO_BASIC), basic))
     # Spark accepts year 0000, Python's datetime does not
-    return F.when(~text.startswith("0000"), text.try_cast("timestamp_ntz"))
+    return F.when(~s.startswith("0000"), text.try_cast("timestamp_ntz"))
 
 
 def ts_pattern(s: Column | str, fmt: str = SQL_PATTERN) -> Column:

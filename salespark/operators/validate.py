@@ -67,12 +67,13 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     v = _v()
     is_obj = J.is_object(F.col("_text"), v)
     has = {k: J.has_key(v, k) for k in RAW_FIELDS}
-    ts_text = F.when(J.kind(v, "event_timestamp") == "STRING",
-                     J.field(v, "event_timestamp", "string"))
     qty = J.field(v, "quantity", "double")
     price = J.field(v, "unit_price", "double")
     total = J.field(v, "total_amount", "double")
-    df = df.withColumn("event_ts", TS.ts_iso(ts_text))
+    # the timestamp text is a column of its own: ts_iso reads it several times
+    df = df.withColumn("_ts_text", F.when(J.kind(v, "event_timestamp") == "STRING",
+                                          J.field(v, "event_timestamp", "string")))
+    df = df.withColumn("event_ts", TS.ts_iso("_ts_text")).drop("_ts_text")
     reason = (
         F.when(~is_obj, MALFORMED)
         .when(~(has["sale_id"] & has["user_id"] & has["product_id"]), MISSING_FIELD)

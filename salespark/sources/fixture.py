@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespark.schemas import RAW_FIELDS
-from salespark.sources.tables import read_table
+from salespark.sources.tables import read_table, spread
 
 # Derivation rules of the fixture (FIXTURES.md section 2).
 FIXTURE_EXPRS = [
@@ -48,6 +48,7 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("ep"),
         F.col("l_quantity").cast("int").alias("lq"))
+    li = spread(li)
     base = li.selectExpr(
         "ok", "ln", "pk", "sk",
         "(ok * 31 + ln * 17 + pk * 13 + sk * 7) % 40 AS a",

@@ -21,3 +21,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_saved(spark: SparkSession, path: str) -> DataFrame:
     """Scan of a table this package wrote (fact_sales, anomaly_alerts, ...)."""
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work (JSON, regex) every core when a scan yields
+    fewer input partitions than the default parallelism -- e.g. a small table
+    stored as one parquet row group, which only one task can read.  At cluster
+    scale a scan has far more splits than cores and this is a no-op; below it,
+    a round-robin repartition costs one shuffle of the scanned columns."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

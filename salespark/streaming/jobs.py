@@ -43,13 +43,6 @@ class EtlOutputs:
     alerts_topic: T.Topic | None = None
 
 
-def _start(df: DataFrame, checkpoint: str, trigger: dict, name: str, **kw) -> StreamingQuery:
-    w = df.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(**trigger)
-    for k, v in kw.items():
-        w = getattr(w, k)(v) if not isinstance(v, tuple) else getattr(w, k)(*v)
-    return w.start()
-
-
 def etl_batch(spark: SparkSession, out: EtlOutputs):
     """The ``foreachBatch`` body of the ETL job (split + multi-sink)."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -117,11 +110,10 @@ def start_anomaly(spark: SparkSession, invalid: T.Topic, alerts_path: str, check
 def valid_from_topic(messages: DataFrame) -> DataFrame:
     """Valid-topic JSON -> (event_ts, ingest_ts, total_amount)."""
     v = J.parse("value")
-    parsed = messages.select("ingest_ts", v.alias("_v"))
-    return parsed.select(
-        "ingest_ts",
-        TS.ts_iso(J.field("_v", "event_timestamp", "string")).alias("event_ts"),
+    parsed = messages.select("ingest_ts", v.alias("_v")).select(
+        "ingest_ts", J.field("_v", "event_timestamp", "string").alias("_ts_text"),
         J.field("_v", "total_amount", "decimal(12,2)").alias("total_amount"))
+    return parsed.select("ingest_ts", TS.ts_iso("_ts_text").alias("event_ts"), "total_amount")
 
 
 def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkpoint: str,
