@@ -57,9 +57,10 @@ def dim_rules() -> dict[str, dict[str, Column]]:
 
 
 def with_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``violations``: names of the rules that do not hold (a rule that is
-    NULL fails, as a CHECK on a NOT NULL column would)."""
-    failed = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    """Add ``violations``: names of the rules that are false.  As with SQL
+    CHECK constraints a rule that evaluates to NULL passes; NULLs are caught
+    by the explicit NOT NULL rules."""
+    failed = [F.when(~F.coalesce(rule, F.lit(True)), F.lit(name)) for name, rule in rules.items()]
     return df.withColumn("violations", F.filter(F.array(*failed), lambda x: x.isNotNull()))
 
 
@@ -78,8 +79,9 @@ def fact_checks(facts: DataFrame, band_values=M.BANDS) -> dict[str, Column]:
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """One row per rule: how many rows fail it (one pass, one global agg)."""
-    aggs = [F.sum(F.when(~F.coalesce(r, F.lit(False)), 1).otherwise(0)).cast("bigint").alias(n)
+    """One row per rule: how many rows fail it (one pass, one global agg;
+    NULL passes, as in ``with_violations``)."""
+    aggs = [F.sum(F.when(~F.coalesce(r, F.lit(True)), 1).otherwise(0)).cast("bigint").alias(n)
             for n, r in rules.items()]
     wide = df.agg(*aggs)
     pairs = ", ".join(f"'{n}', `{n}`" for n in rules)

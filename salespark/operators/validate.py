@@ -228,10 +228,15 @@ def parse_typed(messages: DataFrame, text_col: str = "value") -> DataFrame:
     """The SQL job's source table: JSON -> fixed schema (absent and null both
     NULL) plus the computed column ``ts = TO_TIMESTAMP(event_timestamp, ...)``."""
     extra = [c for c in messages.columns if c != text_col]
-    return (messages
-            .select(*extra, F.from_json(F.col(text_col), RAW_EVENT).alias("e"))
-            .select(*extra, *[F.col(f"e.{c}").alias(c) for c in RAW_FIELDS])
-            .withColumn("ts", TS.ts_pattern("event_timestamp")))
+    typed = (messages
+             .select(*extra, F.from_json(F.col(text_col), RAW_EVENT).alias("e"))
+             .select(*extra, *[F.col(f"e.{c}").alias(c) for c in RAW_FIELDS])
+             .withColumn("ts", TS.ts_pattern("event_timestamp")))
+    # metrics node: keeps the WHERE clauses from being pushed below the parse
+    # (which would run from_json once per referenced field)
+    name = f"sql_source_{next(_OBSERVATIONS)}"
+    return typed.observe(name, F.count(F.lit(1)).alias("events"),
+                         F.count("ts").alias("parsed_timestamps"))
 
 
 def sql_ok() -> Column:

@@ -323,12 +323,12 @@ def q_conflict_anti(spark, sf):
 
 
 _FACT_RULES_SQL = """
-SELECT 'quantity_positive' AS rule, count(*) FILTER (WHERE NOT coalesce(quantity > 0, false)) AS failures FROM fact_rows
-UNION ALL SELECT 'unit_price_positive', count(*) FILTER (WHERE NOT coalesce(unit_price > 0, false)) FROM fact_rows
-UNION ALL SELECT 'total_amount_positive', count(*) FILTER (WHERE NOT coalesce(total_amount > 0, false)) FROM fact_rows
-UNION ALL SELECT 'value_band_known', count(*) FILTER (WHERE NOT coalesce(value_band IN ('low', 'mid', 'high'), false)) FROM fact_rows
-UNION ALL SELECT 'sale_hour_range', count(*) FILTER (WHERE NOT coalesce(sale_hour BETWEEN 0 AND 23, false)) FROM fact_rows
-UNION ALL SELECT 'sale_minute_range', count(*) FILTER (WHERE NOT coalesce(sale_minute BETWEEN 0 AND 59, false)) FROM fact_rows"""
+SELECT 'quantity_positive' AS rule, count(*) FILTER (WHERE NOT (quantity > 0)) AS failures FROM fact_rows
+UNION ALL SELECT 'unit_price_positive', count(*) FILTER (WHERE NOT (unit_price > 0)) FROM fact_rows
+UNION ALL SELECT 'total_amount_positive', count(*) FILTER (WHERE NOT (total_amount > 0)) FROM fact_rows
+UNION ALL SELECT 'value_band_known', count(*) FILTER (WHERE NOT (value_band IN ('low', 'mid', 'high'))) FROM fact_rows
+UNION ALL SELECT 'sale_hour_range', count(*) FILTER (WHERE NOT (sale_hour BETWEEN 0 AND 23)) FROM fact_rows
+UNION ALL SELECT 'sale_minute_range', count(*) FILTER (WHERE NOT (sale_minute BETWEEN 0 AND 59)) FROM fact_rows"""
 
 
 @query("check_fact", O.facts_sql(_FACT_RULES_SQL),
