@@ -37,12 +37,14 @@ def upsert_first_wins(spark: SparkSession, valid: DataFrame, path: str) -> DataF
     if path_exists(spark, path):
         stored = spark.read.parquet(path).select("sale_id")
         new = new.join(stored, "sale_id", "left_anti")
-    new.write.mode("append").partitionBy("date_id").parquet(path)
+    # REBALANCE: AQE merges the batch into about one file per touched date and
+    # splits a date holding a large share of the batch across tasks
+    new.hint("rebalance", "date_id").write.mode("append").partitionBy("date_id").parquet(path)
     return new
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id))
+    (df.withColumn("batch_id", F.lit(batch_id)).hint("rebalance")
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id").parquet(path))
 

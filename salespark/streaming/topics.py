@@ -89,7 +89,8 @@ def write_batch(messages: DataFrame, topic: Topic, batch_id: int | None = None)
     if batch_id is None:
         out.write.mode("append").parquet(topic.path)
         return
-    (out.withColumn("batch_id", F.lit(batch_id))
+    # micro-batch output: AQE sizes the files (few per batch, hot parts split)
+    (out.withColumn("batch_id", F.lit(batch_id)).hint("rebalance")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id").parquet(topic.path))
 
