@@ -574,3 +574,36 @@ def oracle_map() -> dict[str, str]:
 
 def query_map() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in QUERIES.items()}
+
+
+# --- late additions: SQL-job timestamp parse, payload size --------------------
+
+@query("ts_pattern", O.with_ctes(O.SALES_EVENTS, select="""
+SELECT ingest_key, try_strptime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS ts FROM sales_events"""),
+       "TO_TIMESTAMP(s, 'yyyy-MM-dd HH:mm:ss'), NULL when unparsable")
+def q_ts_pattern(spark, sf):
+    ev = FX.sales_events(spark, sf)
+    return ev.select("ingest_key", TS.ts_pattern("event_timestamp").alias("ts"))
+
+
+def _json_field(name: str, quoted: bool) -> str:
+    val = f"'\"' || {name} || '\"'" if quoted else f"CAST({name} AS VARCHAR)"
+    return f"CASE WHEN {name} IS NOT NULL THEN '\"{name}\":' || {val} END"
+
+
+_PAYLOAD_SQL = "'{' || concat_ws(',', " + ", ".join([
+    _json_field("sale_id", True), _json_field("user_id", True), _json_field("product_id", False),
+    _json_field("quantity", False), _json_field("unit_price", False),
+    _json_field("total_amount", False), _json_field("event_timestamp", True)]) + ") || '}'"
+
+
+@query("dq_payload_size", O.with_ctes(O.SALES_EVENTS, select=f"""
+SELECT count(*) AS events, CAST(sum(strlen(p)) AS BIGINT) AS total_bytes,
+       CAST(min(strlen(p)) AS INTEGER) AS min_bytes, CAST(max(strlen(p)) AS INTEGER) AS max_bytes
+FROM (SELECT {_PAYLOAD_SQL} AS p FROM sales_events)"""),
+       "serialised event size: count, total, min, max bytes (average = total / count)")
+def q_dq_payload_size(spark, sf):
+    n = F.octet_length("value")
+    return FX.raw_messages(spark, sf).agg(
+        F.count(F.lit(1)).alias("events"), F.sum(n).cast("bigint").alias("total_bytes"),
+        F.min(n).alias("min_bytes"), F.max(n).alias("max_bytes"))
