@@ -59,18 +59,42 @@ def ts_iso(s: Column | str) -> Column:
     return F.when(~s.startswith("0000"), text.try_cast("timestamp_ntz"))
 
 
+# The SQL job's one pattern as a regex: the text must have exactly this shape.
+SQL_PATTERN_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+# English day and month names.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+MONTH_NAMES = ("January", "February", "March", "April", "May", "June", "July", "August",
+               "September", "October", "November", "December")
+
+
 def ts_pattern(s: Column | str, fmt: str = SQL_PATTERN) -> Column:
-    """``TO_TIMESTAMP(s, fmt)`` that yields NULL instead of failing (ANSI)."""
-    return F.try_to_timestamp(_c(s), F.lit(fmt)).cast("timestamp_ntz")
+    """``TO_TIMESTAMP(s, fmt)`` that yields NULL instead of failing (ANSI).
+
+    For the SQL job's pattern the shape is checked by regex and the text cast
+    straight to TIMESTAMP_NTZ: ``try_to_timestamp`` parses into the session
+    zone, which moves wall-clock times that fall into a DST gap."""
+    s = _c(s)
+    if fmt == SQL_PATTERN:
+        return F.when(s.rlike(SQL_PATTERN_RE), s.try_cast("timestamp_ntz"))
+    return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def date_id_text(ts: Column | str) -> Column:
-    return F.date_format(_c(ts), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of a TIMESTAMP_NTZ.  ``date_format`` would go through the
+    session zone (an NTZ value in a DST gap comes out an hour later)."""
+    return F.to_date(_c(ts)).cast("string")
 
 
 def day_name(ts: Column | str) -> Column:
-    """Full English weekday name, e.g. ``Thursday``."""
-    return F.date_format(_c(ts), "EEEE")
+    """Full English weekday name, e.g. ``Thursday`` (zone-free lookup)."""
+    names = F.array(*[F.lit(n) for n in DAY_NAMES])
+    return F.element_at(names, F.dayofweek(F.to_date(_c(ts))))
+
+
+def month_name(d: Column | str) -> Column:
+    names = F.array(*[F.lit(n) for n in MONTH_NAMES])
+    return F.element_at(names, F.month(F.to_date(_c(d))))
 
 
 def dow_sunday0(d: Column | str) -> Column:
@@ -79,8 +103,10 @@ def dow_sunday0(d: Column | str) -> Column:
 
 
 def padded_name(d: Column | str, pattern: str, width: int = 9) -> Column:
-    """Month / day name blank-padded to ``width`` (``TO_CHAR(d,'Month')``)."""
-    return F.rpad(F.date_format(_c(d), pattern), width, " ")
+    """Month (``MMMM``) / day (``EEEE``) name blank-padded to ``width``
+    (``TO_CHAR(d, 'Month')`` / ``'Day'``)."""
+    name = month_name(d) if pattern == "MMMM" else day_name(d)
+    return F.rpad(name, width, " ")
 
 
 def minute_bucket(ts: Column | str) -> Column:

@@ -35,7 +35,7 @@ FIXTURE_EXPRS = [
     "CASE WHEN a = 1 THEN CAST(-5.00 AS DECIMAL(10,2)) ELSE p0 END AS unit_price",
     "CAST(q0 * p0 AS DECIMAL(12,2)) AS total_amount",
     "CASE WHEN a = 3 THEN 'corrupted-timestamp' "
-    "ELSE date_format(its, 'yyyy-MM-dd HH:mm:ss') END AS event_timestamp",
+    "ELSE CAST(its AS STRING) END AS event_timestamp",  # NTZ, whole seconds: zone-free text
     "pk * 1000000 + sk AS ingest_key",
     "its AS ingest_ts",
 ]
