@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 NUMERIC_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 
-def parse(text: Column | str) -> Column:
-    """JSON text -> VARIANT; NULL for text that is not JSON (dead letter)."""
-    return F.try_parse_json(text)
+def parse(text: Column | str, strict: bool = False) -> Column:
+    """JSON text -> VARIANT; NULL for text that is not JSON (dead letter).
+
+    ``strict=True`` fails the query on bad JSON instead, as ``json.loads`` in
+    the original jobs did."""
+    return F.parse_json(text) if strict else F.try_parse_json(text)
 
 
 def _c(c: Column | str) -> Column:

@@ -30,6 +30,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def create_table_if_not_exists(spark: SparkSession, path: str, schema,
+                               partition_by: list[str] | None = None) -> bool:
+    """``CREATE TABLE IF NOT EXISTS`` for a path-based parquet table: writes an
+    empty table with the schema when nothing is there.  Returns True if created."""
+    if path_exists(spark, path):
+        return False
+    w = spark.createDataFrame([], schema).write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return True
+
+
 def upsert_first_wins(spark: SparkSession, valid: DataFrame, path: str) -> DataFrame:
     """Store new sales from tagged valid events; returns the rows stored."""
     rows = FA.not_null_ok(FA.fact_rows(valid))

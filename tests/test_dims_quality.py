@@ -102,3 +102,28 @@ def test_checkpoint_folder_from_session(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert root and path.startswith(root.rstrip("/"))
     assert F is not None
+
+
+def test_partition_spread(spark):
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (2, "d")], "partition int, value string")
+    got = {r.partition: r.events for r in Q.partition_spread(df).collect()}
+    assert got == {0: 1, 1: 2, 2: 1} and len(got) >= 2
+
+
+def test_create_table_if_not_exists(spark):
+    from salespark.schemas import ANOMALY_ALERTS
+    from salespark.streaming.sinks import create_table_if_not_exists
+    path = work_dir(spark, "table_init")
+    assert create_table_if_not_exists(spark, path, ANOMALY_ALERTS) is True
+    assert create_table_if_not_exists(spark, path, ANOMALY_ALERTS) is False
+    t = spark.read.parquet(path)
+    assert t.count() == 0 and t.columns == [f.name for f in ANOMALY_ALERTS.fields]
+
+
+def test_strict_parse_fails_on_bad_json(spark):
+    import pytest as _pytest
+    from salespark.functions import json as J
+    df = spark.createDataFrame([("{bad",)], "value string")
+    assert df.select(J.parse("value").isNull().alias("n")).first().n is True
+    with _pytest.raises(Exception):
+        df.select(J.parse("value", strict=True).alias("v")).collect()
