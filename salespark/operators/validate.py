@@ -65,50 +65,61 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     df = messages.select(*extra, F.col(text_col).alias("_text"),
                          J.parse(F.col(text_col)).alias(V))
     v = _v()
-    is_obj = J.is_object(F.col("_text"), v)
-    has = {k: J.has_key(v, k) for k in RAW_FIELDS}
-    qty = J.field(v, "quantity", "double")
-    price = J.field(v, "unit_price", "double")
-    total = J.field(v, "total_amount", "double")
-    # the timestamp text is a column of its own: ts_iso reads it several times
-    df = df.withColumn("_ts_text", F.when(J.kind(v, "event_timestamp") == "STRING",
-                                          J.field(v, "event_timestamp", "string")))
-    df = df.withColumn("event_ts", TS.ts_iso("_ts_text")).drop("_ts_text")
+    # Every field is read from the VARIANT once, below the metrics node; the
+    # projection above it reads plain columns, and ``_v`` is pruned away unless
+    # the outgoing record (``value``) or an alert needs it.
+    typed_as = {"sale_id": "string", "user_id": "string", "product_id": "int",
+                "quantity": "int", "unit_price": "decimal(10,2)",
+                "total_amount": "decimal(12,2)", "event_timestamp": "string"}
+    df = df.select(
+        *extra, "_text", V,
+        J.is_object(F.col("_text"), v).alias("_is_obj"),
+        *[J.has_key(v, k).alias(f"_has_{k}") for k in RAW_FIELDS],
+        *[J.field(v, k, t).alias(f"_f_{k}") for k, t in typed_as.items()],
+        *[J.field(v, k, "double").alias(f"_d_{k}") for k in ("quantity", "unit_price", "total_amount")],
+        *[J.is_number(v, k).alias(f"_n_{k}") for k in ("quantity", "unit_price", "total_amount")],
+        # the timestamp text is a column of its own: ts_iso reads it several times
+        F.when(J.kind(v, "event_timestamp") == "STRING", J.field(v, "event_timestamp", "string"))
+         .alias("_ts_text"))
+    df = df.withColumn("event_ts", TS.ts_iso("_ts_text"))
+
+    def has(k: str) -> Column:
+        return F.col(f"_has_{k}")
+
     reason = (
-        F.when(~is_obj, MALFORMED)
-        .when(~(has["sale_id"] & has["user_id"] & has["product_id"]), MISSING_FIELD)
-        .when(has["quantity"] & ~J.is_number(v, "quantity"), MALFORMED)
-        .when(F.coalesce(qty, F.lit(0.0)) <= 0, QUANTITY_ZERO)
-        .when(has["unit_price"] & ~J.is_number(v, "unit_price"), MALFORMED)
-        .when(F.coalesce(price, F.lit(0.0)) <= 0, NEGATIVE_PRICE)
+        F.when(~F.col("_is_obj"), MALFORMED)
+        .when(~(has("sale_id") & has("user_id") & has("product_id")), MISSING_FIELD)
+        .when(has("quantity") & ~F.col("_n_quantity"), MALFORMED)
+        .when(F.coalesce(F.col("_d_quantity"), F.lit(0.0)) <= 0, QUANTITY_ZERO)
+        .when(has("unit_price") & ~F.col("_n_unit_price"), MALFORMED)
+        .when(F.coalesce(F.col("_d_unit_price"), F.lit(0.0)) <= 0, NEGATIVE_PRICE)
         .when(F.col("event_ts").isNull(), CORRUPTED_TIMESTAMP)
-        .when(has["total_amount"] & ~J.is_number(v, "total_amount"), MALFORMED)
+        .when(has("total_amount") & ~F.col("_n_total_amount"), MALFORMED)
     )
     df = _observed(df.withColumn("error_reason", reason))
     missing = F.col("error_reason") == MISSING_FIELD
     valid = F.col("error_reason").isNull()
 
-    def typed(k: str, t: str, default) -> Column:
+    def typed(k: str, default) -> Column:
         # missing_field rebuilds the record with .get(k, default)
-        val = J.field(v, k, t)
-        return F.when(missing & ~has[k], F.lit(default).cast(t)).otherwise(val)
+        t = typed_as[k]
+        return F.when(missing & ~has(k), F.lit(default).cast(t)).otherwise(F.col(f"_f_{k}"))
 
     ts = F.col("event_ts")
     df = df.select(
         *extra,
-        typed("sale_id", "string", NA).alias("sale_id"),
-        typed("user_id", "string", NA).alias("user_id"),
+        typed("sale_id", NA).alias("sale_id"),
+        typed("user_id", NA).alias("user_id"),
         # 'N/A' is not an int: it stays on the wire (value), NULL here
-        J.field(v, "product_id", "int").alias("product_id"),
-        typed("quantity", "int", 0).alias("quantity"),
-        typed("unit_price", "decimal(10,2)", 0).alias("unit_price"),
-        typed("total_amount", "decimal(12,2)", 0).alias("total_amount"),
-        F.when(missing & ~has["event_timestamp"], F.lit(NA))
-         .otherwise(J.field(v, "event_timestamp", "string")).alias("event_timestamp"),
+        F.col("_f_product_id").alias("product_id"),
+        typed("quantity", 0).alias("quantity"),
+        typed("unit_price", 0).alias("unit_price"),
+        typed("total_amount", 0).alias("total_amount"),
+        typed("event_timestamp", NA).alias("event_timestamp"),
         F.when(valid, ts).alias("event_ts"),
         "error_reason",
         F.when(valid, TS.date_id_text(ts)).alias("date_id"),
-        F.when(valid, M.value_band(total)).alias("value_band"),
+        F.when(valid, M.value_band(F.col("_d_total_amount"))).alias("value_band"),
         F.when(valid, F.hour(ts)).alias("sale_hour"),
         F.when(valid, F.minute(ts)).alias("sale_minute"),
         F.when(valid, TS.day_name(ts)).alias("day_of_week"),
