@@ -96,3 +96,28 @@ def test_same_transform_batch_and_stream(spark):
     stream = spark.read.parquet(out)
     assert stream.exceptAll(batch.select(*stream.columns)).count() == 0
     assert stream.count() == batch.count() == 12
+
+
+def test_processing_time_trigger(spark):
+    """A continuous ETL job (processingTime trigger) picks up new files."""
+    run = SQ.Run(spark, "test_continuous")
+    T.write_batch(_events(spark, 0, [valid_event(sale_id=f"C-{i}") for i in range(5)]), run.raw)
+    out = JB.EtlOutputs(run.valid, run.invalid, run.facts)
+    q = JB.start_etl(spark, run.raw, out, run.ckpt("etl"), trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        T.write_batch(_events(spark, 10, [valid_event(sale_id="C-9"), valid_event(quantity=0)]), run.raw)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(run.facts).count() == 6
+    assert T.read_batch(spark, run.invalid).count() == 1
+
+
+def test_sequence_passthrough(spark):
+    """INSERT INTO sink SELECT * FROM source, with the bounded id sequence."""
+    from salespark.session import work_dir
+    from salespark.sources.dims import sequence_source
+    path = work_dir(spark, "passthrough")
+    sequence_source(spark).write.parquet(path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
