@@ -147,6 +147,37 @@ def latest_windows(spark: SparkSession, log_path: str) -> DataFrame:
     return best.select("window_start", *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
+def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, checkpoint: str,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """The fact consumer: valid topic -> fact_sales with ``ON CONFLICT
+    (sale_id) DO NOTHING``, through the same skew-safe ``upsert_first_wins``
+    sink as the ETL job (in-batch partial/final first-wins, then an anti join
+    against the stored keys; a replayed batch adds nothing)."""
+    v = J.parse("value")
+    msgs = T.read_stream(spark, valid).select("ingest_key", v.alias("_v"))
+    rows = msgs.select(
+        "ingest_key",
+        J.field("_v", "sale_id", "string").alias("sale_id"),
+        J.field("_v", "user_id", "string").alias("user_id"),
+        J.field("_v", "product_id", "int").alias("product_id"),
+        J.field("_v", "date_id", "string").alias("date_id"),
+        J.field("_v", "quantity", "int").alias("quantity"),
+        J.field("_v", "unit_price", "decimal(10,2)").alias("unit_price"),
+        J.field("_v", "total_amount", "decimal(12,2)").alias("total_amount"),
+        J.field("_v", "value_band", "string").alias("value_band"),
+        J.field("_v", "sale_hour", "int").alias("sale_hour"),
+        J.field("_v", "sale_minute", "int").alias("sale_minute"),
+        J.field("_v", "day_of_week", "string").alias("day_of_week"),
+        J.field("_v", "event_timestamp", "string").alias("_ts_text"))
+    valid_rows = rows.withColumn("event_ts", TS.ts_iso("_ts_text")).drop("_ts_text")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        S.upsert_first_wins(spark, batch, facts_path)
+    return (valid_rows.writeStream.queryName("fact_consumer")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
+
+
 def start_alert_consumer(spark: SparkSession, alerts_topic: T.Topic, table_path: str,
                          checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """The alert consumer: stores (sale_id, anomaly_type, event_timestamp)

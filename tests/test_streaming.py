@@ -121,3 +121,22 @@ def test_sequence_passthrough(spark):
     path = work_dir(spark, "passthrough")
     sequence_source(spark).write.parquet(path)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_fact_consumer_state_store(spark):
+    """Valid topic -> fact_sales through the streaming dedup state."""
+    run = SQ.Run(spark, "test_fact_consumer")
+    first = [valid_event(sale_id=f"K-{i}", total_amount=10.0 + i) for i in range(8)]
+    T.write_batch(_events(spark, 0, first).repartition(1), run.raw)
+    run.etl()
+    table = f"{run.root}/tables/fact_sales_consumer"
+    JB.run_to_end(JB.start_fact_consumer(spark, run.valid, table, run.ckpt("fact_consumer")))
+    later = [valid_event(sale_id=f"K-{i}", total_amount=500.0) for i in range(4)]
+    later += [valid_event(sale_id="K-new")]
+    T.write_batch(_events(spark, 100, later).repartition(1), run.raw)
+    run.etl()
+    JB.run_to_end(JB.start_fact_consumer(spark, run.valid, table, run.ckpt("fact_consumer")))
+    got = spark.read.parquet(table)
+    assert got.count() == 9
+    assert got.groupBy("sale_id").count().filter("count > 1").count() == 0
+    assert float(got.filter("sale_id = 'K-2'").first().total_amount) == 12.0
