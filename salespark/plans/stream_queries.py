@@ -146,6 +146,37 @@ def q_sink_agg_consumer(spark, sf):
     return spark.read.parquet(r.consumer_agg)
 
 
+def _sql_run(spark, sf, name):
+    r = Run(spark, name)
+    r.produce(sf)
+    JB.run_to_end(JB.start_sql_etl(spark, r.raw, f"{r.root}/tables/fact_sale_sink", r.invalid,
+                                   r.ckpt("sql_etl")))
+    return r
+
+
+@_register("sink_jdbc_fact", O.sql_dialect(f"""
+SELECT sale_id, user_id, product_id, CAST(ts AS DATE) AS date_id, quantity, unit_price, total_amount,
+  CASE WHEN total_amount < 50 THEN 'low' WHEN total_amount < 200 THEN 'medium' ELSE 'high' END AS value_band,
+  CAST(hour(ts) AS INTEGER) AS sale_hour, CAST(minute(ts) AS INTEGER) AS sale_minute,
+  dayname(ts) AS day_of_week, ts AS event_timestamp
+FROM sql_src WHERE {O.SQL_OK}"""), "streaming SQL job: fact branch into the fact table (append)")
+def q_sink_jdbc_fact(spark, sf):
+    r = _sql_run(spark, sf, "sink_jdbc_fact")
+    return spark.read.parquet(f"{r.root}/tables/fact_sale_sink").drop("batch_id")
+
+
+@_register("sink_kafka_typed", O.sql_dialect(f"""
+SELECT ingest_key, sale_id, CASE WHEN quantity <= 0 THEN 'quantity_zero' WHEN unit_price <= 0 THEN 'negative_price'
+       WHEN sale_id IS NULL OR user_id IS NULL OR product_id IS NULL THEN 'missing_field'
+       WHEN ts IS NULL THEN 'corrupted_timestamp' ELSE 'unknown' END AS error_reason
+FROM sql_src WHERE NOT {O.SQL_OK}"""), "streaming SQL job: invalid branch as JSON on a topic")
+def q_sink_kafka_typed(spark, sf):
+    r = _sql_run(spark, sf, "sink_kafka_typed")
+    return T.read_batch(spark, r.invalid).select(
+        "ingest_key", F.get_json_object("value", "$.sale_id").alias("sale_id"),
+        F.get_json_object("value", "$.error_reason").alias("error_reason"))
+
+
 def query_map() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in STREAM_QUERIES.items()}
 
