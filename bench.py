@@ -21,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "classify",            # validate + enrich every event (the reference's 10 us/event function)
+    "classify",            # validate + enrich every event (the 10 us/event baseline function)
     "pk_first_wins",       # fact_sales: first-arrival-wins dedup
     "alert_classify",      # coded anomaly alerts
     "agg_window_stats",    # 30 s / 10 s sliding window statistics

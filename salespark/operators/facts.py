@@ -1,6 +1,6 @@
 """Valid events -> ``fact_sales`` rows, with first-arrival-wins on ``sale_id``.
 
-The reference inserts each valid event with ``ON CONFLICT (sale_id) DO
+The original job inserts each valid event with ``ON CONFLICT (sale_id) DO
 NOTHING``: the first arrival of a sale id is kept, later ones are dropped.
 
 ``first_wins`` is one hash/sort aggregation keyed by ``sale_id`` whose buffer is

@@ -1,6 +1,6 @@
 """Sliding-window sales statistics (30 s windows every 10 s by default).
 
-The reference aggregates the whole valid stream in one non-keyed window
+The original job aggregates the whole valid stream in one non-keyed window
 operator (parallelism 1) with a ``[count, sum]`` accumulator.  Here the window
 itself is the grouping key: Spark expands each row into its 3 windows, sums
 partially inside every map task, then shuffles one partial row per (task,

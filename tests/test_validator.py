@@ -63,7 +63,7 @@ CASES = [
     for d, day in zip(range(6, 13), ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
                                      "Saturday", "Sunday"])
 ] + [
-    # beyond the reference: inputs its job would crash on become dead letters
+    # beyond the original: inputs its job would crash on become dead letters
     ("not_json", "{not json", "malformed", {}),
     ("json_array", "[1, 2]", "malformed", {}),
     ("quantity_string", V(quantity="3"), "malformed", {}),
