@@ -14,7 +14,7 @@ or whose quantity / price / total is present but not a number (the original
 job would raise and stop), are tagged ``malformed`` and routed to the invalid
 branch as a dead letter instead of failing the stream.
 
-SQL path (secondary, different rule order): see ``tag_sql``.
+SQL path (secondary, different rule order): see ``parse_typed`` / ``sql_reason``.
 
 All rules are one ``CASE`` expression evaluated in the JVM; the same functions
 run on static frames and on streaming frames.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from salespark.functions import json as J
 from salespark.functions import money as M
 from salespark.functions import time as TS
-from salespark.schemas import ENRICH_FIELDS, ID_FIELDS, RAW_EVENT, RAW_FIELDS
+from salespark.schemas import ENRICH_FIELDS, RAW_EVENT, RAW_FIELDS
 
 # Error reasons and alert codes.
 MISSING_FIELD = "missing_field"
@@ -174,10 +174,6 @@ def _payload() -> Column:
     return F.when(reason == MALFORMED, dead).otherwise(record)
 
 
-def typed_columns() -> list[str]:
-    return list(RAW_FIELDS)
-
-
 def valid_events(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col("error_reason").isNull())
 
@@ -296,4 +292,4 @@ def sql_dropped(typed: DataFrame) -> DataFrame:
 
 __all__ = ["tag_events", "valid_events", "invalid_events", "coded_alerts",
            "basic_alerts", "parse_typed", "sql_facts", "sql_invalid",
-           "sql_dropped", "sql_reason", "code_of", "ANOMALY_CODES", "ID_FIELDS"]
+           "sql_dropped", "sql_reason", "code_of", "ANOMALY_CODES"]
