@@ -2,12 +2,14 @@
 
 Prints one JSON line:
   {"metric": "headline_total", "value": <sum of query seconds>, "unit": "sec",
-   "queries": {...}, "sf": ..., "events": N, "classify_events_per_sec": ...}
+   "queries": {...}, "sf": ..., "events": N, "classify_events_per_sec": ...,
+   "stream_etl_sec": ..., "stream_etl_events_per_sec": ...}
 
 Each query is run to completion through the ``noop`` sink, which evaluates
 every output column (``count()`` would let the optimizer prune columns).  One
 untimed warm-up run of the classifier comes first (JVM start, code
-generation); every timed query then runs once over the whole tables.
+generation); every query then runs twice over the whole tables and the faster
+run is reported (local runs vary by a second or two).
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+RUNS = 2  # each query is timed twice; the faster run is reported
+
 HEADLINE = [
     "classify",            # validate + enrich every event (the 10 us/event baseline function)
     "pk_first_wins",       # fact_sales: first-arrival-wins dedup
@@ -47,8 +51,18 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run("classify")  # warm-up, untimed
-    times = {name: round(run(name), 3) for name in HEADLINE}
+    times = {name: round(min(run(name) for _ in range(RUNS)), 3) for name in HEADLINE}
     events = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+    # Streaming ETL (not part of the headline sum): the raw topic is written
+    # first, then the ETL job drains it with availableNow -- tag, valid and
+    # invalid topics, fact_sales upsert -- and is timed on its own.
+    from salespark.plans.stream_queries import Run
+    r = Run(spark, "bench_stream")
+    r.produce(sf_dir)
+    t0 = time.perf_counter()
+    r.etl()
+    stream_sec = time.perf_counter() - t0
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_total",
@@ -59,6 +73,8 @@ def main() -> None:
         "events": events,
         "classify_events_per_sec": round(events / times["classify"]) if times["classify"] else None,
         "cpus": cpus,
+        "stream_etl_sec": round(stream_sec, 3),
+        "stream_etl_events_per_sec": round(events / stream_sec) if stream_sec else None,
     }
     print(json.dumps(out))
     spark.stop()
