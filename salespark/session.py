@@ -28,6 +28,27 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings for a large cluster run (pass as ``extra`` to build_session).
+
+    * shuffles start at 4 partitions per core and AQE coalesces them to about
+      128 MB each (and splits skewed join partitions), so no stage holds more
+      than a partition's worth of rows per task in memory;
+    * window state lives in RocksDB on the executors' local disks, with
+      changelog checkpoints to the shared checkpoint folder, so state size is
+      not bounded by executor heap and a lost executor's state is restored;
+    * scans split files into 256 MB input partitions."""
+    return {
+        "spark.sql.shuffle.partitions": str(4 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app: str = "salespark",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

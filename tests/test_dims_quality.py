@@ -127,3 +127,10 @@ def test_strict_parse_fails_on_bad_json(spark):
     assert df.select(J.parse("value").isNull().alias("n")).first().n is True
     with _pytest.raises(Exception):
         df.select(J.parse("value", strict=True).alias("v")).collect()
+
+
+def test_cluster_conf_shapes():
+    from salespark.session import cluster_conf
+    conf = cluster_conf(4000)
+    assert conf["spark.sql.shuffle.partitions"] == "16000"
+    assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
