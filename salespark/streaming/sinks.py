@@ -71,7 +71,10 @@ def dead_letters(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
     return Q.split_by_rules(df, rules)
 
 
-def console(df: DataFrame, checkpoint: str):
+def console(df: DataFrame, checkpoint: str, trigger: dict | None = None):
     """Print sink (``'connector' = 'print'``)."""
-    return (df.writeStream.format("console").option("truncate", False)
-              .option("checkpointLocation", checkpoint).start())
+    w = (df.writeStream.format("console").option("truncate", False)
+           .option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()

@@ -140,3 +140,19 @@ def test_fact_consumer_state_store(spark):
     assert got.count() == 9
     assert got.groupBy("sale_id").count().filter("count > 1").count() == 0
     assert float(got.filter("sale_id = 'K-2'").first().total_amount) == 12.0
+
+
+def test_console_sink(spark):
+    from salespark.streaming.sinks import console
+    run = SQ.Run(spark, "test_console")
+    T.write_batch(_events(spark, 0, [valid_event()]), run.raw)
+    JB.run_to_end(console(T.read_stream(spark, run.raw).select("ingest_key"), run.ckpt("console"),
+                          trigger={"availableNow": True}))
+
+
+def test_kafka_reader_needs_the_connector(spark):
+    """The Kafka topic builds a kafka readStream; this image has no connector."""
+    topic = T.kafka_topic(T.RAW_TOPIC, "broker:9092", starting_offsets="latest", group_id="etl-group")
+    assert topic.options == {"kafka.group.id": "etl-group"}
+    with pytest.raises(Exception, match="(?i)kafka"):
+        T.read_stream(spark, topic)
