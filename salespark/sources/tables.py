@@ -23,13 +23,21 @@ def read_saved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Scans with at least this many splits are never repartitioned.
+SPREAD_MAX_SPLITS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work (JSON, regex) every core when a scan yields
-    fewer input partitions than the default parallelism -- e.g. a small table
-    stored as one parquet row group, which only one task can read.  At cluster
-    scale a scan has far more splits than cores and this is a no-op; below it,
-    a round-robin repartition costs one shuffle of the scanned columns."""
+    """Give CPU-heavy row work (JSON, regex) every core when a *small* scan
+    yields fewer input partitions than the default parallelism -- e.g. a table
+    stored as one parquet row group, which only one task can read.
+
+    Only scans under ``SPREAD_MAX_SPLITS`` splits (a few GB) are spread: one
+    round-robin shuffle of the scanned columns is cheap there.  A large table
+    already has many splits; shuffling it to reach every core of a big
+    cluster would cost more than it gains, so it is left as scanned."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    n = df.rdd.getNumPartitions()
+    if n < min(cores, SPREAD_MAX_SPLITS):
+        return df.repartition(min(cores, SPREAD_MAX_SPLITS))
     return df
