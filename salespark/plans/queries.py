@@ -351,10 +351,12 @@ def q_check_not_null(spark, sf):
 
 
 def _fk(spark, sf):
+    from datetime import date
     rows = FA.not_null_ok(FA.fact_rows(valid(spark, sf)))
+    # the calendar is built from fixed bounds: its size is known without the data
+    days = (date.fromisoformat(FK_DATE_END) - date.fromisoformat(FK_DATE_START)).days + 1
     return Q.fk_split(rows, D.dim_user(spark), D.dim_product(spark),
-                      D.dim_date(spark, FK_DATE_START, FK_DATE_END),
-                      date_rows=None)
+                      D.dim_date(spark, FK_DATE_START, FK_DATE_END), date_rows=days)
 
 
 _FK_SQL = O.facts_sql(f"""
