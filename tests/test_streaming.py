@@ -156,3 +156,15 @@ def test_kafka_reader_needs_the_connector(spark):
     assert topic.options == {"kafka.group.id": "etl-group"}
     with pytest.raises(Exception, match="(?i)kafka"):
         T.read_stream(spark, topic)
+
+
+def test_processing_time_windows_stream_equals_batch(spark, sf_small):
+    """Aggregation job on the arrival clock == the batch processing_time query."""
+    r = SQ.run_pipeline(spark, sf_small, "test_proc_time")
+    JB.run_to_end(JB.start_aggregation(spark, r.valid, r.agg_log, r.ckpt("agg_proc"),
+                                       time_col="ingest_ts"))
+    got = JB.latest_windows(spark, r.agg_log)
+    expected = QUERIES["processing_time"].run(spark, sf_small)
+    cols = ["window_start", "window_end", "sale_count", "total_revenue", "avg_order_value"]
+    assert got.count() == expected.count()
+    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
