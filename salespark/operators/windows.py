@@ -48,12 +48,12 @@ def window_stats(valid: DataFrame, time_col: str, length: str = WINDOW_LENGTH,
         M.mean_cents(F.col("_rev"), F.col("sale_count")).alias("avg_order_value"))
 
 
-def empty_guarded(stats: DataFrame) -> DataFrame:
+def empty_guarded(valid: DataFrame) -> DataFrame:
     """Whole-input statistics with the empty guard: no rows -> zeros.
 
     A global aggregate always yields one row; sums over nothing are NULL and
     become 0, and the mean of nothing is 0 (never a division by zero)."""
-    agg = stats.agg(F.count(F.lit(1)).alias("sale_count"),
+    agg = valid.agg(F.count(F.lit(1)).alias("sale_count"),
                     F.sum(F.coalesce(F.col("total_amount"), F.lit(0).cast("decimal(12,2)")))
                      .alias("_rev"))
     rev = F.coalesce(F.col("_rev"), F.lit(0)).cast(MONEY_SUM)

@@ -134,3 +134,10 @@ def test_cluster_conf_shapes():
     conf = cluster_conf(4000)
     assert conf["spark.sql.shuffle.partitions"] == "16000"
     assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_empty_guard_on_no_rows(spark):
+    from salespark.operators.windows import empty_guarded
+    empty = spark.createDataFrame([], "total_amount decimal(12,2)")
+    row = empty_guarded(empty).first()
+    assert row.sale_count == 0 and float(row.total_revenue) == 0 and float(row.avg_order_value) == 0
