@@ -83,6 +83,13 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATALOG).option("multiLine", True).json(path)
 
 
+def catalog_as_dim(catalog: DataFrame) -> DataFrame:
+    """Catalog file rows -> dim_product layout (price as DECIMAL(10,2))."""
+    return catalog.select(
+        F.col("product_id").cast("int").alias("product_id"), "name", "category", "brand",
+        F.col("base_price").cast("decimal(10,2)").alias("base_price"))
+
+
 def catalog_rows() -> list[dict]:
     """Catalog objects in file order (for writing a catalog file)."""
     return [{"product_id": pid, "name": name, "category": cat,

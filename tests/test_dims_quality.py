@@ -43,6 +43,8 @@ def test_catalog_json(spark, tmp_path):
     cat = D.read_catalog(spark, str(path))
     rows = cat.collect()
     assert len(rows) == 24 and rows[0].product_id == 101 and rows[0].base_price == 1999.99
+    as_dim = D.catalog_as_dim(cat)
+    assert as_dim.exceptAll(D.dim_product(spark)).count() == 0 and as_dim.count() == 24
 
 
 def test_sequence_source(spark):
