@@ -58,11 +58,13 @@ def main() -> None:
     # first, then the ETL job drains it with availableNow -- tag, valid and
     # invalid topics, fact_sales upsert -- and is timed on its own.
     from salespark.plans.stream_queries import Run
-    r = Run(spark, "bench_stream")
-    r.produce(sf_dir)
-    t0 = time.perf_counter()
-    r.etl()
-    stream_sec = time.perf_counter() - t0
+    stream_sec = float("inf")
+    for i in range(RUNS):
+        r = Run(spark, f"bench_stream_{i}")
+        r.produce(sf_dir)
+        t0 = time.perf_counter()
+        r.etl()
+        stream_sec = min(stream_sec, time.perf_counter() - t0)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_total",
