@@ -168,3 +168,14 @@ def test_processing_time_windows_stream_equals_batch(spark, sf_small):
     cols = ["window_start", "window_end", "sale_count", "total_revenue", "avg_order_value"]
     assert got.count() == expected.count()
     assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+
+
+def test_cli_runs_the_jobs_once(spark):
+    """python -m salespark <job> --once: the ETL then the anomaly job on file topics."""
+    from salespark.__main__ import main
+    run = SQ.Run(spark, "test_cli")
+    T.write_batch(_events(spark, 0, [valid_event(sale_id="X-1"), valid_event(quantity=0)]), run.raw)
+    main(["etl", "--root", run.root, "--once"])
+    main(["anomaly", "--root", run.root, "--once"])
+    assert spark.read.parquet(f"{run.root}/tables/fact_sales").count() == 1
+    assert spark.read.parquet(f"{run.root}/tables/anomaly_alerts").first().anomaly_code == 3
