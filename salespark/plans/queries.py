@@ -609,3 +609,13 @@ def q_dq_payload_size(spark, sf):
     return FX.raw_messages(spark, sf).agg(
         F.count(F.lit(1)).alias("events"), F.sum(n).cast("bigint").alias("total_bytes"),
         F.min(n).alias("min_bytes"), F.max(n).alias("max_bytes"))
+
+
+@query("series_sum_max_anomalies", O.alerts_sql("""
+SELECT CAST(sum(anomalies) AS BIGINT) AS anomalies_sum, CAST(max(anomalies) AS BIGINT) AS anomalies_max
+FROM (SELECT date_trunc('minute', detected_at) AS time, count(*) AS anomalies FROM anomaly_alerts GROUP BY 1)"""),
+       "legend reducers sum/max over the anomalies-per-minute series")
+def q_series_sum_max_anomalies(spark, sf):
+    s = R.series_sum_max(R.anomalies_by_minute(alerts(spark, sf)), "anomalies")
+    return s.select(F.col("anomalies_sum").cast("bigint").alias("anomalies_sum"),
+                    F.col("anomalies_max").cast("bigint").alias("anomalies_max"))
