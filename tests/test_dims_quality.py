@@ -143,3 +143,25 @@ def test_empty_guard_on_no_rows(spark):
     empty = spark.createDataFrame([], "total_amount decimal(12,2)")
     row = empty_guarded(empty).first()
     assert row.sale_count == 0 and float(row.total_revenue) == 0 and float(row.avg_order_value) == 0
+
+
+def test_kept_plus_skipped_is_every_fact_row(spark, sf_small):
+    from salespark.plans.queries import QUERIES, valid
+    rows = FA.not_null_ok(FA.fact_rows(valid(spark, sf_small))).count()
+    kept = QUERIES["pk_first_wins"].run(spark, sf_small).count()
+    skipped = QUERIES["conflict_anti"].run(spark, sf_small).count()
+    assert kept + skipped == rows
+
+
+def test_hot_window(spark):
+    """A third of the events in one 30 s window: partial aggregation per task."""
+    from salespark.operators.windows import window_stats
+    hot = [valid_event(sale_id=f"H-{i}", total_amount=10.0,
+                       event_timestamp="2026-07-09T10:00:05") for i in range(100)]
+    cold = [valid_event(sale_id=f"C-{i}", total_amount=20.0,
+                        event_timestamp=f"2026-07-09T{11 + i // 60:02d}:{i % 60:02d}:00") for i in range(200)]
+    valid_df = valid_events(tag_events(messages(spark, hot + cold))).repartition(8)
+    stats = window_stats(valid_df, "event_ts")
+    w = stats.filter("window_start = timestamp_ntz'2026-07-09 10:00:00'").first()
+    assert w.sale_count == 100 and float(w.total_revenue) == 1000.0 and float(w.avg_order_value) == 10.0
+    assert stats.agg(F.sum("sale_count")).first()[0] == 3 * 300
