@@ -9,21 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from salespark.plans import queries as B
-    out = B.query_map()
-    try:
-        from salespark.plans import stream_queries as S
-        out.update(S.query_map())
-    except ImportError:
-        pass
-    return out
+    from salespark.plans import stream_queries as S
+    return {**B.query_map(), **S.query_map()}
 
 
 def all_oracles() -> dict[str, str]:
     from salespark.plans import queries as B
-    out = B.oracle_map()
-    try:
-        from salespark.plans import stream_queries as S
-        out.update(S.oracle_map())
-    except ImportError:
-        pass
-    return out
+    from salespark.plans import stream_queries as S
+    return {**B.oracle_map(), **S.oracle_map()}
