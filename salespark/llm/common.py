@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once for each row.  A lambda that
+    names a computed column directly may have the computation inlined by the optimizer, and
+    then repeats it for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -20,8 +20,46 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontam
+    found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT item_id, w, least(len(w), 13) AS k FROM (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL) WHERE len(w) > 0),
+iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS win
+  FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+dw AS (
+  SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+occ AS (SELECT doc_id, p, k, item_id FROM dw JOIN iw USING (k, win)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op6_decontam": op6_decontam,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontam": OP6_SQL,
+}
