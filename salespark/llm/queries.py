@@ -6,10 +6,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import crc_mod, read
+
+
+def held_out(rest: int, m: int = 3) -> Column:
+    """Whether crc32(doc_id as text) mod ``m`` is ``rest``; rows without id count as
+    held out, so nothing is learned from them."""
+    return F.coalesce(crc_mod(F.col("doc_id"), m) == rest, F.lit(True))
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(docs, learn=~held_out(1))
+    found = docs.select("doc_id", held_out(1).alias("held_out"), langid.predict(model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"),
+                        F.col("p.rejected").alias("rejected"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +71,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op4_simhash": op4_simhash,
     "op6_decontam": op6_decontam,
 }
