@@ -43,6 +43,15 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lattice
+    docs = read(spark, sf_dir, "documents")
+    held = held_out(2, 7)
+    return lattice.score(docs, learn=~held).select(
+        F.col("id").alias("doc_id"), F.coalesce(crc_mod(F.col("id"), 7) == 2, F.lit(True)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -74,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op4_simhash": op4_simhash,
     "op6_decontam": op6_decontam,
+    "op10_lattice": op10_lattice,
 }
 
 ORACLES: dict[str, str] = {
