@@ -43,6 +43,14 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secret_scan as S
+    found = S.scan(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *(F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(S.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), S.written(F.col("spans")).alias("spans"))
+
+
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import lattice
     docs = read(spark, sf_dir, "documents")
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op4_simhash": op4_simhash,
     "op6_decontam": op6_decontam,
+    "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
 }
 
