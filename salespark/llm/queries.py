@@ -35,6 +35,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), learn=~held_out(1))
+    found = docs.select("doc_id", held_out(1).alias("held_out"), quality.score(model, F.col("text")).alias("score"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontam
     found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -90,6 +98,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
     "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
