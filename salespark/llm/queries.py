@@ -27,6 +27,25 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p.rejected").alias("rejected"))
 
 
+def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bitslice
+    return bitslice.top_k(read(spark, sf_dir, "embeddings"), is_query=F.col("id") % 20 == 0)
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
+"""
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
     docs = read(spark, sf_dir, "documents")
@@ -97,6 +116,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op3_bitslice": op3_bitslice,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
@@ -105,5 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_bitslice": OP3_SQL,
     "op6_decontam": OP6_SQL,
 }
