@@ -70,6 +70,13 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import linededup
+    return linededup.classes(read(spark, sf_dir, "documents")).select(
+        F.col("doc").alias("doc_id"), "line_no", F.col("class.doc").alias("class_doc_id"),
+        F.col("class.line_no").alias("class_line_no"), "kept")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan as S
     found = S.scan(read(spark, sf_dir, "documents"))
@@ -120,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
+    "op7_lines": op7_lines,
     "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
 }
