@@ -262,6 +262,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
         .groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = FLUSH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``, so that a batch has many words of each length."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def adapt(prior: Lattice, words: DataFrame, texts: int, passes: int = EM_PASSES) -> Lattice:
     """Piece probabilities after ``passes`` rounds of expectation-maximisation over the word
     counts (word, c); ``texts``: how many texts ended."""
@@ -269,7 +281,7 @@ def adapt(prior: Lattice, words: DataFrame, texts: int, passes: int = EM_PASSES)
     for _ in range(passes):
         def run(batches: Iterator[pa.RecordBatch], m: Lattice = model) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(len(m.pieces))
-            for b in batches:
+            for b in _gathered(batches):
                 m.words(b.column("word").to_pylist(), b.column("c").to_pylist(), sums)
             ids = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums[ids])], ["piece", "x"])
@@ -290,7 +302,7 @@ def score_words(model: Lattice, words: DataFrame) -> DataFrame:
     """(word, c, n, lp): with the log10 of each word's marginal probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _gathered(batches):
             lp = pa.array(model.words(b.column("word").to_pylist()) / math.log(10))
             yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), b.column("n"), lp], ["word", "c", "n", "lp"])
 
