@@ -27,6 +27,12 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p.rejected").alias("rejected"))
 
 
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quotes
+    return quotes.conversations(read(spark, sf_dir, "conversations")).withColumnsRenamed(
+        {"conv": "conv_id", "parent": "parent_turn", "root": "root_turn"})
+
+
 def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bitslice
     return bitslice.top_k(read(spark, sf_dir, "embeddings"), is_query=F.col("id") % 20 == 0)
@@ -77,6 +83,11 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("class.line_no").alias("class_line_no"), "kept")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import packing
+    return packing.pack(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan as S
     found = S.scan(read(spark, sf_dir, "documents"))
@@ -123,11 +134,13 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_quotes": op2_quotes,
     "op3_bitslice": op3_bitslice,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
     "op7_lines": op7_lines,
+    "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
 }
