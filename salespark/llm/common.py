@@ -20,6 +20,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_enough(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows (counted here), else as it is, to be joined by a
+    shuffle.  ``df`` should be a checkpointed table of a few narrow columns."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once for each row.  A lambda that
     names a computed column directly may have the computation inlined by the optimizer, and

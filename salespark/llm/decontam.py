@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, cut, let
+from .common import UPPER, cut, let, small_enough
 
 WINDOW = 13
 SHINGLE = 5
@@ -135,3 +135,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return out.select("doc", "text_key", "n_words", n_hit.alias("n_hit"),
                       F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                       ((n_hit > 0) & (n_hit * SHARE >= F.col("n_words"))).alias("contaminated"))
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          broadcast_rows: int = 1_000_000, **how) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, all columns unchanged."""
+    found = contamination(docs, items, id_col, text_col, **how)
+    drop = cut(found.where("contaminated").select(F.col("doc").alias("drop_id"), F.col("text_key").alias("drop_key")).distinct())
+    return docs.join(small_enough(drop, broadcast_rows), docs[id_col].eqNullSafe(F.col("drop_id"))
+                     & (F.xxhash64(docs[text_col]) == F.col("drop_key")), "left_anti")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_enough
 from .graph import components
 
 SEED = 42
@@ -68,16 +68,17 @@ def fingerprint(text: bytes | None, k: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  k: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): the fingerprint as a signed 64-bit integer, one row per input row."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    """(id, key, fp): the hash of the text, and the fingerprint as a signed 64-bit integer; one row per input row."""
+    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"),
+                     F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), k) for t in b.column("text")), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(fps.view(np.int64))], ["id", "key", "fp"])
 
-    return rows.mapInArrow(run, f"id {id_type}, fp long")
+    return rows.mapInArrow(run, f"id {id_type}, key long, fp long")
 
 
 def hex16(fp: Column) -> Column:
@@ -132,15 +133,34 @@ def links(groups: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """(id, fp, component) of every row; component: the least id of all rows reachable
-    over links of ``max_bits`` or fewer differing bits."""
+    """(id, key, fp, component, class) of every row; key: hash of the text; component: the least id of all rows
+    reachable over links of ``max_bits`` or fewer differing bits; class: a value that all of these share, whether
+    they have ids or not."""
     fps = cut(fingerprints(df, id_col, text_col, k))
     # nodes order by the least id of a fingerprint's rows, so the least node of a
     # component holds its least id; fingerprints without an id come last
     node = F.struct(F.col("first").isNull().alias("no_id"), "first", "fp").alias("node")
     groups = cut(fps.groupBy("fp").agg(F.min("id").alias("first")).select("fp", node))
     parts = cut(components(links(groups, max_bits)).select(
-        F.col("node.fp").alias("g"), F.col("component.first").alias("least")))
+        F.col("node.fp").alias("g"), F.col("component").alias("least")))
     classes = cut(groups.join(parts, F.col("fp") == F.col("g"), "left").select(
-        F.col("fp").alias("h"), F.when(F.col("g").isNull(), F.col("node.first")).otherwise(F.col("least")).alias("component")))
-    return fps.join(classes, F.col("fp") == F.col("h"), "left").select("id", "fp", "component")
+        F.col("fp").alias("h"), F.when(F.col("g").isNull(), F.col("node")).otherwise(F.col("least")).alias("class")))
+    return fps.join(classes, F.col("fp") == F.col("h"), "left").select(
+        "id", "key", "fp", F.col("class.first").alias("component"), "class")
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000,
+                   **how) -> DataFrame:
+    """One row of each group of near copies, the one of the least id (then least hash of its text; rows without id
+    come last), all columns unchanged.  Rows of equal id and text count as one."""
+    found = cut(near_duplicates(df, id_col, text_col, **how).select(
+        "class", F.struct(F.col("id").isNull().alias("no_id"), "id", "key").alias("row")))
+    rows = cut(found.groupBy("class", "row").agg(F.count("*").alias("n")))
+    keep = cut(rows.groupBy(F.col("class").alias("c")).agg(F.min("row").alias("best")))
+    drop = cut(rows.join(keep, F.col("class") == F.col("c")).where(F.col("row") != F.col("best")).select(
+        F.col("row.id").alias("drop_id"), F.col("row.key").alias("drop_key")))
+    left = df.join(small_enough(drop, broadcast_rows), df[id_col].eqNullSafe(F.col("drop_id"))
+                   & (F.xxhash64(df[text_col]) == F.col("drop_key")), "left_anti")
+    if rows.where("n > 1").isEmpty():
+        return left
+    return left.withColumn("_key", F.xxhash64(df[text_col])).dropDuplicates([id_col, "_key"]).drop("_key")
