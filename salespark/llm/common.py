@@ -20,6 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows (counted here), else as it is, to be joined by a
     shuffle.  ``df`` should be a checkpointed table of a few narrow columns."""

@@ -142,5 +142,5 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of ``docs`` that aren't contaminated, all columns unchanged."""
     found = contamination(docs, items, id_col, text_col, **how)
     drop = cut(found.where("contaminated").select(F.col("doc").alias("drop_id"), F.col("text_key").alias("drop_key")).distinct())
-    return docs.join(small_enough(drop, broadcast_rows), docs[id_col].eqNullSafe(F.col("drop_id"))
-                     & (F.xxhash64(docs[text_col]) == F.col("drop_key")), "left_anti")
+    return docs.join(small_enough(drop, broadcast_rows), docs[id_col].eqNullSafe(drop["drop_id"])
+                     & (F.xxhash64(docs[text_col]) == drop["drop_key"]), "left_anti")

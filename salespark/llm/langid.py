@@ -36,6 +36,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 BUCKETS_LOG2 = 14
 BUCKETS = 1 << BUCKETS_LOG2
 DIM = 16
@@ -198,5 +200,5 @@ def predict(model: Model, text: Column) -> Column:
 
 def keep(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows whose text isn't rejected, all columns unchanged."""
-    tag = "_langid_" + "_".join(df.columns)[:40]
+    tag = fresh(df, "language")
     return df.withColumn(tag, predict(model, F.col(text_col))).where(~F.col(tag)["rejected"]).drop(tag)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_enough
+from .common import cut, fresh, small_enough
 from .graph import components
 
 SEED = 42
@@ -159,8 +159,9 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keep = cut(rows.groupBy(F.col("class").alias("c")).agg(F.min("row").alias("best")))
     drop = cut(rows.join(keep, F.col("class") == F.col("c")).where(F.col("row") != F.col("best")).select(
         F.col("row.id").alias("drop_id"), F.col("row.key").alias("drop_key")))
-    left = df.join(small_enough(drop, broadcast_rows), df[id_col].eqNullSafe(F.col("drop_id"))
-                   & (F.xxhash64(df[text_col]) == F.col("drop_key")), "left_anti")
+    left = df.join(small_enough(drop, broadcast_rows), df[id_col].eqNullSafe(drop["drop_id"])
+                   & (F.xxhash64(df[text_col]) == drop["drop_key"]), "left_anti")
     if rows.where("n > 1").isEmpty():
         return left
-    return left.withColumn("_key", F.xxhash64(df[text_col])).dropDuplicates([id_col, "_key"]).drop("_key")
+    key = fresh(df, "text_key")
+    return left.withColumn(key, F.xxhash64(text_col)).dropDuplicates([id_col, key]).drop(key)
