@@ -33,6 +33,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,15 +170,19 @@ def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Colu
     for lang, n in sizes.items():  # the hash is even over 64 bits
         keep = keep | ((F.col("lang") == lang) & (F.col("h") <= min(2**63 - 1, int(-2**63 + min(1.0, each / n) * 2**64))))
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(h, g, f) for h, g, f in zip(b["h"], b["lang"], map(features, b["text"])) if f is not None]
-            yield pd.DataFrame({"h": [x[0] for x in found], "lang": [x[1] for x in found],
-                                # at most 6 bytes for each of the buckets
-                                "ids": [np.flatnonzero(x[2]).astype(np.uint16).tobytes() for x in found],
-                                "counts": [x[2][np.flatnonzero(x[2])].astype(np.uint32).tobytes() for x in found]})
-
-    got = d.where(keep).mapInPandas(counted, "h long, lang string, ids binary, counts binary") \
+            found = [(h, g, f) for h, g, f in zip(b.column("h").to_pylist(), b.column("lang").to_pylist(),
+                                                  map(features, b.column("text").to_pylist())) if f is not None]
+            # at most 6 bytes for each of the buckets
+            ids = [np.flatnonzero(f) for _, _, f in found]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.string()),
+                pa.array([i.astype(np.uint16).tobytes() for i in ids], pa.binary()),
+                pa.array([x[2][i].astype(np.uint32).tobytes() for x, i in zip(found, ids)], pa.binary()),
+            ], ["h", "lang", "ids", "counts"])
+
+    got = d.where(keep).mapInArrow(counted, "h long, lang string, ids binary, counts binary") \
         .orderBy("h", "lang", "counts").limit(2 * rows).collect()
     return [(r["lang"], np.frombuffer(r["ids"], np.uint16).astype(np.int64),
              np.frombuffer(r["counts"], np.uint32).astype(np.int64)) for r in got]
