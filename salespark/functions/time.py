@@ -2,8 +2,8 @@
 
 Two timestamp dialects exist in the sales pipeline:
 
-* ``ts_iso``: Python ``datetime.fromisoformat`` (3.12 rules) -- the wall clock
-  is kept and a UTC offset is *not* applied (``10:30+05:30`` -> hour 10).
+* ``ts_iso``: Python ``datetime.fromisoformat`` (3.13 rules) -- the wall clock
+  is kept and a UTC offset is *not* applied (``10:30+05:30`` -> hour 10); ``instant`` applies it.
 * ``ts_pattern``: ``TO_TIMESTAMP(s, 'yyyy-MM-dd HH:mm:ss')`` of the SQL job,
   NULL when the text does not parse.
 
@@ -15,15 +15,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ISO-8601 shapes accepted by Python's fromisoformat (3.12).
-# Extended form: date YYYY-MM-DD, any single separator character, time
-# HH[:MM[:SS[.fff]]], optional offset Z or +HH[:MM[:SS[.ffffff]]].
-_OFF = r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
-ISO_EXTENDED = (r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
-                r"(?:(?s:.)([0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?)" + _OFF + r")?$")
-# Basic form: YYYYMMDD[THH[MM[SS[.fff]]]][offset]
-ISO_BASIC = (r"^([0-9]{4})([0-9]{2})([0-9]{2})"
-             r"(?:T([0-9]{2})(?:([0-9]{2})(?:([0-9]{2})([.,][0-9]+)?)?)?" + _OFF + r")?$")
+# ISO-8601 texts accepted by Python's fromisoformat (3.13).  The date part (extended, basic,
+# week) and the time part (extended, basic) are independent of each other; any one character
+# separates them; the offset follows the time.
+ISO_DATES = [
+    r"([0-9]{4})-([0-9]{2})-([0-9]{2})",        # year, month, day
+    r"([0-9]{4})([0-9]{2})([0-9]{2})",
+    r"([0-9]{4})-W([0-9]{2})(?:-([1-7]))?",     # ISO year, week, weekday
+    r"([0-9]{4})W([0-9]{2})([1-7])?",
+]
+ISO_TIMES = [
+    r"([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?)?",
+    r"([0-9]{2})(?:([0-9]{2})(?:([0-9]{2})(?:[.,]([0-9]+))?)?)?",
+]
+ISO_OFFSET = r"(Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
 SQL_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -35,30 +40,76 @@ def _c(c: Column | str) -> Column:
 ISO_SIMPLE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
+def _clock(time: str) -> str:
+    """A separator character, a time and an offset."""
+    return "(?s:.)" + time + ISO_OFFSET
+
+
+def _iso_dates(s: Column) -> Column:
+    """The date of an ISO text, NULL for an impossible one."""
+    any_clock = "(?:" + "|".join(_clock(t) for t in ISO_TIMES) + ")?$"
+    out = F.lit(None).cast("date")
+    for shape in reversed(ISO_DATES):
+        pattern = "^" + shape + any_clock
+        y, m, d = (F.regexp_extract(s, pattern, i) for i in (1, 2, 3))
+        if "W" in shape:
+            # week 1 holds January 4th; an ISO year holds its weeks' Thursdays
+            fourth = F.concat(y, F.lit("-01-04")).try_cast("date")
+            monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (m.try_cast("int") - 1) * 7)
+            day = F.date_add(monday, F.when(d == "", 0).otherwise(d.try_cast("int") - 1))
+            date = F.when(F.year(F.date_add(monday, 3)) == y.try_cast("int"), day)
+        else:
+            date = F.concat_ws("-", y, m, d).try_cast("date")
+        out = F.when(s.rlike(pattern), date).otherwise(out)
+    return out
+
+
+def _iso_clock(s: Column, group: int) -> Column:
+    """Group ``group`` (1..4: hour, minute, second, fraction; 5: offset) of an ISO text's time, '' if absent."""
+    any_date = "^(?:" + "|".join(d.replace("(", "(?:").replace("(?:?:", "(?:") for d in ISO_DATES) + ")"
+    out = F.lit("")
+    for time in reversed(ISO_TIMES):
+        pattern = any_date + _clock(time) + "$"
+        out = F.when(s.rlike(pattern), F.regexp_extract(s, pattern, group)).otherwise(out)
+    return out
+
+
 def ts_iso(s: Column | str) -> Column:
     """``datetime.fromisoformat(s)`` as TIMESTAMP_NTZ (offset dropped), NULL when
     Python would raise (bad text, empty, null, impossible dates, year 0).
 
     Pass a column, not a large expression: the text is read several times.
-    Cost per row: one regex for the common ``yyyy-MM-dd[T ]HH:mm:ss`` shape; the
-    other extended forms add one match and one rewrite; the basic form
-    (``20260709T103000``) is only tried when the others fail."""
+    Cost per row: one regex for the common ``yyyy-MM-dd[T ]HH:mm:ss`` shape, which Spark's cast reads; only other
+    texts go through the general rules."""
     s = _c(s)
-    extended = F.rtrim(F.regexp_replace(F.regexp_replace(s, ISO_EXTENDED, "$1T$2"), ",", "."),
-                       F.lit("T"))
-    b = [F.regexp_extract(s, ISO_BASIC, i) for i in range(1, 8)]
-    basic_date = F.concat(b[0], F.lit("-"), b[1], F.lit("-"), b[2])
-    basic_time = F.concat(
-        b[3], F.lit(":"), F.when(b[4] == "", "00").otherwise(b[4]), F.lit(":"),
-        F.when(b[5] == "", "00").otherwise(b[5]), F.regexp_replace(b[6], ",", "."))
-    basic = F.when(b[3] == "", basic_date).otherwise(F.concat(basic_date, F.lit("T"), basic_time))
-    text = (F.when(s.rlike(ISO_SIMPLE), s)
-             .when(s.rlike(ISO_EXTENDED), extended)
-             .when(s.rlike(ISO_BASIC), basic))
+    h, m, sec, frac = (_iso_clock(s, i) for i in (1, 2, 3, 4))
+
+    def or_zero(x: Column) -> Column:
+        return F.when(x == "", "00").otherwise(x)
+
+    general = F.concat(_iso_dates(s).cast("string"), F.lit("T"), or_zero(h), F.lit(":"), or_zero(m), F.lit(":"), or_zero(sec),
+                       F.lit("."), F.rpad(F.substr(frac, F.lit(1), F.lit(6)), 6, "0"))
+    text = F.when(s.rlike(ISO_SIMPLE), s).otherwise(general)
     # Spark accepts year 0000, Python's datetime does not
     return F.when(~s.startswith("0000"), text.try_cast("timestamp_ntz"))
 
 
+def iso_offset(s: Column | str) -> Column:
+    """Seconds east of UTC that an ISO text states; 0 when it states none."""
+    s = _c(s)
+    o = F.regexp_replace(_iso_clock(s, 5), "[.,].*|:", "")
+    east = (F.coalesce(F.substr(o, F.lit(2), F.lit(2)).try_cast("int"), F.lit(0)) * 3600
+            + F.coalesce(F.substr(o, F.lit(4), F.lit(2)).try_cast("int"), F.lit(0)) * 60
+            + F.coalesce(F.substr(o, F.lit(6), F.lit(2)).try_cast("int"), F.lit(0)))
+    return F.when(s.rlike(ISO_SIMPLE) | ~s.rlike(r"[Z+-]"), 0).otherwise(F.when(o.startswith("-"), -east).otherwise(east))
+
+
+def instant(wall: Column | str, text: Column | str) -> Column:
+    """The UTC clock of a wall clock that ``text`` states with its offset (none: UTC already)."""
+    wall, text = _c(wall), _c(text)
+    return F.when(text.rlike(ISO_SIMPLE), wall).otherwise(wall - F.make_dt_interval(secs=iso_offset(text).cast("decimal(18,6)")))
+
+
 # The SQL job's one pattern as a regex: the text must have exactly this shape.
 SQL_PATTERN_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
