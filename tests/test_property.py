@@ -1,76 +1,68 @@
-"""Property test: the Spark event path against a plain-Python reading of the
-validation rules, on generated events (random key presence, JSON types and
-timestamp texts).  The Python side is the brute-force oracle for cases the
-derived tables cannot produce (explicit nulls, strings in number fields,
-offsets, unknown keys)."""
+"""Properties of the event path on generated events; none needs a second implementation of the rules."""
 
-from datetime import datetime
+import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.helpers import tag_rows
-
-DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-
-
-def _is_number(x) -> bool:
-    return isinstance(x, (int, float)) and not isinstance(x, bool)
-
-
-def expected(event: dict):
-    """(reason, enrichment) per the rules: missing id key, quantity <= 0,
-    price <= 0, unparsable timestamp; non-numbers where numbers are compared
-    are dead letters ('malformed')."""
-    if not all(k in event for k in ("sale_id", "user_id", "product_id")):
-        return "missing_field", None
-    for key, reason in (("quantity", "quantity_zero"), ("unit_price", "negative_price")):
-        value = event.get(key, 0)
-        if not _is_number(value):
-            return "malformed", None
-        if value <= 0:
-            return reason, None
-    ts = event.get("event_timestamp", "")
-    try:
-        if not isinstance(ts, str):
-            raise TypeError
-        dt = datetime.fromisoformat(ts)
-    except (TypeError, ValueError):
-        return "corrupted_timestamp", None
-    total = event.get("total_amount", 0)
-    if not _is_number(total):
-        return "malformed", None
-    band = "low" if total < 50 else "medium" if total < 200 else "high"
-    return None, {"date_id": dt.strftime("%Y-%m-%d"), "value_band": band, "sale_hour": dt.hour,
-                  "sale_minute": dt.minute, "day_of_week": DAYS[dt.weekday()]}
-
-
-ABSENT = object()
-numbers = st.one_of(st.integers(-1000, 1000), st.floats(-1000, 1000, allow_nan=False).map(lambda f: round(f, 2)))
-values = {
-    "sale_id": st.one_of(st.just("S-1"), st.none()),
-    "user_id": st.one_of(st.just("U-0001"), st.none()),
-    "product_id": st.one_of(st.integers(100, 500), st.none()),
-    "quantity": st.one_of(st.integers(-3, 5), st.none(), st.just("2")),
-    "unit_price": st.one_of(numbers, st.none(), st.just("9.99")),
-    "total_amount": st.one_of(numbers, st.none(), st.just("10")),
-    "event_timestamp": st.one_of(
-        st.sampled_from(["2026-07-09T10:30:00", "2026-07-09 23:59:59", "2026-07-09T10:30:00+05:30",
-                         "2026-07-09T10:30:00Z", "2026-07-12", "2026-02-30T10:00:00", "bad",
-                         "", "corrupted-timestamp", "2026-07-09T10:30:00.250"]),
-        st.none(), st.just(20260709)),
-}
-events = st.fixed_dictionaries({k: st.one_of(st.just(ABSENT), v) for k, v in values.items()}).map(
-    lambda d: {k: v for k, v in d.items() if v is not ABSENT})
-
-
-@settings(max_examples=8, deadline=None)
-@given(st.lists(events, min_size=40, max_size=40))
-def test_spark_matches_python_rules(spark, batch):
-    rows = tag_rows(spark, batch)
-    for event, row in zip(batch, rows):
-        reason, enrich = expected(event)
-        assert row["error_reason"] == reason, (event, row["error_reason"])
-        if enrich:
-            for k, v in enrich.items():
-                assert row[k] == v, (event, k, row[k], v)
+from salespark.operators import validate as V
+from salespark.schemas import ENRICH_FIELDS
+from tests.helpers import sale, tag_rows
+from tests.test_validator import BREAK
+
+RULES = list(BREAK)
+numbers = st.integers(1, 10_000)
+broken_sets = st.lists(st.sampled_from(RULES), unique=True)
+extras = st.dictionaries(st.text("xyz", min_size=1, max_size=3), st.one_of(st.none(), st.booleans(), st.integers(-9, 9), st.text(max_size=4)), max_size=3)
+many = settings(max_examples=6, deadline=None)
+
+
+def event(number, rules, extra):
+    changes = {}
+    for r in rules:
+        changes.update(BREAK[r])
+    return {**extra, **sale(number, **changes)}
+
+
+events = st.lists(st.tuples(numbers, broken_sets, extras), min_size=30, max_size=30)
+
+
+@many
+@given(events)
+def test_valid_if_and_only_if_no_rule_is_broken(spark, batch):
+    rows = tag_rows(spark, [event(*e) for e in batch])
+    assert [r["error_reason"] is None for r in rows] == [not rules for _, rules, _ in batch]
+    for row in rows:
+        assert all((row[k] is not None) == (row["error_reason"] is None) for k in ENRICH_FIELDS)
+
+
+@many
+@given(events)
+def test_mending_the_first_broken_rule_moves_on_to_the_next(spark, batch):
+    chains = [(n, sorted(rules, key=RULES.index), extra) for n, rules, extra in batch]
+    flat = [(n, rules[k:], extra) for n, rules, extra in chains for k in range(len(rules) + 1)]
+    rows = iter(tag_rows(spark, [event(*e) for e in flat]))
+    for _, rules, _ in chains:
+        assert [next(rows)["error_reason"] for _ in range(len(rules) + 1)] == [*rules, None]
+
+
+@many
+@given(events)
+def test_unknown_keys_change_nothing_but_the_record(spark, batch):
+    with_keys = tag_rows(spark, [event(*e) for e in batch])
+    without = tag_rows(spark, [event(n, rules, {}) for n, rules, _ in batch])
+    for (_, _, extra), a, b in zip(batch, with_keys, without):
+        record, plain = json.loads(a.pop("value")), json.loads(b.pop("value"))
+        assert a == b
+        kept = {} if a["error_reason"] == V.MISSING_FIELD else extra
+        assert record == {**kept, **plain}
+
+
+@many
+@given(events)
+def test_order_of_keys_does_not_matter(spark, batch):
+    texts = [json.dumps(event(*e)) for e in batch]
+    turned = [json.dumps(dict(reversed(event(*e).items()))) for e in batch]
+    a, b = tag_rows(spark, texts), tag_rows(spark, turned)
+    for x, y in zip(a, b):
+        assert json.loads(x.pop("value")) == json.loads(y.pop("value")) and x == y

@@ -1,144 +1,143 @@
-"""Validator cases: each event goes through the real path (JSON text -> VARIANT
--> rule CASE -> enrichment / outgoing record), one Spark job for all cases."""
+"""The validation rules through the real path (JSON text -> VARIANT -> rule CASE -> enrichment / outgoing record).
 
+Cases follow from the rules: a value below, at and above each threshold; each rule broken alone; each pair of rules
+broken together, where the earlier one names the event."""
+
+import itertools
 import json
+from datetime import date, timedelta
 
 import pytest
 
-from tests.helpers import tag_rows, valid_event, without
-
-V = valid_event
-
-CASES = [
-    # (name, event, expected reason (None = valid), expected fields)
-    ("valid", V(), None, {}),
-    ("date_id", V(event_timestamp="2026-07-09T12:30:00+00:00"), None, {"date_id": "2026-07-09"}),
-    ("band_low", V(total_amount=30.0), None, {"value_band": "low"}),
-    ("band_medium", V(total_amount=100.0), None, {"value_band": "medium"}),
-    ("band_high", V(total_amount=250.0), None, {"value_band": "high"}),
-    ("hour_minute", V(event_timestamp="2026-07-09T15:45:00+00:00"), None,
-     {"sale_hour": 15, "sale_minute": 45}),
-    ("weekday", V(event_timestamp="2026-07-09T12:00:00+00:00"), None, {"day_of_week": "Thursday"}),
-    ("edge_49_99", V(total_amount=49.99), None, {"value_band": "low"}),
-    ("edge_50", V(total_amount=50.0), None, {"value_band": "medium"}),
-    ("edge_199_99", V(total_amount=199.99), None, {"value_band": "medium"}),
-    ("edge_200", V(total_amount=200.0), None, {"value_band": "high"}),
-    ("missing_sale_id", without(V(), "sale_id"), "missing_field", {"sale_id": "N/A"}),
-    ("missing_user_id", without(V(), "user_id"), "missing_field", {"user_id": "N/A"}),
-    ("missing_product_id", without(V(), "product_id"), "missing_field", {"product_id": None}),
-    ("missing_all_three", without(V(), "sale_id", "user_id", "product_id"), "missing_field",
-     {"sale_id": "N/A", "user_id": "N/A"}),
-    ("quantity_zero", V(quantity=0), "quantity_zero", {}),
-    ("quantity_negative", V(quantity=-5), "quantity_zero", {}),
-    ("quantity_before_ts", V(quantity=0, event_timestamp="corrupted-timestamp"), "quantity_zero", {}),
-    ("price_negative", V(unit_price=-10.0), "negative_price", {}),
-    ("price_zero", V(unit_price=0.0), "negative_price", {}),
-    ("ts_corrupted", V(event_timestamp="corrupted-timestamp"), "corrupted_timestamp", {}),
-    ("ts_empty", V(event_timestamp=""), "corrupted_timestamp", {}),
-    ("ts_absent", without(V(), "event_timestamp"), "corrupted_timestamp", {}),
-    ("ts_null", V(event_timestamp=None), "corrupted_timestamp", {}),
-    ("invalid_one_output", V(quantity=0), "quantity_zero", {}),
-    ("total_zero", V(total_amount=0.0), None, {"value_band": "low"}),
-    ("total_0_01", V(total_amount=0.01), None, {"value_band": "low"}),
-    ("total_exact_50", V(total_amount=50.0), None, {"value_band": "medium"}),
-    ("total_exact_200", V(total_amount=200.0), None, {"value_band": "high"}),
-    ("enrichment_complete", V(), None, {}),
-    ("reason_empty_object", {}, "missing_field", {}),
-    ("reason_qty", V(quantity=0), "quantity_zero", {}),
-    ("reason_price", V(unit_price=0), "negative_price", {}),
-    ("reason_garbage_ts", V(event_timestamp="garbage"), "corrupted_timestamp", {}),
-    ("offset_kept_wall_clock", V(event_timestamp="2026-07-09T10:30:00+05:30"), None,
-     {"date_id": "2026-07-09", "sale_hour": 10, "sale_minute": 30}),
-    ("zulu", V(event_timestamp="2026-07-09T10:30:00Z"), None, {"date_id": "2026-07-09"}),
-    ("order_qty_price_ts", V(quantity=0, unit_price=-10, event_timestamp="bad"), "quantity_zero", {}),
-    ("defaults", {"irrelevant": True}, "missing_field",
-     {"sale_id": "N/A", "user_id": "N/A", "product_id": None, "quantity": 0,
-      "event_timestamp": "N/A"}),
-    ("large_negative_qty", V(quantity=-100), "quantity_zero", {}),
-    ("large_negative_price", V(unit_price=-9999.99), "negative_price", {}),
-    ("types", V(quantity=3, unit_price=49.99, total_amount=149.97), None,
-     {"quantity": 3}),
-] + [
-    (f"weekday_{day}", V(event_timestamp=f"2026-07-{d:02d}T00:00:00+00:00"), None, {"day_of_week": day})
-    for d, day in zip(range(6, 13), ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
-                                     "Saturday", "Sunday"])
-] + [
-    # beyond the original: inputs its job would crash on become dead letters
-    ("not_json", "{not json", "malformed", {}),
-    ("json_array", "[1, 2]", "malformed", {}),
-    ("quantity_string", V(quantity="3"), "malformed", {}),
-    ("quantity_null", V(quantity=None), "malformed", {}),
-    ("price_null", V(unit_price=None), "malformed", {}),
-    ("total_string", V(total_amount="100"), "malformed", {}),
-    ("ts_number", V(event_timestamp=20260709), "corrupted_timestamp", {}),
-    ("absent_total_is_low", without(V(), "total_amount"), None, {"value_band": "low"}),
-    ("absent_quantity", without(V(), "quantity"), "quantity_zero", {}),
-    ("absent_price", without(V(), "unit_price"), "negative_price", {}),
-    ("explicit_null_id_is_present", V(sale_id=None), None, {"sale_id": None}),
-]
+from salespark.functions import money as M
+from salespark.functions.time import DAY_NAMES
+from salespark.operators import facts as FA
+from salespark.operators import validate as V
+from salespark.schemas import ENRICH_FIELDS, ID_FIELDS, RAW_FIELDS
+from tests.helpers import messages, sale, tag_rows
+
+# How to break each rule, in the order of the rules.
+BREAK = {
+    V.MISSING_FIELD: {"drop": ("user_id",)},
+    V.QUANTITY_ZERO: {"quantity": -7},
+    V.NEGATIVE_PRICE: {"unit_price": -0.5},
+    V.CORRUPTED_TIMESTAMP: {"event_timestamp": "29.02.2024"},
+}
+
+
+def broken(*rules):
+    changes = {}
+    for r in rules:
+        changes.update(BREAK[r])
+    return sale(**changes)
+
+
+def reasons(spark, events):
+    return [r["error_reason"] for r in tag_rows(spark, events)]
+
+
+def test_each_rule_alone_and_each_pair(spark):
+    sets = [(r,) for r in BREAK] + list(itertools.combinations(BREAK, 2)) + [tuple(BREAK)]
+    assert reasons(spark, [broken(*s) for s in sets]) == [s[0] for s in sets]
+    assert reasons(spark, [sale()]) == [None]
+
+
+def test_any_missing_id_counts(spark):
+    sets = [s for n in (1, 2, 3) for s in itertools.combinations(ID_FIELDS, n)]
+    rows = tag_rows(spark, [sale(drop=s) for s in sets])
+    for s, row in zip(sets, rows):
+        out = json.loads(row["value"])
+        assert row["error_reason"] == V.MISSING_FIELD
+        assert {k for k in ID_FIELDS if out[k] == V.NA} == set(s)
+        assert set(out) == {*RAW_FIELDS, "error_reason"}
 
 
-@pytest.fixture(scope="module")
-def tagged(spark):
-    rows = tag_rows(spark, [c[1] for c in CASES])
-    return {c[0]: r for c, r in zip(CASES, rows)}
+def test_bands_around_their_thresholds(spark):
+    # The thresholds, a cent below, at and a cent above.
+    steps = [(t + d / 100, "low" if t + d / 100 < M.BAND_LOW_BELOW else "medium" if t + d / 100 < M.BAND_MEDIUM_BELOW else "high")
+             for t in (0, M.BAND_LOW_BELOW, M.BAND_MEDIUM_BELOW) for d in (-1, 0, 1)]
+    rows = tag_rows(spark, [sale(total_amount=t) for t, _ in steps] + [sale(drop=("total_amount",))])
+    assert [r["value_band"] for r in rows] == [b for _, b in steps] + ["low"]
 
 
-@pytest.mark.parametrize("name,event,reason,fields", CASES, ids=[c[0] for c in CASES])
-def test_case(tagged, name, event, reason, fields):
-    row = tagged[name]
-    assert row["error_reason"] == reason
-    for k, v in fields.items():
-        assert row[k] == v, (k, row[k], v)
-    if reason is None:
-        for k in ("date_id", "value_band", "sale_hour", "sale_minute", "day_of_week"):
-            assert row[k] is not None
-    else:
-        assert row["date_id"] is None and row["value_band"] is None
+@pytest.mark.parametrize("field,reason", [("quantity", V.QUANTITY_ZERO), ("unit_price", V.NEGATIVE_PRICE)])
+def test_numbers_must_be_over_zero(spark, field, reason):
+    rows = reasons(spark, [sale(**{field: x}) for x in (-1, 0, 1)] + [sale(drop=(field,))])
+    assert rows == [reason, reason, None, reason]
 
 
-def test_valid_record_keeps_fields_and_adds_enrichment(tagged):
-    out = json.loads(tagged["valid"]["value"])
-    for k, v in V().items():
-        assert out[k] == v
-    for k in ("date_id", "value_band", "sale_hour", "sale_minute", "day_of_week"):
-        assert k in out
-    assert "error_reason" not in out
+def test_timestamps(spark):
+    texts = ["2024-02-29T23:59:58Z", "20240229", "2024-W09-4", "", " ", "soon", "2023-02-29", None, 20240229]
+    rows = reasons(spark, [sale(event_timestamp=t) for t in texts] + [sale(drop=("event_timestamp",))])
+    assert rows == [None] * 3 + [V.CORRUPTED_TIMESTAMP] * 7
 
 
-def test_invalid_record_is_event_plus_reason(tagged):
-    out = json.loads(tagged["quantity_zero"]["value"])
-    assert out["error_reason"] == "quantity_zero"
-    assert out["quantity"] == 0 and out["sale_id"] == "S-000001"
+def test_weekdays_and_clock(spark):
+    first = date(2024, 1, 7)  # a Sunday
+    days = [first + timedelta(i) for i in range(7)]
+    rows = tag_rows(spark, [sale(event_timestamp=f"{d}T0{i}:1{i}:00") for i, d in enumerate(days)])
+    assert [r["day_of_week"] for r in rows] == list(DAY_NAMES)
+    assert [(r["date_id"], r["sale_hour"], r["sale_minute"]) for r in rows] == [(str(d), i, 10 + i) for i, d in enumerate(days)]
 
 
-def test_missing_field_record_is_rebuilt_with_defaults(tagged):
-    out = json.loads(tagged["defaults"]["value"])
-    assert out == {"sale_id": "N/A", "user_id": "N/A", "product_id": "N/A", "quantity": 0,
-                   "unit_price": 0, "total_amount": 0, "event_timestamp": "N/A",
-                   "error_reason": "missing_field"}
-    assert "irrelevant" not in out
+def test_offset_is_kept_on_the_clock_and_applied_to_the_instant(spark):
+    row = tag_rows(spark, [sale(event_timestamp="2024-03-01T01:30:00+02:00")])[0]
+    assert (row["date_id"], row["sale_hour"], row["day_of_week"]) == ("2024-03-01", 1, "Friday")
+    assert str(row["event_ts"]) == "2024-03-01 01:30:00" and str(row["event_instant"]) == "2024-02-29 23:30:00"
 
 
-def test_unknown_keys_are_kept(spark):
-    row = tag_rows(spark, [V(channel="web", quantity=0)])[0]
-    out = json.loads(row["value"])
-    assert out["channel"] == "web" and out["error_reason"] == "quantity_zero"
+NOT_NUMBERS = [None, "4", True, [1], {"n": 1}]
 
 
-def test_dead_letter_keeps_raw_text(tagged):
-    out = json.loads(tagged["not_json"]["value"])
-    assert out == {"raw": "{not json", "error_reason": "malformed"}
+def test_what_would_crash_the_original_is_a_dead_letter(spark):
+    texts = ["{oops", "", "[]", "3", '"text"', "null"]
+    values = [sale(**{k: x}) for k in ("quantity", "unit_price", "total_amount") for x in NOT_NUMBERS]
+    rows = tag_rows(spark, [*texts, *values])
+    assert all(r["error_reason"] == V.MALFORMED for r in rows)
+    for text, row in zip([*texts, *(json.dumps(v) for v in values)], rows):
+        assert json.loads(row["value"]) == {"raw": text, "error_reason": V.MALFORMED}
 
 
-def test_duplicate_key_last_wins(spark):
-    text = '{"sale_id":"S-1","user_id":"U-0001","product_id":101,"quantity":0,"quantity":2,' \
-           '"unit_price":5.0,"total_amount":10.0,"event_timestamp":"2026-07-09 10:00:00"}'
-    row = tag_rows(spark, [text])[0]
-    assert row["error_reason"] is None and row["quantity"] == 2
+def test_valid_record_is_the_event_with_enrichment(spark):
+    event = sale(3, shop={"city": "Ulm"}, note=None)
+    out = json.loads(tag_rows(spark, [event])[0]["value"])
+    assert {k: out[k] for k in event} == event and set(out) == {*event, *ENRICH_FIELDS}
+
+
+def test_invalid_record_is_the_event_with_the_reason(spark):
+    event = sale(4, quantity=0, note="kept")
+    assert json.loads(tag_rows(spark, [event])[0]["value"]) == {**event, "error_reason": V.QUANTITY_ZERO}
+
+
+def test_record_of_an_empty_event_holds_only_defaults(spark):
+    row = tag_rows(spark, [{"note": 1}])[0]
+    numbers = {"quantity", "unit_price", "total_amount"}
+    assert json.loads(row["value"]) == {**{k: 0 if k in numbers else V.NA for k in RAW_FIELDS}, "error_reason": V.MISSING_FIELD}
+
+
+def test_key_with_null_is_present(spark):
+    row = tag_rows(spark, [sale(sale_id=None)])[0]
+    assert row["error_reason"] is None and row["sale_id"] is None
+
+
+def test_repeated_key_counts_with_its_last_value(spark):
+    text = json.dumps(sale(5))[:-1] + ', "quantity": 0}'
+    assert reasons(spark, [text]) == [V.QUANTITY_ZERO]
+
+
+# What doesn't fit a column of the fact table, and the rules it breaks there.
+UNFIT = [
+    (sale(1, quantity=2.5), ["quantity_not_null"]), (sale(2, quantity=0.5), ["quantity_not_null"]),
+    (sale(3, total_amount=10 ** 10 + 0.5), ["total_amount_not_null"]), (sale(4, product_id="ABC"), ["product_id_not_null"]),
+    (sale(5, product_id=7.5), ["product_id_not_null"]), (sale(6, user_id=None, sale_id=None), ["sale_id_not_null", "user_id_not_null"]),
+    (sale(7, drop=("total_amount",)), ["total_amount_not_null"]), (sale(8, quantity=2.0), []), (sale(9), []),
+]
 
 
-def test_types_of_typed_columns(tagged):
-    row = tagged["types"]
-    assert isinstance(row["quantity"], int)
-    assert str(row["unit_price"]) == "49.99" and str(row["total_amount"]) == "149.97"
+def test_valid_sales_that_do_not_fit_are_rejected_with_their_rules(spark):
+    valid = V.valid_events(V.tag_events(messages(spark, [e for e, _ in UNFIT])))
+    assert valid.count() == len(UNFIT)
+    ok, bad = FA.by_contract(FA.fact_rows(valid))
+    assert {r.ingest_key: r.violations for r in bad.collect()} == {i: v for i, (_, v) in enumerate(UNFIT) if v}
+    assert [r.ingest_key for r in ok.orderBy("ingest_key").collect()] == [i for i, (_, v) in enumerate(UNFIT) if not v]
+    assert ok.filter("ingest_key = 7").first().quantity == 2
