@@ -2,9 +2,9 @@
 
     python -m salespark etl         --root <shared folder> [--bootstrap host:port]
     python -m salespark anomaly     --root ...
-    python -m salespark aggregation --root ... [--time ingest_ts]
+    python -m salespark aggregation --root ... [--time event_ts]
     python -m salespark sql-etl     --root ...
-    python -m salespark fact-consumer / alert-consumer --root ...
+    python -m salespark fact-consumer / alert-consumer / agg-consumer --root ...
 
 Topics are Kafka when ``--bootstrap`` is given, else parquet message folders
 under ``--root``.  Tables and checkpoints live under ``--root`` (default: the
@@ -21,7 +21,7 @@ from salespark.session import build_session, checkpoint_root
 from salespark.streaming import jobs as JB
 from salespark.streaming import topics as T
 
-JOBS = ("etl", "anomaly", "aggregation", "sql-etl", "fact-consumer", "alert-consumer")
+JOBS = ("etl", "anomaly", "aggregation", "sql-etl", "fact-consumer", "alert-consumer", "agg-consumer")
 
 
 def main(argv=None) -> None:
@@ -29,8 +29,8 @@ def main(argv=None) -> None:
     ap.add_argument("job", choices=JOBS)
     ap.add_argument("--root", help="shared folder for tables, topics and checkpoints")
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers (else file topics)")
-    ap.add_argument("--starting-offsets", default="earliest")
-    ap.add_argument("--time", default="event_ts", choices=("event_ts", "ingest_ts"),
+    ap.add_argument("--starting-offsets", help="of a new job on Kafka (default: latest for sql-etl, else earliest)")
+    ap.add_argument("--time", default="ingest_ts", choices=("event_ts", "ingest_ts"),
                     help="aggregation clock: event time or arrival time")
     ap.add_argument("--once", action="store_true", help="drain available data and stop")
     ap.add_argument("--every", default="60 seconds", help="processing-time trigger interval")
@@ -42,28 +42,31 @@ def main(argv=None) -> None:
 
     def topic(name: str) -> T.Topic:
         if a.bootstrap:
-            return T.kafka_topic(name, a.bootstrap, a.starting_offsets, group_id=f"salespark-{a.job}")
+            start = a.starting_offsets or ("latest" if a.job == "sql-etl" else "earliest")
+            return T.kafka_topic(name, a.bootstrap, start, group_id=f"salespark-{a.job}")
         return T.file_topic(name, root)
 
     trigger = {"availableNow": True} if a.once else {"processingTime": a.every}
     tables, ckpt = f"{root}/tables", f"{root}/checkpoints/{a.job}"
+    more = {"trigger": trigger, "max_per_trigger": a.max_per_trigger}
     if a.job == "etl":
         out = JB.EtlOutputs(topic(T.VALID_TOPIC), topic(T.INVALID_TOPIC), f"{tables}/fact_sales")
-        q = JB.start_etl(spark, topic(T.RAW_TOPIC), out, ckpt, trigger, a.max_per_trigger)
+        q = JB.start_etl(spark, topic(T.RAW_TOPIC), out, ckpt, **more)
     elif a.job == "anomaly":
-        q = JB.start_anomaly(spark, topic(T.INVALID_TOPIC), f"{tables}/anomaly_alerts", ckpt, trigger,
-                             alerts_topic=topic(T.ALERTS_TOPIC))
+        q = JB.start_anomaly(spark, topic(T.INVALID_TOPIC), f"{tables}/anomaly_alerts", ckpt,
+                             alerts_topic=topic(T.ALERTS_TOPIC), **more)
     elif a.job == "aggregation":
-        q = JB.start_aggregation(spark, topic(T.VALID_TOPIC), f"{tables}/agg_sales_windowed_log", ckpt,
-                                 time_col=a.time, trigger=trigger)
+        q = JB.start_aggregation(spark, topic(T.VALID_TOPIC), f"{tables}/agg_sales_windowed", ckpt,
+                                 time_col=a.time, agg_topic=topic(T.AGG_TOPIC), **more)
     elif a.job == "sql-etl":
         q = JB.start_sql_etl(spark, topic(T.RAW_TOPIC), f"{tables}/fact_sale_sink",
-                             topic(T.INVALID_TOPIC), ckpt, trigger)
+                             topic(T.INVALID_TOPIC), ckpt, **more)
     elif a.job == "fact-consumer":
-        q = JB.start_fact_consumer(spark, topic(T.VALID_TOPIC), f"{tables}/fact_sales", ckpt, trigger)
+        q = JB.start_fact_consumer(spark, topic(T.VALID_TOPIC), f"{tables}/fact_sales_consumer", ckpt, **more)
+    elif a.job == "alert-consumer":
+        q = JB.start_alert_consumer(spark, topic(T.ALERTS_TOPIC), f"{tables}/anomaly_alerts_consumer", ckpt, **more)
     else:
-        q = JB.start_alert_consumer(spark, topic(T.ALERTS_TOPIC), f"{tables}/anomaly_alerts_consumer",
-                                    ckpt, trigger)
+        q = JB.start_agg_consumer(spark, topic(T.AGG_TOPIC), f"{tables}/agg_sales_windowed_consumer", ckpt, **more)
     q.awaitTermination()
     if q.exception() is not None:
         raise SystemExit(str(q.exception()))

@@ -42,6 +42,16 @@ def field(v: Column | str, key: str, as_type: str = "variant") -> Column:
     return F.try_variant_get(v, f"$.{key}", as_type)
 
 
+def fields(v: Column | str, keys) -> Column:
+    """struct of ``event[key]`` as VARIANTs, in one walk over the object (NULL: absent)."""
+    return F.try_variant_get(v, "$", "struct<" + ", ".join(f"{k}: variant" for k in keys) + ">")
+
+
+def as_type(value: Column, as_type: str) -> Column:
+    """A VARIANT value as ``as_type`` (NULL when not convertible)."""
+    return F.try_variant_get(value, "$", as_type)
+
+
 def has_key(v: Column | str, key: str) -> Column:
     """``key in event`` -- true also when the value is JSON null."""
     return field(v, key).isNotNull()
@@ -55,7 +65,12 @@ def kind(v: Column | str, key: str) -> Column:
 
 def is_number(v: Column | str, key: str) -> Column:
     """Present and a JSON number (Python int or float)."""
-    k = kind(v, key)
+    return type_is_number(field(v, key))
+
+
+def type_is_number(value: Column) -> Column:
+    """A VARIANT value that is a JSON number."""
+    k = F.schema_of_variant(value)
     return k.isin(*NUMERIC_KINDS) | k.startswith("DECIMAL")
 
 

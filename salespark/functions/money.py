@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salespark.schemas import MONEY_TOTAL, MONEY_UNIT
+from salespark.schemas import MONEY_SUM, MONEY_TOTAL, MONEY_UNIT
 
 # Value-band thresholds (total < 50 low, < 200 medium, else high).
 BAND_LOW_BELOW = 50
@@ -46,10 +46,10 @@ def total_money(c: Column | str) -> Column:
 
 
 def mean_cents(total: Column | str, n: Column | str) -> Column:
-    """``total / n`` rounded half-up to cents as DECIMAL(12,2); 0 when n = 0.
+    """``total / n`` rounded half-up to cents; 0 when n = 0.
 
     Decimal division, so the result does not depend on summation order (a
     double accumulator would)."""
     total, n = _c(total), _c(n)
     return (F.when(n == 0, F.lit(0))
-             .otherwise(F.round(total / n, 2))).cast(MONEY_TOTAL)
+             .otherwise(F.round(total / n, 2))).cast(MONEY_SUM)

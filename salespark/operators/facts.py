@@ -3,8 +3,8 @@
 The original job inserts each valid event with ``ON CONFLICT (sale_id) DO
 NOTHING``: the first arrival of a sale id is kept, later ones are dropped.
 
-``first_wins`` is one hash/sort aggregation keyed by ``sale_id`` whose buffer is
-the smallest ``(ingest_key, row)`` struct.  Spark runs it partial-then-final:
+``first_wins`` is one aggregation keyed by ``sale_id`` whose buffer is the smallest ``(ingest_key, row)`` struct of the
+columns that are wanted, and no others.  Spark runs it partial-then-final:
 every map task already reduces its duplicates of a key to one row before the
 shuffle, so a hot sale id (a duplicate storm holding a third of the input)
 ships one row per map task, not its whole group -- unlike ``row_number()``
@@ -13,27 +13,28 @@ over a window, which would sort the whole hot group inside one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FACT_COLUMNS = ("sale_id", "user_id", "product_id", "date_id", "quantity",
-                "unit_price", "total_amount", "value_band", "sale_hour",
-                "sale_minute", "day_of_week", "event_timestamp")
+from salespark.operators import quality as Q
+from salespark.schemas import FACT_COLUMNS
 
 
-def first_wins(df: DataFrame, key: str = "sale_id", order: str = "ingest_key") -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order`` (ties broken
-    by the remaining columns, so the choice is deterministic)."""
-    rest = [c for c in df.columns if c not in (key, order)]
+def first_wins(df: DataFrame, key: str = "sale_id", order: str = "ingest_key",
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per ``key``: the row with the smallest ``order`` (unique per arrival), with ``columns`` (all others if not
+    given) beside the key."""
+    rest = [c for c in (df.columns if columns is None else columns) if c not in (key, order)]
     won = df.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("_w"))
     return won.select(key, *[F.col(f"_w.{c}").alias(c) for c in (order, *rest)])
 
 
 def fact_rows(valid: DataFrame) -> DataFrame:
-    """Tagged valid events -> typed fact rows (``date_id`` DATE, event time
-    TIMESTAMP_NTZ wall clock).  Rows that violate a NOT NULL column of the fact
-    table (e.g. a valid event without ``total_amount``) are not facts: see
-    ``quality.fact_violations``."""
+    """Tagged valid events -> typed fact rows: ``date_id``, hour, minute and weekday are those of the clock on the
+    event's text, ``event_timestamp`` is the instant (UTC).  A value that does not fit its column is NULL here
+    and breaks the table's contract: see ``by_contract``."""
     return valid.select(
         "sale_id", "user_id", "product_id",
         F.to_date("date_id").alias("date_id"),
@@ -41,18 +42,16 @@ def fact_rows(valid: DataFrame) -> DataFrame:
         F.col("sale_hour").cast("int").alias("sale_hour"),
         F.col("sale_minute").cast("int").alias("sale_minute"),
         "day_of_week",
-        F.col("event_ts").alias("event_timestamp"),
+        F.col("event_instant").alias("event_timestamp"),
         "ingest_key")
 
 
-def not_null_ok(df: DataFrame) -> DataFrame:
-    cond = F.lit(True)
-    for c in FACT_COLUMNS:
-        cond = cond & F.col(c).isNotNull()
-    return df.filter(cond)
+def by_contract(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet the NOT NULL columns of the fact table, the others with the names of the ``violations``)."""
+    return Q.split_by_rules(rows, Q.not_null_rules(FACT_COLUMNS))
 
 
-def fact_sales(valid: DataFrame) -> DataFrame:
+def fact_sales(valid: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``fact_sales`` as the consumer table holds it: NOT NULL columns, one
-    row per sale id, first arrival wins."""
-    return first_wins(not_null_ok(fact_rows(valid)))
+    row per sale id, first arrival wins; ``columns``: those wanted beside ``sale_id``."""
+    return first_wins(by_contract(fact_rows(valid))[0], columns=columns)

@@ -2,12 +2,8 @@
 
 Constraints of the star schema become boolean rule columns: a row passes when
 every rule holds; a violating row carries the list of failed rule names.
-FK checks are semi / anti joins against the dimensions.  The literal
-dimensions have a fixed, known row count (100 users, 24 products), so they are
-broadcast explicitly; a dimension derived from the data (dim_date over the
-data's range) is left to Spark's planner and AQE, which broadcast it only when
-its measured size is under the threshold and fall back to a shuffle join
-otherwise.
+FK checks are joins against the dimensions' key sets; adaptive execution broadcasts a dimension whose measured
+size is small and shuffles a large one.
 """
 
 from __future__ import annotations
@@ -16,23 +12,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salespark.functions import money as M
-from salespark.operators.facts import FACT_COLUMNS
+from salespark.schemas import FACT_COLUMNS
 from salespark.sources import dims as D
 
-# Row-count bound under which a dimension is broadcast explicitly.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def fact_rules(band_values=M.BANDS) -> dict[str, Column]:
     """CHECK constraints of fact_sales.  The star schema's DDL lists bands
-    low/mid/high while the pipeline emits medium; ``band_values`` picks the set
-    (``money.SCHEMA_BANDS`` reproduces the DDL literally)."""
+    low/mid/high while the pipeline emits medium: ``value_band_known`` checks the emitted set
+    (or ``band_values``), ``value_band_in_schema`` the one of the DDL."""
     c = F.col
     return {
         "quantity_positive": c("quantity") > 0,
         "unit_price_positive": c("unit_price") > 0,
         "total_amount_positive": c("total_amount") > 0,
         "value_band_known": c("value_band").isin(*band_values),
+        "value_band_in_schema": c("value_band").isin(*M.SCHEMA_BANDS),
         "sale_hour_range": c("sale_hour").between(0, 23),
         "sale_minute_range": c("sale_minute").between(0, 59),
     }
@@ -72,12 +66,6 @@ def split_by_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame,
     return ok, bad
 
 
-def fact_checks(facts: DataFrame, band_values=M.BANDS) -> dict[str, Column]:
-    rules = not_null_rules(FACT_COLUMNS)
-    rules.update(fact_rules(band_values))
-    return rules
-
-
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row per rule: how many rows fail it (one pass, one global agg;
     NULL passes, as in ``with_violations``)."""
@@ -88,31 +76,18 @@ def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return wide.selectExpr(f"stack({len(rules)}, {pairs}) AS (rule, failures)")
 
 
-def _bounded_broadcast(dim: DataFrame, known_rows: int | None) -> DataFrame:
-    if known_rows is not None and known_rows <= BROADCAST_MAX_ROWS:
-        return F.broadcast(dim)
-    return dim
+def fk_join(facts: DataFrame, dim: DataFrame, key: str, how: str, fact_key: str | None = None) -> DataFrame:
+    """``left_semi`` (rows whose key exists) or ``left_anti`` (orphans)."""
+    d = dim.select(F.col(key).alias("_dk")).distinct()
+    return facts.join(d, F.col(fact_key or key) == F.col("_dk"), how)
 
 
-def fk_join(facts: DataFrame, dim: DataFrame, key: str, how: str,
-            known_rows: int | None = None, fact_key: str | None = None) -> DataFrame:
-    """``left_semi`` (rows whose key exists) or ``left_anti`` (orphans)."""
-    fk = fact_key or key
-    d = _bounded_broadcast(dim.select(F.col(key).alias("_dk")).distinct(), known_rows)
-    return facts.join(d, F.col(fk) == F.col("_dk"), how)
-
-
-def fk_split(facts: DataFrame, users: DataFrame, products: DataFrame, dates: DataFrame,
-             user_rows: int | None = len(D.USER_SEGMENTS),
-             product_rows: int | None = len(D.PRODUCTS),
-             date_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows whose three foreign keys all exist, orphan rows with reason).
-
-    One pass with three left joins against broadcast key sets would also work;
-    semi/anti joins keep each side a plain filter of the fact rows."""
-    u = _bounded_broadcast(users.select(F.col("user_id").alias("_u")).distinct(), user_rows)
-    p = _bounded_broadcast(products.select(F.col("product_id").alias("_p")).distinct(), product_rows)
-    d = _bounded_broadcast(dates.select(F.col("date_id").alias("_d")).distinct(), date_rows)
+def fk_split(facts: DataFrame, users: DataFrame, products: DataFrame,
+             dates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose three foreign keys all exist, orphan rows with the missing ones)."""
+    u = users.select(F.col("user_id").alias("_u")).distinct()
+    p = products.select(F.col("product_id").alias("_p")).distinct()
+    d = dates.select(F.col("date_id").alias("_d")).distinct()
     marked = (facts
               .join(u, F.col("user_id") == F.col("_u"), "left")
               .join(p, F.col("product_id") == F.col("_p"), "left")

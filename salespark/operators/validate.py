@@ -57,29 +57,32 @@ def _v() -> Column:
 def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     """Messages (JSON text + arrival metadata) -> tagged events.
 
-    Output: arrival columns, the seven typed fields, ``event_ts`` (parsed),
-    ``error_reason`` (NULL = valid), the five enrichment columns (valid rows
+    Output: arrival columns, the seven typed fields (NULL where a value does not fit), ``event_ts`` (the clock on the
+    text), ``event_instant`` (the same in UTC), ``error_reason`` (NULL = valid), the five enrichment columns (valid rows
     only), ``value`` (the outgoing JSON record) and ``_v`` (the parsed event).
     """
     extra = [c for c in messages.columns if c != text_col]
     df = messages.select(*extra, F.col(text_col).alias("_text"),
                          J.parse(F.col(text_col)).alias(V))
     v = _v()
-    # Every field is read from the VARIANT once, below the metrics node; the
-    # projection above it reads plain columns, and ``_v`` is pruned away unless
-    # the outgoing record (``value``) or an alert needs it.
+    # The object is walked once into a struct of its fields (absent: NULL; null: a VARIANT null); every later read is
+    # a cast of one field.  All of it sits below the metrics node; the projection above it reads plain columns, and
+    # ``_v`` is pruned away unless the outgoing record (``value``) or an alert needs it.
     typed_as = {"sale_id": "string", "user_id": "string", "product_id": "int",
                 "quantity": "int", "unit_price": "decimal(10,2)",
                 "total_amount": "decimal(12,2)", "event_timestamp": "string"}
+    df = df.select(*extra, "_text", V, J.fields(v, RAW_FIELDS).alias("_e"))
+    e = {k: F.col(f"_e.{k}") for k in RAW_FIELDS}
     df = df.select(
         *extra, "_text", V,
         J.is_object(F.col("_text"), v).alias("_is_obj"),
-        *[J.has_key(v, k).alias(f"_has_{k}") for k in RAW_FIELDS],
-        *[J.field(v, k, t).alias(f"_f_{k}") for k, t in typed_as.items()],
-        *[J.field(v, k, "double").alias(f"_d_{k}") for k in ("quantity", "unit_price", "total_amount")],
-        *[J.is_number(v, k).alias(f"_n_{k}") for k in ("quantity", "unit_price", "total_amount")],
+        *[e[k].isNotNull().alias(f"_has_{k}") for k in RAW_FIELDS],
+        *[J.as_type(e[k], t).alias(f"_f_{k}") for k, t in typed_as.items()],
+        *[J.as_type(e[k], "double").alias(f"_d_{k}") for k in ("product_id", "quantity", "unit_price", "total_amount")],
+        *[J.type_is_number(e[k]).alias(f"_n_{k}") for k in ("quantity", "unit_price", "total_amount")],
+        J.as_type(e["total_amount"], "decimal(22,2)").alias("_total_value"),
         # the timestamp text is a column of its own: ts_iso reads it several times
-        F.when(J.kind(v, "event_timestamp") == "STRING", J.field(v, "event_timestamp", "string"))
+        F.when(F.schema_of_variant(e["event_timestamp"]) == "STRING", J.as_type(e["event_timestamp"], "string"))
          .alias("_ts_text"))
     df = df.withColumn("event_ts", TS.ts_iso("_ts_text"))
 
@@ -103,7 +106,11 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     def typed(k: str, default) -> Column:
         # missing_field rebuilds the record with .get(k, default)
         t = typed_as[k]
-        return F.when(missing & ~has(k), F.lit(default).cast(t)).otherwise(F.col(f"_f_{k}"))
+        return F.when(missing & ~has(k), F.lit(default).cast(t)).otherwise(whole(k) if t == "int" else F.col(f"_f_{k}"))
+
+    def whole(k: str) -> Column:
+        # a fraction doesn't fit an integer column: NULL, never cut
+        return F.when(F.col(f"_f_{k}").cast("double") == F.col(f"_d_{k}"), F.col(f"_f_{k}"))
 
     ts = F.col("event_ts")
     df = df.select(
@@ -111,12 +118,14 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
         typed("sale_id", NA).alias("sale_id"),
         typed("user_id", NA).alias("user_id"),
         # 'N/A' is not an int: it stays on the wire (value), NULL here
-        F.col("_f_product_id").alias("product_id"),
+        whole("product_id").alias("product_id"),
         typed("quantity", 0).alias("quantity"),
         typed("unit_price", 0).alias("unit_price"),
         typed("total_amount", 0).alias("total_amount"),
+        F.col("_total_value").alias("total_value"),  # also what doesn't fit the fact table's column
         typed("event_timestamp", NA).alias("event_timestamp"),
         F.when(valid, ts).alias("event_ts"),
+        F.when(valid, TS.instant(ts, "_ts_text")).alias("event_instant"),
         "error_reason",
         F.when(valid, TS.date_id_text(ts)).alias("date_id"),
         F.when(valid, M.value_band(F.col("_d_total_amount"))).alias("value_band"),

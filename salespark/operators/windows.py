@@ -8,7 +8,8 @@ window) -- no single task ever sees the whole stream.
 
 Statistics per window: ``sale_count`` counts every event (an absent amount is
 counted and adds 0), ``total_revenue`` is the decimal sum and
-``avg_order_value`` the cent-rounded decimal mean (``avg()`` would skip NULLs).
+``avg_order_value`` the cent-rounded decimal mean (``avg()`` would skip NULLs).  The amount is ``total_value``, which
+holds totals that do not fit the fact table too.  Counts and sums merge: ``merged`` adds up partial rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespark.functions import money as M
-from salespark.functions import time as TS
 from salespark.schemas import MONEY_SUM
 
 # Window length and slide of the aggregation job.
@@ -25,27 +25,27 @@ WINDOW_LENGTH = "30 seconds"
 WINDOW_SLIDE = "10 seconds"
 
 
+def _revenue() -> F.Column:
+    return F.sum(F.coalesce(F.col("total_value"), F.lit(0).cast(MONEY_SUM)))
+
+
+def _statistics(rev: F.Column) -> list[F.Column]:
+    return ["sale_count", rev.cast(MONEY_SUM).alias("total_revenue"),
+            M.mean_cents(rev, F.col("sale_count")).alias("avg_order_value")]
+
+
 def window_stats(valid: DataFrame, time_col: str, length: str = WINDOW_LENGTH,
-                 slide: str = WINDOW_SLIDE, watermark: str | None = None) -> DataFrame:
-    df, t = valid, time_col
-    if watermark is not None:
-        # a watermark needs a zoned TIMESTAMP: convert the wall clock without
-        # the session zone, and the window bounds back afterwards
-        df = df.withColumn("_t", TS.ntz_to_instant(time_col)).withWatermark("_t", watermark)
-        t = "_t"
-    agg = (df.groupBy(F.window(t, length, slide).alias("w"))
-             .agg(F.count(F.lit(1)).alias("sale_count"),
-                  F.sum(F.coalesce(F.col("total_amount"), F.lit(0).cast("decimal(12,2)")))
-                   .alias("_rev")))
-    start, end = F.col("w.start"), F.col("w.end")
-    if watermark is not None:
-        start, end = TS.instant_to_ntz(start), TS.instant_to_ntz(end)
-    return agg.select(
-        start.alias("window_start"),
-        end.alias("window_end"),
-        "sale_count",
-        F.col("_rev").cast(MONEY_SUM).alias("total_revenue"),
-        M.mean_cents(F.col("_rev"), F.col("sale_count")).alias("avg_order_value"))
+                 slide: str = WINDOW_SLIDE) -> DataFrame:
+    agg = (valid.groupBy(F.window(time_col, length, slide).alias("w"))
+                .agg(F.count(F.lit(1)).alias("sale_count"), _revenue().alias("_rev")))
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_statistics(F.col("_rev")))
+
+
+def merged(partial: DataFrame) -> DataFrame:
+    """One row per window from partial rows of disjoint sets of events."""
+    agg = partial.groupBy("window_start", "window_end").agg(
+        F.sum("sale_count").alias("sale_count"), F.sum("total_revenue").alias("_rev"))
+    return agg.select("window_start", "window_end", *_statistics(F.col("_rev")))
 
 
 def empty_guarded(valid: DataFrame) -> DataFrame:
@@ -54,8 +54,7 @@ def empty_guarded(valid: DataFrame) -> DataFrame:
     A global aggregate always yields one row; sums over nothing are NULL and
     become 0, and the mean of nothing is 0 (never a division by zero)."""
     agg = valid.agg(F.count(F.lit(1)).alias("sale_count"),
-                    F.sum(F.coalesce(F.col("total_amount"), F.lit(0).cast("decimal(12,2)")))
-                     .alias("_rev"))
+                    _revenue().alias("_rev"))
     rev = F.coalesce(F.col("_rev"), F.lit(0)).cast(MONEY_SUM)
     return agg.select("sale_count", rev.alias("total_revenue"),
                       M.mean_cents(rev, F.col("sale_count")).alias("avg_order_value"))

@@ -2,8 +2,9 @@
 
 Each one writes the derived raw topic (all of ``lineitem`` as JSON messages)
 into a fresh folder under the shared checkpoint root, runs the streaming jobs
-with an ``availableNow`` trigger, and returns the table they produced.  The
-oracle of each is the batch SQL of the same operator: a stream drained to the
+with an ``availableNow`` trigger, and returns the table they produced.  The raw topic is written as ``BATCHES``
+sets of files and every job reads it in at least as many micro-batches, in arrival order, which is unlike the order
+of event times.  The oracle of each is the batch SQL of the same operator: a stream drained to the
 end must hold what the batch computation holds.
 """
 
@@ -17,9 +18,11 @@ from pyspark.sql import functions as F
 from salespark.operators import reports as R
 from salespark.plans import oracle as O
 from salespark.plans.queries import FACT_OUT, FACT_OUT_SQL, Query
+from salespark.schemas import TOPIC_MESSAGE
 from salespark.session import work_dir
 from salespark.sources import fixture as FX
 from salespark.streaming import jobs as JB
+from salespark.streaming import sinks as S
 from salespark.streaming import topics as T
 
 STREAM_QUERIES: dict[str, Query] = {}
@@ -32,8 +35,13 @@ def _register(name: str, sql: str | None, doc: str = ""):
     return wrap
 
 
+#: Sets of files on the raw topic; each becomes one micro-batch or more of every job.
+BATCHES = 3
+
+
 class Run:
-    """Folders of one end-to-end run (topics, tables, checkpoints)."""
+    """Folders of one end-to-end run (topics, tables, checkpoints).  A job reads its topic in ``BATCHES`` micro-batches or
+    one more, or in one for each file if there are fewer."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -42,41 +50,58 @@ class Run:
         self.valid = T.file_topic(T.VALID_TOPIC, self.root)
         self.invalid = T.file_topic(T.INVALID_TOPIC, self.root)
         self.alerts_topic = T.file_topic(T.ALERTS_TOPIC, self.root)
+        self.agg_topic = T.file_topic(T.AGG_TOPIC, self.root)
         self.facts = f"{self.root}/tables/fact_sales"
         self.alerts = f"{self.root}/tables/anomaly_alerts"
-        self.agg_log = f"{self.root}/tables/agg_sales_windowed_log"
+        self.agg = f"{self.root}/tables/agg_sales_windowed"
+        self.consumer_facts = f"{self.root}/tables/fact_sales_consumer"
         self.consumer_alerts = f"{self.root}/tables/anomaly_alerts_consumer"
         self.consumer_agg = f"{self.root}/tables/agg_sales_windowed_consumer"
 
     def ckpt(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def produce(self, sf: str) -> None:
-        T.write_batch(FX.raw_messages(self.spark, sf), self.raw)
+    def produce(self, sf: str, batches: int = BATCHES) -> None:
+        """All events on the raw topic, in ``batches`` sets of files that follow each other in arrival order."""
+        part = FX.raw_messages(self.spark, sf).withColumn(
+            "part", F.least(F.floor(F.col("ingest_key") / ((1 << 60) / batches)), F.lit(batches - 1)))
+        staged = f"{self.root}/staged"
+        part.write.partitionBy("part").parquet(staged)
+        for k in range(batches):
+            T.write_batch(self.spark.read.schema(TOPIC_MESSAGE).parquet(f"{staged}/part={k}"), self.raw)
+
+    def _run(self, start, topic: T.Topic, *args, ckpt: str, **more) -> None:
+        files = len(T.read_batch(self.spark, topic).inputFiles())
+        JB.run_to_end(start(self.spark, topic, *args, self.ckpt(ckpt), max_per_trigger=max(1, files // BATCHES), **more))
 
-    def etl(self, max_per_trigger: int | None = None) -> None:
-        out = JB.EtlOutputs(self.valid, self.invalid, self.facts)
-        JB.run_to_end(JB.start_etl(self.spark, self.raw, out, self.ckpt("etl"),
-                                   max_per_trigger=max_per_trigger))
+    def etl(self) -> None:
+        self._run(JB.start_etl, self.raw, JB.EtlOutputs(self.valid, self.invalid, self.facts), ckpt="etl")
 
     def anomaly(self, with_topic: bool = False) -> None:
-        JB.run_to_end(JB.start_anomaly(self.spark, self.invalid, self.alerts, self.ckpt("anomaly"),
-                                       alerts_topic=self.alerts_topic if with_topic else None))
+        self._run(JB.start_anomaly, self.invalid, self.alerts, ckpt="anomaly",
+                  alerts_topic=self.alerts_topic if with_topic else None)
+
+    def aggregation(self, time_col: str = "ingest_ts", with_topic: bool = False) -> None:
+        self._run(JB.start_aggregation, self.valid, self.agg, ckpt="aggregation", time_col=time_col,
+                  agg_topic=self.agg_topic if with_topic else None)
+
+    def fact_consumer(self) -> None:
+        self._run(JB.start_fact_consumer, self.valid, self.consumer_facts, ckpt="fact_consumer")
 
-    def aggregation(self, time_col: str = "event_ts") -> None:
-        JB.run_to_end(JB.start_aggregation(self.spark, self.valid, self.agg_log,
-                                           self.ckpt("aggregation"), time_col=time_col))
+    def alert_consumer(self) -> None:
+        self._run(JB.start_alert_consumer, self.alerts_topic, self.consumer_alerts, ckpt="alert_consumer")
 
+    def agg_consumer(self) -> None:
+        self._run(JB.start_agg_consumer, self.agg_topic, self.consumer_agg, ckpt="agg_consumer")
 
-def run_pipeline(spark: SparkSession, sf: str, name: str, anomaly=False, aggregation=False,
-                 alert_topic=False) -> Run:
+    def sql_etl(self) -> None:
+        self._run(JB.start_sql_etl, self.raw, f"{self.root}/tables/fact_sale_sink", self.invalid, ckpt="sql_etl")
+
+
+def run_pipeline(spark: SparkSession, sf: str, name: str) -> Run:
     r = Run(spark, name)
     r.produce(sf)
     r.etl()
-    if anomaly:
-        r.anomaly(with_topic=alert_topic)
-    if aggregation:
-        r.aggregation()
     return r
 
 
@@ -84,7 +109,29 @@ def run_pipeline(spark: SparkSession, sf: str, name: str, anomaly=False, aggrega
            "streaming ETL: fact_sales written with ON CONFLICT DO NOTHING semantics")
 def q_sink_fact_upsert(spark, sf):
     r = run_pipeline(spark, sf, "sink_fact_upsert")
-    return spark.read.parquet(r.facts).select(*FACT_OUT)
+    return S.read_facts(spark, r.facts).select(*FACT_OUT)
+
+
+@_register("src_consumer_topics", O.facts_sql(f"SELECT {FACT_OUT_SQL} FROM fact_sales"),
+           "fact consumer: valid topic -> fact_sales")
+def q_src_consumer_topics(spark, sf):
+    r = run_pipeline(spark, sf, "src_consumer_topics")
+    r.fact_consumer()
+    return S.read_facts(spark, r.consumer_facts).select(*FACT_OUT)
+
+
+@_register("sink_error_skip", O.with_ctes(O.SALES_EVENTS, O.TAGGED, O.FACTS, O.ALERTS, select="""
+SELECT 'fact_sales' AS table_name, count(*) AS rejected FROM fact_input WHERE ingest_key NOT IN (SELECT ingest_key FROM fact_rows)
+UNION ALL SELECT 'anomaly_alerts', count(*) FROM anomaly_alerts WHERE sale_id IS NULL"""),
+           "rows the jobs put aside because they break a table's contract")
+def q_sink_error_skip(spark, sf):
+    r = run_pipeline(spark, sf, "sink_error_skip")
+    r.anomaly(with_topic=True)
+    r.alert_consumer()
+    paths = {"fact_sales": r.facts, "anomaly_alerts": r.consumer_alerts}
+    parts = [spark.read.parquet(JB.rejects_of(p)).agg(F.count(F.lit(1)).alias("rejected"))
+             .select(F.lit(t).alias("table_name"), "rejected") for t, p in paths.items()]
+    return parts[0].union(parts[1])
 
 
 @_register("split_multi_sink", O.tagged_sql("""
@@ -106,51 +153,82 @@ def q_split_multi_sink(spark, sf):
     "SELECT id, sale_id, anomaly_type, anomaly_code, event_timestamp, detected_at FROM anomaly_alerts"),
     "streaming anomaly job over the invalid topic")
 def q_sink_anomaly_coded(spark, sf):
-    r = run_pipeline(spark, sf, "sink_anomaly_coded", anomaly=True)
+    r = run_pipeline(spark, sf, "sink_anomaly_coded")
+    r.anomaly()
     return spark.read.parquet(r.alerts).select(
         "id", "sale_id", "anomaly_type", "anomaly_code", "event_timestamp", "detected_at")
 
 
 @_register("sink_anomaly_consumer", O.alerts_sql("""
 SELECT id, sale_id, anomaly_type, CAST(NULL AS INTEGER) AS anomaly_code, event_timestamp, detected_at
-FROM anomaly_alerts"""), "alert consumer: alert topic -> table without the code")
+FROM anomaly_alerts WHERE sale_id IS NOT NULL"""), "alert consumer: alert topic -> table without the code")
 def q_sink_anomaly_consumer(spark, sf):
-    r = run_pipeline(spark, sf, "sink_anomaly_consumer", anomaly=True, alert_topic=True)
-    JB.run_to_end(JB.start_alert_consumer(spark, r.alerts_topic, r.consumer_alerts,
-                                          r.ckpt("alert_consumer")))
+    r = run_pipeline(spark, sf, "sink_anomaly_consumer")
+    r.anomaly(with_topic=True)
+    r.alert_consumer()
     return spark.read.parquet(r.consumer_alerts).select(
         "id", "sale_id", "anomaly_type", "anomaly_code", "event_timestamp", "detected_at")
 
 
-@_register("window_sliding", O.windows_sql(
-    "SELECT window_start, window_end, sale_count, total_revenue, avg_order_value FROM agg_sales_windowed"),
-    "streaming 30 s / 10 s windows (watermark 5 s, update mode, latest version per window)")
+WINDOW_OUT = ["window_start", "window_end", "sale_count", "total_revenue", "avg_order_value"]
+_WINDOWS_SELECT = f"SELECT {', '.join(WINDOW_OUT)} FROM agg_sales_windowed"
+
+
+@_register("window_sliding", O.windows_sql(_WINDOWS_SELECT),
+           "streaming 30 s / 10 s windows on event time, merged from the partial rows of many batches")
 def q_window_sliding(spark, sf):
-    r = run_pipeline(spark, sf, "window_sliding", aggregation=True)
-    return JB.latest_windows(spark, r.agg_log)
+    r = run_pipeline(spark, sf, "window_sliding")
+    r.aggregation("event_ts")
+    return JB.windows(spark, r.agg)
+
+
+@_register("sink_agg_job", O.windows_sql(_WINDOWS_SELECT, "ingest_ts"),
+           "the aggregation job as the original runs it: arrival clock, no watermark")
+def q_sink_agg_job(spark, sf):
+    r = run_pipeline(spark, sf, "sink_agg_job")
+    r.aggregation()
+    return JB.windows(spark, r.agg)
 
 
 @_register("chained_jobs", O.facts_sql("""
 SELECT value_band, CAST(sum(total_amount) AS DECIMAL(22,2)) AS revenue, count(*) AS cnt
-FROM fact_sales GROUP BY value_band"""), "job -> topic -> job chain, then the band report")
+FROM fact_sales GROUP BY value_band"""), "job -> topic -> job chain, then the band report over the stored table")
 def q_chained_jobs(spark, sf):
     r = run_pipeline(spark, sf, "chained_jobs")
-    return R.revenue_by_band(spark.read.parquet(r.facts))
-
-
-@_register("sink_agg_consumer", None,
-           "window rows stored with the consumer's clock (inserted_at); no oracle: wall clock")
+    r.fact_consumer()
+    return R.revenue_by_band(S.read_facts(spark, r.consumer_facts))
+
+
+@_register("src_table_scan", O.with_ctes(O.SALES_EVENTS, O.TAGGED, O.FACTS, O.ALERTS, O.window_cte("ingest_ts"), select="""
+SELECT 'revenue' AS panel, date_trunc('minute', event_timestamp) AS time, CAST(sum(total_amount) AS DECIMAL(22,2)) AS amount
+FROM fact_sales GROUP BY 2
+UNION ALL SELECT 'anomalies', date_trunc('minute', detected_at), CAST(count(*) AS DECIMAL(22,2)) FROM anomaly_alerts GROUP BY 2
+UNION ALL SELECT 'latest_window', max(window_end), arg_max(total_revenue, window_end) FROM agg_sales_windowed"""),
+           "dashboard panels over the three stored tables")
+def q_src_table_scan(spark, sf):
+    r = run_pipeline(spark, sf, "src_table_scan")
+    r.anomaly()
+    r.aggregation()
+    money = "decimal(22,2)"
+    facts = R.revenue_by_minute(S.read_facts(spark, r.facts)).select(F.lit("revenue").alias("panel"), "time", F.col("revenue").cast(money).alias("amount"))
+    alerts = R.anomalies_by_minute(spark.read.parquet(r.alerts)).select(F.lit("anomalies"), "time", F.col("anomalies").cast(money))
+    window = R.latest_window(JB.windows(spark, r.agg)).select(F.lit("latest_window"), "window_end", "total_revenue")
+    return facts.union(alerts).union(window)
+
+
+@_register("sink_agg_consumer", O.windows_sql(_WINDOWS_SELECT, "ingest_ts"),
+           "aggregate topic -> consumer table, one row per window (inserted_at, a wall clock, is left out)")
 def q_sink_agg_consumer(spark, sf):
-    r = run_pipeline(spark, sf, "sink_agg_consumer", aggregation=True)
-    JB.run_to_end(JB.start_agg_consumer(spark, r.agg_log, r.consumer_agg, r.ckpt("agg_consumer")))
-    return spark.read.parquet(r.consumer_agg)
+    r = run_pipeline(spark, sf, "sink_agg_consumer")
+    r.aggregation(with_topic=True)
+    r.agg_consumer()
+    return JB.windows(spark, r.consumer_agg)
 
 
 def _sql_run(spark, sf, name):
     r = Run(spark, name)
     r.produce(sf)
-    JB.run_to_end(JB.start_sql_etl(spark, r.raw, f"{r.root}/tables/fact_sale_sink", r.invalid,
-                                   r.ckpt("sql_etl")))
+    r.sql_etl()
     return r
 
 
@@ -166,9 +244,7 @@ def q_sink_jdbc_fact(spark, sf):
 
 
 @_register("sink_kafka_typed", O.sql_dialect(f"""
-SELECT ingest_key, sale_id, CASE WHEN quantity <= 0 THEN 'quantity_zero' WHEN unit_price <= 0 THEN 'negative_price'
-       WHEN sale_id IS NULL OR user_id IS NULL OR product_id IS NULL THEN 'missing_field'
-       WHEN ts IS NULL THEN 'corrupted_timestamp' ELSE 'unknown' END AS error_reason
+SELECT ingest_key, sale_id, {O.SQL_REASON} AS error_reason
 FROM sql_src WHERE NOT {O.SQL_OK}"""), "streaming SQL job: invalid branch as JSON on a topic")
 def q_sink_kafka_typed(spark, sf):
     r = _sql_run(spark, sf, "sink_kafka_typed")

@@ -29,8 +29,8 @@ RAW_EVENT = T.StructType([
 ENRICH_FIELDS = ("date_id", "value_band", "sale_hour", "sale_minute", "day_of_week")
 
 # A message on a topic: JSON text plus the transport's arrival metadata
-# (Kafka: timestamp, partition, offset).  ``ingest_key`` is the total arrival
-# order used for first-arrival-wins decisions.
+# (Kafka: timestamp, partition, offset).  ``ingest_key`` is the arrival order used
+# for first-arrival-wins decisions, unique per message.
 TOPIC_MESSAGE = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("ingest_ts", T.TimestampNTZType()),
@@ -47,8 +47,10 @@ TAGGED = T.StructType([
     T.StructField("quantity", T.IntegerType()),
     T.StructField("unit_price", MONEY_UNIT),
     T.StructField("total_amount", MONEY_TOTAL),
+    T.StructField("total_value", MONEY_SUM),
     T.StructField("event_timestamp", T.StringType()),
     T.StructField("event_ts", T.TimestampNTZType()),
+    T.StructField("event_instant", T.TimestampNTZType()),
     T.StructField("error_reason", T.StringType()),
     T.StructField("date_id", T.StringType()),
     T.StructField("value_band", T.StringType()),
@@ -58,7 +60,12 @@ TAGGED = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
-# fact_sales: one row per sale_id (first arrival wins).
+# The columns of fact_sales, all NOT NULL.
+FACT_COLUMNS = ("sale_id", "user_id", "product_id", "date_id", "quantity",
+                "unit_price", "total_amount", "value_band", "sale_hour",
+                "sale_minute", "day_of_week", "event_timestamp")
+
+# fact_sales: one row per sale_id (first arrival wins); event_timestamp is the instant, in UTC.
 FACT_SALES = T.StructType([
     T.StructField("sale_id", T.StringType(), False),
     T.StructField("user_id", T.StringType(), False),
@@ -75,6 +82,9 @@ FACT_SALES = T.StructType([
     T.StructField("ingest_key", T.LongType()),
 ])
 
+# The NOT NULL columns of anomaly_alerts.
+ALERT_COLUMNS = ("sale_id", "anomaly_type")
+
 # anomaly_alerts: the coded alert; ``id`` is the arrival order (the SERIAL of
 # the original table) and ``detected_at`` the arrival clock.
 ANOMALY_ALERTS = T.StructType([
@@ -92,7 +102,7 @@ AGG_SALES_WINDOWED = T.StructType([
     T.StructField("window_end", T.TimestampNTZType()),
     T.StructField("sale_count", T.LongType()),
     T.StructField("total_revenue", MONEY_SUM),
-    T.StructField("avg_order_value", MONEY_TOTAL),
+    T.StructField("avg_order_value", MONEY_SUM),
 ])
 
 DIM_USER = T.StructType([

@@ -58,6 +58,9 @@ def build_session(master: str | None = None, app: str = "salespark",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local["):
+        # local runs read small tables: see sources.tables.INPUT_PARTITIONS
+        conf["spark.salespark.input.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -67,14 +67,20 @@ SEED_DATE_START = "2025-01-01"
 SEED_DATE_END = "2026-12-31"
 
 
+def user_rows() -> list[tuple[str, str]]:
+    return [(f"U-{i:04d}", seg) for i, seg in enumerate(USER_SEGMENTS, start=1)]
+
+
+def product_rows() -> list[tuple]:
+    return [(pid, name, cat, brand, Decimal(price)) for pid, name, cat, brand, price in PRODUCTS]
+
+
 def dim_user(spark: SparkSession) -> DataFrame:
-    rows = [(f"U-{i:04d}", seg) for i, seg in enumerate(USER_SEGMENTS, start=1)]
-    return spark.createDataFrame(rows, DIM_USER)
+    return spark.createDataFrame(user_rows(), DIM_USER)
 
 
 def dim_product(spark: SparkSession) -> DataFrame:
-    rows = [(pid, name, cat, brand, Decimal(price)) for pid, name, cat, brand, price in PRODUCTS]
-    return spark.createDataFrame(rows, DIM_PRODUCT)
+    return spark.createDataFrame(product_rows(), DIM_PRODUCT)
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:

@@ -23,21 +23,13 @@ def read_saved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Scans with at least this many splits are never repartitioned.
-SPREAD_MAX_SPLITS = 64
+#: Session setting: the number of partitions that row-heavy work (JSON, regex) is dealt over after a scan.  Off (unset)
+#: on a cluster, where a large table has many splits; ``bench.py`` and local runs set it, because a table stored
+#: as one parquet row group is otherwise read, parsed and validated by one task.
+INPUT_PARTITIONS = "spark.salespark.input.partitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work (JSON, regex) every core when a *small* scan
-    yields fewer input partitions than the default parallelism -- e.g. a table
-    stored as one parquet row group, which only one task can read.
-
-    Only scans under ``SPREAD_MAX_SPLITS`` splits (a few GB) are spread: one
-    round-robin shuffle of the scanned columns is cheap there.  A large table
-    already has many splits; shuffling it to reach every core of a big
-    cluster would cost more than it gains, so it is left as scanned."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n < min(cores, SPREAD_MAX_SPLITS):
-        return df.repartition(min(cores, SPREAD_MAX_SPLITS))
-    return df
+    """``df`` dealt over ``INPUT_PARTITIONS`` partitions if the session sets that, else as it was scanned."""
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df

@@ -1,0 +1,55 @@
+"""Micro-batch output that is committed once.
+
+A batch is written to a staging folder (its name starts with ``_``, so no reader lists it) and then renamed to
+``batch_id=N``.  If that folder exists the batch was committed before: a replay after a failure writes
+nothing, and file names that another job may have read never change.  The rename is atomic on file systems
+with atomic directory renames (HDFS, local and shared POSIX file systems); an object store needs a table
+format in this place.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = _path(spark, path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def rename_new(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename ``src`` to ``dst``; False, and ``src`` removed, if ``dst`` came to exist meanwhile."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    s, d = _path(spark, src), _path(spark, dst)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.getFileSystem(conf).getUri(), conf)
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(s, d, none)
+        return True
+    except Exception:
+        if not path_exists(spark, dst):
+            raise
+        files.delete(s, True)
+        return False
+
+
+def commit_once(df: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> bool:
+    """Store ``df`` as ``path/batch_id=N``; False if that batch is there already.
+
+    REBALANCE lets adaptive execution size the files: about one for each touched value of
+    ``partition_by``, more for a value with a large share of the batch."""
+    spark = df.sparkSession
+    final = f"{path}/batch_id={batch_id}"
+    if path_exists(spark, final):
+        return False
+    staged = f"{path}/_staged/{batch_id}-{uuid.uuid4().hex[:12]}"
+    out = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    w = out.write.partitionBy(partition_by) if partition_by else out.write
+    w.parquet(staged)
+    return rename_new(spark, staged, final)

@@ -5,11 +5,14 @@ checkpoint folder under the shared checkpoint root, so a job restarted after
 a failure resumes from its last committed micro-batch.
 
 * ``start_etl``         raw topic -> tag -> valid topic, invalid topic,
-                        fact_sales (one scan, one foreachBatch, batch cached once)
-* ``start_anomaly``     invalid topic -> coded alerts -> anomaly_alerts
-* ``start_aggregation`` valid topic -> 30 s / 10 s sliding windows ->
-                        agg_sales_windowed (versioned log; latest per window)
-* ``start_alert_consumer`` alert topic -> anomaly_alerts without a code
+                        fact_sales and its rejects (one scan, one foreachBatch, batch cached once)
+* ``start_anomaly``     invalid topic -> coded alerts -> anomaly_alerts, and the alert topic if given
+* ``start_aggregation`` valid topic -> 30 s / 10 s sliding windows -> partial statistics per batch, to a
+                        log and to the aggregate topic; ``windows`` merges them
+* ``start_fact_consumer``, ``start_alert_consumer``, ``start_agg_consumer`` the three topic -> table consumers
+
+Every output of a micro-batch is committed once (``commit``): a replayed batch changes nothing, neither in a table nor
+for a job that has read the topic already.
 
 ``trigger`` is ``{"availableNow": True}`` to drain what is there and stop, or
 ``{"processingTime": "60 seconds"}`` for a continuous job (the SQL job's
@@ -26,8 +29,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salespark.functions import json as J
 from salespark.functions import time as TS
+from salespark.operators import quality as Q
 from salespark.operators import validate as V
 from salespark.operators import windows as W
+from salespark.schemas import AGG_SALES_WINDOWED, ALERT_COLUMNS
 from salespark.streaming import sinks as S
 from salespark.streaming import topics as T
 
@@ -35,24 +40,28 @@ from salespark.streaming import topics as T
 EVENT_WATERMARK = "5 seconds"
 
 
+def rejects_of(table_path: str) -> str:
+    """Where the rows go that break a table's contract."""
+    return f"{table_path}_rejects"
+
+
 @dataclass(frozen=True)
 class EtlOutputs:
     valid: T.Topic
     invalid: T.Topic
     facts_path: str
-    alerts_topic: T.Topic | None = None
 
 
-def etl_batch(spark: SparkSession, out: EtlOutputs):
+def etl_batch(out: EtlOutputs):
     """The ``foreachBatch`` body of the ETL job (split + multi-sink)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             valid = V.valid_events(batch)
             invalid = V.invalid_events(batch)
-            T.write_batch(valid, out.valid, batch_id)
-            T.write_batch(invalid, out.invalid, batch_id)
-            S.upsert_first_wins(spark, valid, out.facts_path)
+            T.write_batch(valid, out.valid, batch_id, key="sale_id")
+            T.write_batch(invalid, out.invalid, batch_id, key="sale_id")
+            S.upsert_first_wins(valid, out.facts_path, rejects_of(out.facts_path), batch_id)
         finally:
             batch.unpersist()
     return run
@@ -65,7 +74,7 @@ def start_etl(spark: SparkSession, raw: T.Topic, out: EtlOutputs, checkpoint: st
     q = (tagged.writeStream.queryName("etl_sales")
          .option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True}))
-         .foreachBatch(etl_batch(spark, out)))
+         .foreachBatch(etl_batch(out)))
     return q.start()
 
 
@@ -84,23 +93,20 @@ def alerts_from_invalid(messages: DataFrame) -> DataFrame:
 
 
 def start_anomaly(spark: SparkSession, invalid: T.Topic, alerts_path: str, checkpoint: str,
-                  trigger: dict | None = None, alerts_topic: T.Topic | None = None) -> StreamingQuery:
-    alerts = alerts_from_invalid(T.read_stream(spark, invalid))
-    if alerts_topic is None:
-        # file sink: its commit log makes the table exactly-once
-        return (alerts.writeStream.queryName("anomaly_alerts").format("parquet")
-                .option("path", alerts_path).option("checkpointLocation", checkpoint)
-                .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
+                  trigger: dict | None = None, alerts_topic: T.Topic | None = None,
+                  max_per_trigger: int | None = None) -> StreamingQuery:
+    alerts = alerts_from_invalid(T.read_stream(spark, invalid, max_per_trigger))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             S.append_batch(batch, alerts_path, batch_id)
-            msg = batch.select(
-                J.write(F.struct("sale_id", "anomaly_type", "anomaly_code", "event_timestamp"))
-                 .alias("value"), F.col("detected_at").alias("ingest_ts"),
-                F.col("id").alias("ingest_key"))
-            T.write_batch(msg, alerts_topic, batch_id)
+            if alerts_topic is not None:
+                msg = batch.select(
+                    "sale_id", J.write(F.struct("sale_id", "anomaly_type", "anomaly_code", "event_timestamp"))
+                    .alias("value"), F.col("detected_at").alias("ingest_ts"),
+                    F.col("id").alias("ingest_key"))
+                T.write_batch(msg, alerts_topic, batch_id, key="sale_id")
         finally:
             batch.unpersist()
     return (alerts.writeStream.queryName("anomaly_alerts").option("checkpointLocation", checkpoint)
@@ -108,85 +114,73 @@ def start_anomaly(spark: SparkSession, invalid: T.Topic, alerts_path: str, check
 
 
 def valid_from_topic(messages: DataFrame) -> DataFrame:
-    """Valid-topic JSON -> (event_ts, ingest_ts, total_amount)."""
+    """Valid-topic JSON -> (event_ts, ingest_ts, total_value)."""
     v = J.parse("value")
     parsed = messages.select("ingest_ts", v.alias("_v")).select(
         "ingest_ts", J.field("_v", "event_timestamp", "string").alias("_ts_text"),
-        J.field("_v", "total_amount", "decimal(12,2)").alias("total_amount"))
-    return parsed.select("ingest_ts", TS.ts_iso("_ts_text").alias("event_ts"), "total_amount")
+        J.field("_v", "total_amount", "decimal(22,2)").alias("total_value"))
+    return parsed.select("ingest_ts", TS.ts_iso("_ts_text").alias("event_ts"), "total_value")
 
 
 def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkpoint: str,
-                      time_col: str = "event_ts", watermark: str = EVENT_WATERMARK,
-                      trigger: dict | None = None) -> StreamingQuery:
-    """Sliding-window statistics, ``update`` mode, with a watermark so window
-    state is dropped once the watermark passes the window end.
-
-    ``update`` emits a window's new statistics in every micro-batch that
-    changes it (``append`` would hold a window until the watermark passes, so
-    the newest windows would never leave an ``availableNow`` run).  Each batch
-    is appended to a log partitioned by ``batch_id``; ``latest_windows`` reads
-    the newest version of each window."""
-    events = valid_from_topic(T.read_stream(spark, valid))
-    stats = W.window_stats(events, time_col, watermark=watermark)
+                      time_col: str = "ingest_ts", trigger: dict | None = None,
+                      agg_topic: T.Topic | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
+    """Sliding-window statistics on the arrival clock (``ingest_ts``) or the event time (``event_ts``).
+
+    Each micro-batch is reduced to one partial row per window it touches, (count, sum), which is what the
+    original's accumulator holds and merges.  The partial rows are committed once per batch; a window's
+    statistics are the sum of its partial rows (``windows``).  No state is kept and no watermark drops a
+    late event: it becomes a partial row of its window like any other."""
+    events = valid_from_topic(T.read_stream(spark, valid, max_per_trigger))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        S.append_batch(batch, log_path, batch_id)
-    return (stats.writeStream.queryName("agg_sales_windowed").outputMode("update")
+        part = W.window_stats(batch, time_col).persist()
+        try:
+            S.append_batch(part, log_path, batch_id)
+            if agg_topic is not None:
+                bounds = F.struct(*[F.col(c).cast("string").alias(c) for c in ("window_start", "window_end")],
+                                  "sale_count", "total_revenue", "avg_order_value")
+                T.write_batch(part.select(
+                    J.write(bounds).alias("value"), F.col("window_end").alias("ingest_ts"),
+                    F.unix_micros(TS.ntz_to_instant("window_start")).alias("ingest_key")), agg_topic, batch_id)
+        finally:
+            part.unpersist()
+    return (events.writeStream.queryName("agg_sales_windowed")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
 
 
-def latest_windows(spark: SparkSession, log_path: str) -> DataFrame:
-    """agg_sales_windowed: newest version of each window from the log (one
-    aggregate keyed by window, partial per task)."""
-    log = spark.read.parquet(log_path)
-    cols = ["window_end", "sale_count", "total_revenue", "avg_order_value"]
-    best = log.groupBy("window_start").agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("_w"))
-    return best.select("window_start", *[F.col(f"_w.{c}").alias(c) for c in cols])
+def windows(spark: SparkSession, log_path: str) -> DataFrame:
+    """agg_sales_windowed: one row per window, the sum of its partial rows."""
+    return W.merged(spark.read.schema(AGG_SALES_WINDOWED).parquet(log_path))
 
 
 def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, checkpoint: str,
-                        trigger: dict | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
     """The fact consumer: valid topic -> fact_sales with ``ON CONFLICT
-    (sale_id) DO NOTHING``, through the same skew-safe ``upsert_first_wins``
-    sink as the ETL job (in-batch partial/final first-wins, then an anti join
-    against the stored keys; a replayed batch adds nothing)."""
-    v = J.parse("value")
-    msgs = T.read_stream(spark, valid).select("ingest_key", v.alias("_v"))
-    rows = msgs.select(
-        "ingest_key",
-        J.field("_v", "sale_id", "string").alias("sale_id"),
-        J.field("_v", "user_id", "string").alias("user_id"),
-        J.field("_v", "product_id", "int").alias("product_id"),
-        J.field("_v", "date_id", "string").alias("date_id"),
-        J.field("_v", "quantity", "int").alias("quantity"),
-        J.field("_v", "unit_price", "decimal(10,2)").alias("unit_price"),
-        J.field("_v", "total_amount", "decimal(12,2)").alias("total_amount"),
-        J.field("_v", "value_band", "string").alias("value_band"),
-        J.field("_v", "sale_hour", "int").alias("sale_hour"),
-        J.field("_v", "sale_minute", "int").alias("sale_minute"),
-        J.field("_v", "day_of_week", "string").alias("day_of_week"),
-        J.field("_v", "event_timestamp", "string").alias("_ts_text"))
-    valid_rows = rows.withColumn("event_ts", TS.ts_iso("_ts_text")).drop("_ts_text")
+    (sale_id) DO NOTHING``, through the same sink as the ETL job."""
+    tagged = V.tag_events(T.read_stream(spark, valid, max_per_trigger)).drop(V.V)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        S.upsert_first_wins(spark, batch, facts_path)
-    return (valid_rows.writeStream.queryName("fact_consumer")
+        batch = batch.persist()
+        try:
+            S.upsert_first_wins(V.valid_events(batch), facts_path, rejects_of(facts_path), batch_id)
+        finally:
+            batch.unpersist()
+    return (tagged.writeStream.queryName("fact_consumer")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
 
 
 def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T.Topic,
                   checkpoint: str, trigger: dict | None = None,
-                  watermark: str | None = EVENT_WATERMARK) -> StreamingQuery:
+                  watermark: str | None = EVENT_WATERMARK, max_per_trigger: int | None = None) -> StreamingQuery:
     """The SQL ETL job as a stream: fixed-schema JSON source with the computed
     ``ts`` column (and its declared watermark, which no operator consumes),
     fact branch appended to the fact table (the JDBC table declares no key, so
     no dedup), invalid branch with the SQL reason order to a topic.  One scan
     feeds both branches (the original ran two INSERT jobs)."""
-    typed = V.parse_typed(T.read_stream(spark, raw))
+    typed = V.parse_typed(T.read_stream(spark, raw, max_per_trigger))
     if watermark is not None:
         typed = typed.withColumn("_wm", TS.ntz_to_instant("ts")).withWatermark("_wm", watermark)
 
@@ -199,8 +193,8 @@ def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T
                 J.write(F.struct("sale_id", "user_id", "product_id", "quantity", "unit_price",
                                  "total_amount", "event_timestamp",
                                  V.sql_reason().alias("error_reason"))).alias("value"),
-                "ingest_ts", "ingest_key")
-            T.write_batch(out, invalid, batch_id)
+                "ingest_ts", "ingest_key", "sale_id")
+            T.write_batch(out, invalid, batch_id, key="sale_id")
         finally:
             batch.unpersist()
     return (typed.writeStream.queryName("sql_etl").option("checkpointLocation", checkpoint)
@@ -208,12 +202,13 @@ def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T
 
 
 def start_alert_consumer(spark: SparkSession, alerts_topic: T.Topic, table_path: str,
-                         checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                         checkpoint: str, trigger: dict | None = None,
+                         max_per_trigger: int | None = None) -> StreamingQuery:
     """The alert consumer: stores (sale_id, anomaly_type, event_timestamp)
     from the alert topic; the code column stays NULL; detected_at is the
-    arrival clock."""
+    arrival clock.  Rows without a sale id or type go to the rejects."""
     v = J.parse("value")
-    msgs = T.read_stream(spark, alerts_topic).select("ingest_key", "ingest_ts", v.alias("_v"))
+    msgs = T.read_stream(spark, alerts_topic, max_per_trigger).select("ingest_key", "ingest_ts", v.alias("_v"))
     rows = msgs.select(
         F.col("ingest_key").alias("id"),
         J.field("_v", "sale_id", "string").alias("sale_id"),
@@ -221,33 +216,38 @@ def start_alert_consumer(spark: SparkSession, alerts_topic: T.Topic, table_path:
         F.lit(None).cast("int").alias("anomaly_code"),
         J.field("_v", "event_timestamp", "string").alias("event_timestamp"),
         F.col("ingest_ts").alias("detected_at"))
-    # rows without a sale id or type break NOT NULL: skipped (dead letters)
-    ok = rows.filter(F.col("sale_id").isNotNull() & F.col("anomaly_type").isNotNull())
-    return (ok.writeStream.queryName("alert_consumer").format("parquet")
-            .option("path", table_path).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    return _consume(rows, "alert_consumer", Q.not_null_rules(ALERT_COLUMNS), table_path, checkpoint, trigger)
 
 
-def start_agg_consumer(spark: SparkSession, agg_log_path: str, table_path: str,
-                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The aggregate consumer: each window row stored with ``inserted_at`` =
-    the micro-batch clock (``current_timestamp()`` is fixed per batch)."""
-    from pyspark.sql import types as PT
+def start_agg_consumer(spark: SparkSession, agg_topic: T.Topic, table_path: str,
+                       checkpoint: str, trigger: dict | None = None,
+                       max_per_trigger: int | None = None) -> StreamingQuery:
+    """The aggregate consumer: the rows of the aggregate topic stored with ``inserted_at`` =
+    the micro-batch clock (``current_timestamp()`` is fixed per batch); ``windows`` gives one row per window."""
+    v = J.parse("value")
+    msgs = T.read_stream(spark, agg_topic, max_per_trigger).select(v.alias("_v"))
+    rows = msgs.select(*[J.field("_v", f.name, f.dataType.simpleString()).alias(f.name) if "window" not in f.name
+                         else J.field("_v", f.name, "string").try_cast("timestamp_ntz").alias(f.name)
+                         for f in AGG_SALES_WINDOWED.fields]) \
+        .withColumn("inserted_at", F.current_timestamp().cast("timestamp_ntz"))
+    return _consume(rows, "agg_consumer", Q.not_null_rules([f.name for f in AGG_SALES_WINDOWED.fields]), table_path,
+                    checkpoint, trigger)
 
-    from salespark.schemas import AGG_SALES_WINDOWED
-    schema = PT.StructType(AGG_SALES_WINDOWED.fields + [PT.StructField("batch_id", PT.IntegerType())])
-    src = spark.readStream.schema(schema).parquet(agg_log_path)
-    rows = src.withColumn("inserted_at", F.current_timestamp().cast("timestamp_ntz"))
-    return (rows.writeStream.queryName("agg_consumer").format("parquet")
-            .option("path", table_path).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+
+def _consume(rows: DataFrame, name: str, rules: dict, table_path: str, checkpoint: str,
+             trigger: dict | None) -> StreamingQuery:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            S.append_checked(batch, rules, table_path, rejects_of(table_path), batch_id)
+        finally:
+            batch.unpersist()
+    return (rows.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
+def run_to_end(q: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query; re-raise its failure."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"streaming query {q.name} did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

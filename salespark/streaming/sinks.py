@@ -1,17 +1,13 @@
 """Table sinks used inside ``foreachBatch``.
 
-* ``upsert_first_wins`` -- ``INSERT ... ON CONFLICT (sale_id) DO NOTHING``:
-  first-wins inside the micro-batch (partial/final aggregate), then an anti
-  join against the keys already stored (only the ``sale_id`` column is read),
-  then an append partitioned by ``sale_month``.  Replaying a batch after a
-  failure skips the rows the first attempt stored, so the table never holds
-  two rows of one sale.
-* ``append_batch`` -- append a batch into its own ``batch_id`` partition with
-  dynamic overwrite: a replayed batch replaces its own files (exactly once).
+* ``upsert_first_wins`` -- ``INSERT ... ON CONFLICT (sale_id) DO NOTHING``: rows that break the table's contract go to a
+  side table with the names of the rules they break; of the others the first arrival of each sale id that is not
+  stored yet is added.
+* ``append_batch`` -- a batch as it is.
 * ``jdbc_append`` -- the PostgreSQL form (``df.write.jdbc``), one JDBC batch per
   task instead of a connection and commit per row.
-* ``dead_letters`` -- rows that break a table contract go to a side table
-  instead of stopping the stream (the consumers print and skip).
+
+The first two commit a batch once (``commit.commit_once``), so a replayed batch adds nothing.
 """
 
 from __future__ import annotations
@@ -21,13 +17,11 @@ from pyspark.sql import functions as F
 
 from salespark.operators import facts as FA
 from salespark.operators import quality as Q
+from salespark.schemas import FACT_SALES
+from salespark.streaming.commit import commit_once, path_exists
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+# Keys of one micro-batch up to this many (counted) are broadcast to the stored table's scan.
+BROADCAST_KEYS = 2_000_000
 
 
 def create_table_if_not_exists(spark: SparkSession, path: str, schema,
@@ -43,35 +37,57 @@ def create_table_if_not_exists(spark: SparkSession, path: str, schema,
     return True
 
 
-def upsert_first_wins(spark: SparkSession, valid: DataFrame, path: str) -> DataFrame:
-    """Store new sales from tagged valid events; returns the rows stored."""
-    rows = FA.not_null_ok(FA.fact_rows(valid))
-    new = FA.first_wins(rows)
-    if path_exists(spark, path):
-        stored = spark.read.parquet(path).select("sale_id")
-        new = new.join(stored, "sale_id", "left_anti")
-    # Partitioned by month: date filters prune months and then row groups by
-    # the date_id min/max statistics; a day per partition would leave one small
-    # file per day and batch.  REBALANCE: AQE merges the batch into about one
-    # file per touched month and splits a month holding a large share of it.
-    out = new.withColumn("sale_month", F.trunc("date_id", "month"))
-    out.hint("rebalance", "sale_month").write.mode("append").partitionBy("sale_month").parquet(path)
-    return new
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored fact table (``sale_month`` and ``batch_id`` are its partition columns)."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FACT_SALES)
+    return spark.read.schema(FACT_SALES).parquet(path)
+
+
+def not_stored(new: DataFrame, stored: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of ``new`` whose sale id is not in ``stored``.
+
+    The batch's keys are broadcast to the scan of the stored key column, so the stored table is neither shuffled
+    nor sorted; what comes back are the ids in both, at most one per row of the batch.  A batch with more
+    than ``broadcast_keys`` keys (a backfill) is joined by a shuffle instead."""
+    keys = stored.select("sale_id")
+    if new.count() > broadcast_keys:
+        return new.join(keys, "sale_id", "left_anti")
+    both = keys.join(F.broadcast(new.select("sale_id")), "sale_id", "left_semi").distinct()
+    return new.join(both, "sale_id", "left_anti")
+
+
+def upsert_first_wins(valid: DataFrame, path: str, rejects_path: str, batch_id: int) -> None:
+    """Store the new sales of a batch of tagged valid events, and the rejected ones."""
+    spark = valid.sparkSession
+    ok, bad = FA.by_contract(FA.fact_rows(valid))
+    commit_once(bad, rejects_path, batch_id)
+    if path_exists(spark, f"{path}/batch_id={batch_id}"):
+        return  # stored before; don't read the table for it
+    new = FA.first_wins(ok).select(*[f.name for f in FACT_SALES.fields]).persist()
+    try:
+        # Partitioned by month: date filters prune months and then row groups by
+        # the date_id min/max statistics; a day per partition would leave one small
+        # file per day and batch.
+        add = not_stored(new, read_facts(spark, path))
+        commit_once(add.withColumn("sale_month", F.trunc("date_id", "month")), path, batch_id, "sale_month")
+    finally:
+        new.unpersist()
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id)).hint("rebalance")
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+    commit_once(df, path, batch_id)
 
 
-def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
-    df.write.jdbc(url=url, table=table, mode="append", properties=properties)
+def append_checked(df: DataFrame, rules: dict, path: str, rejects_path: str, batch_id: int) -> None:
+    """A batch whose rows break none of the rules; the others go to the side table with the rules' names."""
+    ok, bad = Q.split_by_rules(df, rules)
+    commit_once(ok, path, batch_id)
+    commit_once(bad, rejects_path, batch_id)
 
 
-def dead_letters(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
-    """(rows meeting the contract, rows with their failed rule names)."""
-    return Q.split_by_rules(df, rules)
+def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
+    df.write.jdbc(url=url, table=table, mode="append", properties=properties)
 
 
 def console(df: DataFrame, checkpoint: str, trigger: dict | None = None):

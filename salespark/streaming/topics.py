@@ -6,10 +6,10 @@ Kafka connector is not installed here).  Both give the same message columns:
 
 * ``value``      JSON text
 * ``ingest_ts``  arrival clock (Kafka record timestamp), TIMESTAMP_NTZ
-* ``ingest_key`` arrival order used for first-arrival-wins decisions.  For
-                 Kafka it is ``partition << 40 | offset`` -- exact within a
-                 partition, which is where a producer keyed by sale id puts
-                 all copies of a sale.
+* ``ingest_key`` arrival order used for first-arrival-wins decisions.  For Kafka it is the record's
+                 time in milliseconds, then the partition, then the offset, in one number; it is
+                 unique while a partition takes fewer than 65,536 records in a millisecond.  Records are
+                 written with the sale id as their key, so all copies of a sale share a partition.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespark.schemas import TOPIC_MESSAGE
+from salespark.streaming.commit import commit_once
 
 # Topic names of the pipeline.
 RAW_TOPIC = "sales-events"
@@ -67,32 +68,34 @@ def read_batch(spark: SparkSession, topic: Topic) -> DataFrame:
 
 
 def kafka_columns(df: DataFrame) -> DataFrame:
+    """The message columns, and ``partition`` for the spread check."""
+    millis = F.shiftleft(F.unix_millis(F.col("timestamp")), 22)
+    part = F.shiftleft(F.pmod(F.col("partition").cast("bigint"), F.lit(64)), 16)
     return df.select(
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").cast("timestamp_ntz").alias("ingest_ts"),
-        (F.shiftleft(F.col("partition").cast("bigint"), 40) | F.col("offset")).alias("ingest_key"))
+        millis.bitwiseOR(part).bitwiseOR(F.pmod(F.col("offset"), F.lit(65_536))).alias("ingest_key"),
+        "partition")
 
 
-def write_batch(messages: DataFrame, topic: Topic, batch_id: int | None = None) -> None:
+def write_batch(messages: DataFrame, topic: Topic, batch_id: int | None = None, key: str | None = None) -> None:
     """Append messages (``value``, ``ingest_ts``, ``ingest_key``) to a topic.
 
-    Files: inside a micro-batch the output goes to its own ``batch_id=N``
-    partition with dynamic overwrite, so a replayed batch replaces its files
-    instead of adding a second copy.  Kafka is at-least-once (as the original
-    sinks)."""
-    out = messages.select("value", "ingest_ts", "ingest_key")
+    Files: the output of a micro-batch is committed once (``commit.commit_once``), so a replayed batch adds nothing, to
+    jobs that have read the topic already neither.  Kafka is at-least-once (as the original sinks): a replayed
+    batch is sent again, and readers that must count it once have to drop repeated keys.  ``key``: the
+    column that becomes the Kafka record's key."""
     if topic.kind == "kafka":
-        (out.select("value").write.format("kafka")
+        columns = ["value"] if key is None else [F.col(key).cast("string").alias("key"), "value"]
+        (messages.select(*columns).write.format("kafka")
             .option("kafka.bootstrap.servers", topic.bootstrap)
             .option("topic", topic.name).save())
         return
+    out = messages.select("value", "ingest_ts", "ingest_key")
     if batch_id is None:
         out.write.mode("append").parquet(topic.path)
-        return
-    # micro-batch output: AQE sizes the files (few per batch, hot parts split)
-    (out.withColumn("batch_id", F.lit(batch_id)).hint("rebalance")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(topic.path))
+    else:
+        commit_once(out, topic.path, batch_id)
 
 
 def file_topic(name: str, root: str) -> Topic:

@@ -1,11 +1,7 @@
 """SQL-dialect behaviour and alert defaults on literal events."""
 
-from pyspark.sql import functions as F
-
 from salespark.operators import validate as V
-from tests.helpers import messages, valid_event, without
-
-SQL_TS = "2026-07-09 10:30:00"
+from tests.helpers import CLOCK, messages, sale
 
 
 def _typed(spark, events):
@@ -14,11 +10,11 @@ def _typed(spark, events):
 
 def test_sql_reason_order_and_dropped_rows(spark):
     events = [
-        valid_event(sale_id="A", event_timestamp=SQL_TS),                       # fact
-        without(valid_event(sale_id="B", quantity=0, event_timestamp=SQL_TS), "user_id"),  # qty first
-        valid_event(sale_id="C", quantity=None, event_timestamp=SQL_TS),        # NULL: in neither branch
-        valid_event(sale_id="D", event_timestamp="2026-07-09T10:30:00"),        # 'T' rejected by the pattern
-        without(valid_event(sale_id="E", event_timestamp=SQL_TS), "product_id"),
+        sale(sale_id="A"),                                          # fact
+        sale(sale_id="B", quantity=0, drop=("user_id",)),           # quantity comes first
+        sale(sale_id="C", quantity=None),                           # NULL: in neither branch
+        sale(sale_id="D", event_timestamp=CLOCK.replace(" ", "T")),  # the pattern has no 'T'
+        sale(sale_id="E", drop=("product_id",)),
     ]
     t = _typed(spark, events)
     facts = [r.sale_id for r in V.sql_facts(t).collect()]
@@ -30,13 +26,13 @@ def test_sql_reason_order_and_dropped_rows(spark):
 
 
 def test_sql_null_total_is_high(spark):
-    t = _typed(spark, [without(valid_event(event_timestamp=SQL_TS), "total_amount")])
+    t = _typed(spark, [sale(drop=("total_amount",))])
     assert V.sql_facts(t).first().value_band == "high"
 
 
 def test_sql_fact_columns(spark):
-    row = V.sql_facts(_typed(spark, [valid_event(event_timestamp=SQL_TS)])).first()
-    assert str(row.date_id) == "2026-07-09" and row.sale_hour == 10 and row.sale_minute == 30
+    row = V.sql_facts(_typed(spark, [sale()])).first()
+    assert str(row.date_id) == "2024-02-29" and row.sale_hour == 23 and row.sale_minute == 59
     assert row.day_of_week == "Thursday"
 
 
@@ -49,13 +45,13 @@ def _alerts(spark, events, coded=True):
 
 def test_coded_alerts_defaults(spark):
     events = [
-        without(valid_event(), "sale_id"),                                 # 0: N/A id, code 1
-        valid_event(unit_price=-5.0),                                      # 1: code 2
-        valid_event(quantity=0),                                           # 2: code 3
-        without(valid_event(sale_id="S-T"), "event_timestamp"),            # 3: ts absent -> N/A
-        valid_event(sale_id="S-N", event_timestamp=None),                  # 4: ts null -> NULL
-        "{broken",                                                         # 5: malformed: no code
-        valid_event(),                                                     # 6: valid: no alert
+        sale(drop=("sale_id",)),              # 0: N/A id, code 1
+        sale(unit_price=-5.0),                # 1: code 2
+        sale(quantity=0),                     # 2: code 3
+        sale(drop=("event_timestamp",)),      # 3: absent -> N/A
+        sale(event_timestamp=None),           # 4: null -> NULL
+        "{broken",                            # 5: malformed: no code
+        sale(),                               # 6: valid: no alert
     ]
     got = _alerts(spark, events)
     assert set(got) == {0, 1, 2, 3, 4}
@@ -65,8 +61,8 @@ def test_coded_alerts_defaults(spark):
     assert got[4].anomaly_code == 4 and got[4].event_timestamp is None
 
 
-def test_basic_alerts_keep_every_invalid_event(spark):
-    got = _alerts(spark, [valid_event(quantity=0), "{broken"], coded=False)
+def test_basic_alerts_keep_every_insale(spark):
+    got = _alerts(spark, [sale(quantity=0), "{broken"], coded=False)
     assert {r.anomaly_type for r in got.values()} == {"quantity_zero", "malformed"}
 
 
@@ -74,4 +70,3 @@ def test_code_lookup_map(spark):
     df = spark.createDataFrame([("missing_field",), ("corrupted_timestamp",), ("other",)], "r string")
     got = [r.c for r in df.select(V.code_of("r").alias("c")).collect()]
     assert got == [1, 4, None]
-    assert F is not None

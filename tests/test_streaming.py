@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from salespark.plans import stream_queries as SQ
 from salespark.plans.queries import QUERIES
 from salespark.streaming import jobs as JB
+from salespark.streaming import sinks as S
 from salespark.streaming import topics as T
-from tests.helpers import messages, valid_event
+from tests.helpers import messages, sale
 from tools.oracle_check import compare, duck
 
 
@@ -18,7 +19,7 @@ def con(sf_small):
     return duck(sf_small)
 
 
-@pytest.mark.parametrize("name", ["sink_fact_upsert", "window_sliding", "sink_anomaly_coded"])
+@pytest.mark.parametrize("name", ["sink_fact_upsert", "window_sliding", "sink_error_skip", "sink_agg_consumer"])
 def test_stream_query_matches_oracle(spark, con, sf_small, name):
     q = SQ.STREAM_QUERIES[name]
     assert compare(spark, con, name, q.run, q.sql, sf_small, verbose=False)
@@ -30,62 +31,109 @@ def _events(spark, start, payloads):
         "ingest_ts", F.lit("2026-07-09 10:00:00").cast("timestamp_ntz"))
 
 
+def _batches(path):
+    import os
+    from salespark.session import local_path
+    return sorted(n for n in os.listdir(local_path(path)) if n.startswith("batch_id="))
+
+
 def test_restart_and_replay_keep_one_row_per_sale(spark):
     run = SQ.Run(spark, "test_restart")
-    first = [valid_event(sale_id=f"S-{i}", total_amount=10.0 + i) for i in range(20)]
-    T.write_batch(_events(spark, 0, first), run.raw)
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(20)]), run.raw)
     run.etl()
-    # later arrivals: duplicates of sales already stored, and new sales
-    second = [valid_event(sale_id=f"S-{i}", total_amount=999.0) for i in range(10)]
-    second += [valid_event(sale_id=f"N-{i}") for i in range(5)]
-    T.write_batch(_events(spark, 100, second), run.raw)
-    run.etl()            # resumes from the checkpoint: only the new file
+    # later arrivals: other versions of sales already stored, and new sales
+    T.write_batch(_events(spark, 100, [sale(i, total_amount=999) for i in range(10)] + [sale(i) for i in range(20, 25)]), run.raw)
+    run.etl()            # resumes from the checkpoint: only the new files
     run.etl()            # nothing new: no batch, no change
-    facts = spark.read.parquet(run.facts)
-    assert facts.count() == 25
-    assert facts.groupBy("sale_id").count().filter("count > 1").count() == 0
-    kept = facts.filter("sale_id = 'S-3'").first()
-    assert float(kept.total_amount) == 13.0  # the first arrival, not the later copy
+    facts = S.read_facts(spark, run.facts)
+    assert facts.count() == 25 == facts.select("sale_id").distinct().count()
+    assert facts.filter("total_amount = 999").count() == 0  # the first arrival, not the later copy
+
+
+def test_the_stored_table_is_not_shuffled(spark):
+    new = spark.createDataFrame([("a", 1), ("b", 2)], "sale_id string, x int")
+    stored = spark.createDataFrame([("b",), ("c",), ("b",)], "sale_id string")
+    assert [r.sale_id for r in S.not_stored(new, stored).collect()] == ["a"]
+    assert [r.sale_id for r in S.not_stored(new, stored, broadcast_keys=1).collect()] == ["a"]
+    path = f"{SQ.Run(spark, 'test_plan').root}/stored"
+    stored.write.parquet(path)
+    keys = spark.read.parquet(path).join(F.broadcast(new.select("sale_id")), "sale_id", "left_semi")
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
-def test_replayed_batch_writes_nothing_twice(spark):
-    """A micro-batch run again (as after a failure before its commit)."""
+def test_a_replayed_batch_changes_nothing_downstream(spark):
+    """ETL batch 0 runs again after every downstream job has read its output: nothing moves, then or later."""
     from salespark.operators.validate import tag_events
-    from salespark.streaming.jobs import EtlOutputs, etl_batch
     run = SQ.Run(spark, "test_replay")
-    batch = tag_events(_events(spark, 0, [valid_event(sale_id=f"R-{i}") for i in range(7)]
-                               + [valid_event(quantity=0)])).drop("_v")
-    body = etl_batch(spark, EtlOutputs(run.valid, run.invalid, run.facts))
+    batch = tag_events(_events(spark, 0, [sale(i) for i in range(7)] + [sale(quantity=0), sale(8, quantity=1.5)])).drop("_v")
+    body = JB.etl_batch(JB.EtlOutputs(run.valid, run.invalid, run.facts))
+
+    def downstream():
+        run.anomaly(with_topic=True)
+        run.aggregation("event_ts", with_topic=True)
+        run.fact_consumer()
+        run.alert_consumer()
+        run.agg_consumer()
+        tables = [S.read_facts(spark, run.facts), S.read_facts(spark, run.consumer_facts), T.read_batch(spark, run.valid),
+                  T.read_batch(spark, run.invalid), spark.read.parquet(run.alerts), spark.read.parquet(run.consumer_alerts),
+                  spark.read.parquet(JB.rejects_of(run.facts)), JB.windows(spark, run.agg), JB.windows(spark, run.consumer_agg)]
+        return [sorted(map(str, t.collect())) for t in tables]
+
     body(batch, 0)
+    first = downstream()
+    assert [len(t) for t in first] == [7, 7, 8, 1, 1, 1, 1, 3, 3]
     body(batch, 0)
-    assert spark.read.parquet(run.facts).count() == 7
-    assert T.read_batch(spark, run.valid).count() == 7
-    assert T.read_batch(spark, run.invalid).count() == 1
+    assert downstream() == first and _batches(run.valid.path) == ["batch_id=0"]
+    body(tag_events(_events(spark, 50, [sale(70)])).drop("_v"), 1)
+    assert [len(t) for t in downstream()][:3] == [8, 8, 9]
+
+
+def test_a_batch_that_failed_half_way_is_completed(spark):
+    """The topics were written, the facts were not: the replay adds what is missing, and only that."""
+    from salespark.operators.validate import tag_events, valid_events
+    run = SQ.Run(spark, "test_half")
+    batch = tag_events(_events(spark, 0, [sale(i) for i in range(5)])).drop("_v")
+    T.write_batch(valid_events(batch), run.valid, 0)
+    JB.etl_batch(JB.EtlOutputs(run.valid, run.invalid, run.facts))(batch, 0)
+    assert T.read_batch(spark, run.valid).count() == 5 == S.read_facts(spark, run.facts).count()
 
 
-def test_first_wins_across_micro_batches(spark, sf_small):
-    run = SQ.Run(spark, "test_multibatch")
-    from salespark.sources import fixture as FX
-    # several topic files in arrival order, one micro-batch each
-    msgs = FX.raw_messages(spark, sf_small)
-    cut = msgs.approxQuantile("ingest_key", [0.5], 0.0)[0]
-    # arrival order = file order: one key-ordered file per chunk, one chunk per batch
-    for cond in (F.col("ingest_key") < cut, F.col("ingest_key") >= cut):
-        T.write_batch(msgs.filter(cond).repartition(1), run.raw)
-    run.etl(max_per_trigger=1)
-    got = spark.read.parquet(run.facts)
-    expected = QUERIES["pk_first_wins"].run(spark, sf_small)
-    assert got.count() == expected.count()
-    assert got.groupBy("sale_id").count().filter("count > 1").count() == 0
-    cols = ["sale_id", "ingest_key"]
-    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+def test_two_writers_of_a_batch_leave_one(spark):
+    from salespark.streaming.commit import commit_once, rename_new
+    path = f"{SQ.Run(spark, 'test_writers').root}/table"
+    assert commit_once(spark.range(3), path, 4) and not commit_once(spark.range(9), path, 4)
+    spark.range(9).write.parquet(f"{path}/_staged/late")
+    assert not rename_new(spark, f"{path}/_staged/late", f"{path}/batch_id=4")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_inserted_at_is_the_clock_of_the_batch(spark):
+    run = SQ.Run(spark, "test_clock")
+    T.write_batch(_events(spark, 0, [sale(1)]), run.raw)
+    run.etl()
+    run.aggregation(with_topic=True)
+    run.agg_consumer()
+    rows = spark.read.parquet(run.consumer_agg).collect()
+    assert len(rows) == 3 and len({r.inserted_at for r in rows}) == 1 and rows[0].inserted_at is not None
+
+
+def test_many_batches_give_the_batch_results(spark, sf_small):
+    """Three micro-batches and more, in arrival order unlike event order."""
+    run = SQ.run_pipeline(spark, sf_small, "test_multibatch")
+    run.aggregation("event_ts")
+    assert len(_batches(run.facts)) >= 3 and len(_batches(run.agg)) >= 3
+    for got, name in ((S.read_facts(spark, run.facts), "pk_first_wins"), (JB.windows(spark, run.agg), "agg_window_stats")):
+        want = QUERIES[name].run(spark, sf_small)
+        got = got.select(*want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
 def test_same_transform_batch_and_stream(spark):
     """batch_mode: tag_events gives the same rows on a static frame and a stream."""
     from salespark.operators.validate import tag_events
     run = SQ.Run(spark, "test_batch_stream")
-    payloads = [valid_event(sale_id=f"B-{i}", quantity=i % 3) for i in range(12)]
+    payloads = [sale(i, quantity=i % 3) for i in range(12)]
     T.write_batch(_events(spark, 0, payloads), run.raw)
     batch = tag_events(T.read_batch(spark, run.raw)).drop("_v")
     out = f"{run.root}/tables/tagged"
@@ -101,16 +149,16 @@ def test_same_transform_batch_and_stream(spark):
 def test_processing_time_trigger(spark):
     """A continuous ETL job (processingTime trigger) picks up new files."""
     run = SQ.Run(spark, "test_continuous")
-    T.write_batch(_events(spark, 0, [valid_event(sale_id=f"C-{i}") for i in range(5)]), run.raw)
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(5)]), run.raw)
     out = JB.EtlOutputs(run.valid, run.invalid, run.facts)
     q = JB.start_etl(spark, run.raw, out, run.ckpt("etl"), trigger={"processingTime": "1 second"})
     try:
         q.processAllAvailable()
-        T.write_batch(_events(spark, 10, [valid_event(sale_id="C-9"), valid_event(quantity=0)]), run.raw)
+        T.write_batch(_events(spark, 10, [sale(9), sale(quantity=0)]), run.raw)
         q.processAllAvailable()
     finally:
         q.stop()
-    assert spark.read.parquet(run.facts).count() == 6
+    assert S.read_facts(spark, run.facts).count() == 6
     assert T.read_batch(spark, run.invalid).count() == 1
 
 
@@ -123,29 +171,20 @@ def test_sequence_passthrough(spark):
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
 
 
-def test_fact_consumer_state_store(spark):
-    """Valid topic -> fact_sales through the streaming dedup state."""
+def test_fact_consumer_over_two_runs(spark):
     run = SQ.Run(spark, "test_fact_consumer")
-    first = [valid_event(sale_id=f"K-{i}", total_amount=10.0 + i) for i in range(8)]
-    T.write_batch(_events(spark, 0, first).repartition(1), run.raw)
-    run.etl()
-    table = f"{run.root}/tables/fact_sales_consumer"
-    JB.run_to_end(JB.start_fact_consumer(spark, run.valid, table, run.ckpt("fact_consumer")))
-    later = [valid_event(sale_id=f"K-{i}", total_amount=500.0) for i in range(4)]
-    later += [valid_event(sale_id="K-new")]
-    T.write_batch(_events(spark, 100, later).repartition(1), run.raw)
-    run.etl()
-    JB.run_to_end(JB.start_fact_consumer(spark, run.valid, table, run.ckpt("fact_consumer")))
-    got = spark.read.parquet(table)
-    assert got.count() == 9
-    assert got.groupBy("sale_id").count().filter("count > 1").count() == 0
-    assert float(got.filter("sale_id = 'K-2'").first().total_amount) == 12.0
+    for start, events in ((0, [sale(i) for i in range(8)]), (100, [sale(i, total_amount=500) for i in range(4)] + [sale(9)])):
+        T.write_batch(_events(spark, start, events), run.raw)
+        run.etl()
+        run.fact_consumer()
+    got = S.read_facts(spark, run.consumer_facts)
+    assert got.count() == 9 == got.select("sale_id").distinct().count() and got.filter("total_amount = 500").count() == 0
 
 
 def test_console_sink(spark):
     from salespark.streaming.sinks import console
     run = SQ.Run(spark, "test_console")
-    T.write_batch(_events(spark, 0, [valid_event()]), run.raw)
+    T.write_batch(_events(spark, 0, [sale()]), run.raw)
     JB.run_to_end(console(T.read_stream(spark, run.raw).select("ingest_key"), run.ckpt("console"),
                           trigger={"availableNow": True}))
 
@@ -158,24 +197,24 @@ def test_kafka_reader_needs_the_connector(spark):
         T.read_stream(spark, topic)
 
 
-def test_processing_time_windows_stream_equals_batch(spark, sf_small):
-    """Aggregation job on the arrival clock == the batch processing_time query."""
-    r = SQ.run_pipeline(spark, sf_small, "test_proc_time")
-    JB.run_to_end(JB.start_aggregation(spark, r.valid, r.agg_log, r.ckpt("agg_proc"),
-                                       time_col="ingest_ts"))
-    got = JB.latest_windows(spark, r.agg_log)
-    expected = QUERIES["processing_time"].run(spark, sf_small)
-    cols = ["window_start", "window_end", "sale_count", "total_revenue", "avg_order_value"]
-    assert got.count() == expected.count()
-    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+def test_kafka_columns(spark):
+    rows = [(b"x", t, p, o) for t, p, o in (("2026-07-09 10:00:00.002", 0, 5), ("2026-07-09 10:00:00.001", 3, 9), ("2026-07-09 10:00:00.001", 3, 8))]
+    df = spark.createDataFrame(rows, "value binary, timestamp string, partition int, offset long").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp"))
+    got = T.kafka_columns(df).orderBy("ingest_key").collect()
+    assert [(r.partition, str(r.ingest_ts)[-3:]) for r in got] == [(3, "000"), (3, "000"), (0, "000")]
+    assert len({r.ingest_key for r in got}) == 3 and got[0].value == "x"
 
 
 def test_cli_runs_the_jobs_once(spark):
     """python -m salespark <job> --once: the ETL then the anomaly job on file topics."""
     from salespark.__main__ import main
     run = SQ.Run(spark, "test_cli")
-    T.write_batch(_events(spark, 0, [valid_event(sale_id="X-1"), valid_event(quantity=0)]), run.raw)
+    T.write_batch(_events(spark, 0, [sale(1), sale(quantity=0)]), run.raw)
     main(["etl", "--root", run.root, "--once"])
-    main(["anomaly", "--root", run.root, "--once"])
-    assert spark.read.parquet(f"{run.root}/tables/fact_sales").count() == 1
+    for job in ("anomaly", "aggregation", "fact-consumer", "alert-consumer", "agg-consumer"):
+        main([job, "--root", run.root, "--once"])
+    assert S.read_facts(spark, f"{run.root}/tables/fact_sales").count() == 1
+    assert S.read_facts(spark, f"{run.root}/tables/fact_sales_consumer").count() == 1
+    assert JB.windows(spark, f"{run.root}/tables/agg_sales_windowed_consumer").count() == 3
     assert spark.read.parquet(f"{run.root}/tables/anomaly_alerts").first().anomaly_code == 3
