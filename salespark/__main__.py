@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     ap.add_argument("--starting-offsets", help="of a new job on Kafka (default: latest for sql-etl, else earliest)")
     ap.add_argument("--time", default="ingest_ts", choices=("event_ts", "ingest_ts"),
                     help="aggregation clock: event time or arrival time")
+    ap.add_argument("--jdbc-url", help="sql-etl: database that takes the facts (else a table under --root)")
+    ap.add_argument("--jdbc-table", default="fact_sales")
     ap.add_argument("--once", action="store_true", help="drain available data and stop")
     ap.add_argument("--every", default="60 seconds", help="processing-time trigger interval")
     ap.add_argument("--max-per-trigger", type=int, default=None)
@@ -60,7 +62,8 @@ def main(argv=None) -> None:
                                  time_col=a.time, agg_topic=topic(T.AGG_TOPIC), **more)
     elif a.job == "sql-etl":
         q = JB.start_sql_etl(spark, topic(T.RAW_TOPIC), f"{tables}/fact_sale_sink",
-                             topic(T.INVALID_TOPIC), ckpt, **more)
+                             topic(T.INVALID_TOPIC), ckpt, **more,
+                             jdbc=(a.jdbc_url, a.jdbc_table, {}) if a.jdbc_url else None)
     elif a.job == "fact-consumer":
         q = JB.start_fact_consumer(spark, topic(T.VALID_TOPIC), f"{tables}/fact_sales_consumer", ckpt, **more)
     elif a.job == "alert-consumer":

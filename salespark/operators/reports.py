@@ -11,7 +11,7 @@ series run on that series only; the groups are bounded by the key domain
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespark.functions import time as TS
@@ -92,9 +92,8 @@ def series_sum_max(series: DataFrame, value_col: str) -> DataFrame:
 def share_of_total(counts: DataFrame, key: str, count_col: str = "cnt") -> DataFrame:
     """Percent of the total per group (pie label), rounded to 2 decimals.
 
-    ``counts`` is already aggregated (one row per group, e.g. four anomaly
-    types), so the global window below runs over that bounded set only."""
-    total = F.sum(count_col).over(Window.partitionBy())
+    The total is an aggregate of its own (partial sums per task), read as a scalar subquery; no task sees all groups."""
+    total = counts.agg(F.sum(count_col)).scalar()
     pct = F.round(F.col(count_col).cast("decimal(20,0)") * 100 / total, 2).cast("decimal(7,2)")
     return counts.select(key, count_col, pct.alias("pct"))
 

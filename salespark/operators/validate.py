@@ -61,6 +61,8 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     text), ``event_instant`` (the same in UTC), ``error_reason`` (NULL = valid), the five enrichment columns (valid rows
     only), ``value`` (the outgoing JSON record) and ``_v`` (the parsed event).
     """
+    # a repeated key counts with its last value, whatever session runs this
+    messages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     extra = [c for c in messages.columns if c != text_col]
     df = messages.select(*extra, F.col(text_col).alias("_text"),
                          J.parse(F.col(text_col)).alias(V))

@@ -18,11 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def read_saved(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of a table this package wrote (fact_sales, anomaly_alerts, ...)."""
-    return spark.read.parquet(path)
-
-
 #: Session setting: the number of partitions that row-heavy work (JSON, regex) is dealt over after a scan.  Off (unset)
 #: on a cluster, where a large table has many splits; ``bench.py`` and local runs set it, because a table stored
 #: as one parquet row group is otherwise read, parsed and validated by one task.

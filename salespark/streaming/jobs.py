@@ -174,11 +174,13 @@ def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, ch
 
 def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T.Topic,
                   checkpoint: str, trigger: dict | None = None,
-                  watermark: str | None = EVENT_WATERMARK, max_per_trigger: int | None = None) -> StreamingQuery:
+                  watermark: str | None = EVENT_WATERMARK, max_per_trigger: int | None = None,
+                  jdbc: tuple[str, str, dict] | None = None) -> StreamingQuery:
     """The SQL ETL job as a stream: fixed-schema JSON source with the computed
     ``ts`` column (and its declared watermark, which no operator consumes),
     fact branch appended to the fact table (the JDBC table declares no key, so
-    no dedup), invalid branch with the SQL reason order to a topic.  One scan
+    no dedup), invalid branch with the SQL reason order to a topic.  ``jdbc``: (url, table, properties) of a
+    database table that takes the facts instead of ``facts_path`` (at-least-once, as the original).  One scan
     feeds both branches (the original ran two INSERT jobs)."""
     typed = V.parse_typed(T.read_stream(spark, raw, max_per_trigger))
     if watermark is not None:
@@ -187,7 +189,10 @@ def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            S.append_batch(V.sql_facts(batch), facts_path, batch_id)
+            if jdbc is None:
+                S.append_batch(V.sql_facts(batch), facts_path, batch_id)
+            else:
+                S.jdbc_append(V.sql_facts(batch), *jdbc)
             inv = batch.filter(~V.sql_ok())
             out = inv.select(
                 J.write(F.struct("sale_id", "user_id", "product_id", "quantity", "unit_price",
