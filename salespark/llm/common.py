@@ -7,16 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespark.session import checkpoint_root
+from salespark.session import checkpoint_root, work_dir
 
 #: the ASCII letters that every text contract lower-cases (and no others)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def cut(df: DataFrame) -> DataFrame:
+#: Rows for each file of a small table.
+FILE_ROWS = 100_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Cut the lineage: an eager, reliable checkpoint in the folder that the
-    session names in ``spark.checkpoint.dir`` (survives a lost executor)."""
+    session names in ``spark.checkpoint.dir`` (survives a lost executor).
+
+    ``rows``: a bound on the number of rows where one is known; the table then has a file for each ``FILE_ROWS`` of them
+    and not one for each shuffle partition."""
     checkpoint_root(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     return df.checkpoint(eager=True)
 
 
@@ -41,6 +50,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage through a Parquet table in the session's shared folder: smaller than a checkpoint where
+    the rows are many, and read column by column."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(text, UPPER, UPPER.lower())

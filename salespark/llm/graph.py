@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _stars(edges: DataFrame, both: bool) -> DataFrame:
-    """One step.  ``edges``: (u, v) with u > v.
+def _stars(edges: DataFrame, both: bool, n: int) -> DataFrame:
+    """One step.  ``edges``: (u, v) with u > v, ``n`` of them; a step never makes more.
 
     large-star (``both``): with m(x) the least of x and its neighbours, every
     neighbour y > x is hung on m(x).  small-star: every smaller neighbour of x,
@@ -25,7 +25,7 @@ def _stars(edges: DataFrame, both: bool) -> DataFrame:
     else:
         near = edges
     least = cut(near.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("x"), F.least("u", "m").alias("m")))
+        F.col("u").alias("x"), F.least("u", "m").alias("m")), 2 * n)
     hung = near.join(least, F.col("u") == F.col("x"))
     if both:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,7 +33,7 @@ def _stars(edges: DataFrame, both: bool) -> DataFrame:
         out = hung.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-    return cut(out.where("u <> v").groupBy("u", "v").agg(F.lit(1).alias("n")).select("u", "v"))
+    return cut(out.where("u <> v").groupBy("u", "v").agg(F.lit(1).alias("n")).select("u", "v"), 2 * n)
 
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
@@ -53,11 +53,12 @@ def components(edges: DataFrame) -> DataFrame:
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     e = cut(e.groupBy("u", "v").agg(F.lit(1).alias("n")).select("u", "v"))
     before = _digest(e)
+    n = before[0]
     while before[0]:
-        e = _stars(_stars(e, both=True), both=False)
+        e = _stars(_stars(e, True, n), False, n)
         after = _digest(e)
         if after == before:
             break
         before = after
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return cut(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots))
+    return cut(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), 2 * n)

@@ -139,9 +139,9 @@ def brute_lines(docs):
     lines = sorted({o[2] for o in occ})
     fp = []
     for w in lines:
-        h = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in w], dtype=">u8")
+        h = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in set(w)], dtype=">u8")
         ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0)
-        fp.append(int.from_bytes(np.packbits(2 * ones > len(w)).tobytes(), "big"))
+        fp.append(int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big"))
     links = []
     for i in range(len(lines)):
         for j in range(i):
@@ -180,6 +180,19 @@ def test_line_classes_equal_brute_force(spark):
     assert all(r.kept == ((r.doc, r.line_no) == want[r.doc, r.line_no]) for r in got)
 
 
+def test_counters_of_either_width_agree(spark):
+    d = X.docs(spark, [*fuzzy_docs(), (99, "a b c d e f")])
+    rows = linededup.documents(d, "doc_id", "text")
+    narrow = {(r.doc, r.line_no): r.fp for r in linededup.fingerprints(rows).collect()}
+    many = " ".join(f"w{i}" for i in range(17_000))
+    wide = {(r.doc, r.line_no): r.fp for r in linededup.fingerprints(linededup.documents(
+        d.union(X.docs(spark, [(200, many + "\n" + many.replace("w5 ", "v5 "))])), "doc_id", "text")).collect()}
+    assert {k: v for k, v in wide.items() if k[0] != 200} == narrow
+    h = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in many.split()], dtype=">u8")
+    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0)
+    assert wide[200, 0] % 2**64 == int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big") and (200, 1) in wide
+
+
 def test_lines_taken_out_of_the_texts(spark):
     docs = fuzzy_docs()
     want, _ = brute_lines(docs)
@@ -204,4 +217,28 @@ def test_lines_of_odd_rows(spark):
 @pytest.mark.parametrize("a,b,same", [("abcde" * 2, "abcde" * 2, True), ("a" * 10, "a" * 8 + "bb", True),
                                       ("a" * 10, "a" * 7 + "bbb", False), ("a" * 8, "a" * 10, True), ("a" * 7, "a" * 10, False)])
 def test_similarity_at_the_threshold(spark, a, b, same):
-    assert spark.range(1).select(linededup.similar(F.lit(a), F.lit(b))).first()[0] is same
+    assert spark.range(1).select(linededup.similar(F.array(F.lit(a)), F.array(F.lit(b)))).first()[0] is same
+
+
+def test_similarity_of_word_arrays_is_that_of_their_texts(spark):
+    r = random.Random(8)
+    pairs = []
+    for _ in range(400):
+        a = [r.choice(["a", "bb", "abc", "ba", "cabab"]) for _ in range(r.randint(1, 14))]
+        b = list(a)
+        for _ in range(r.randint(0, 4)):
+            k = r.randrange(3)
+            if k == 0 and len(b) > 1:
+                del b[r.randrange(len(b))]
+            elif k == 1:
+                b.insert(r.randint(0, len(b)), r.choice(["a", "bb", "abc"]))
+            else:
+                b[r.randrange(len(b))] += r.choice("abc")
+        pairs.append((a, b))
+    got = [x.s for x in spark.createDataFrame(pairs, "a array<string>, b array<string>").select(
+        linededup.similar(F.col("a"), F.col("b")).alias("s")).collect()]
+    want = []
+    for a, b in pairs:
+        a, b = " ".join(a), " ".join(b)
+        want.append(lev(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9))
+    assert got == want and 50 < sum(want) < 350
