@@ -33,6 +33,42 @@ def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"conv": "conv_id", "parent": "parent_turn", "root": "root_turn"})
 
 
+def quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2's operator where there is something to link: each message but a conversation's first also quotes the first line
+    of the message one or two turns before it."""
+    from . import quotes
+    talk = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    earlier = talk.groupBy(F.col("conv_id").alias("c"), F.col("turn").alias("t")).agg(F.min("text").alias("quoted"))
+    back = F.greatest(F.col("turn") - 1 - (F.col("conv_id") + F.col("turn")) % 2, F.lit(0))
+    mail = talk.join(earlier, (F.col("conv_id") == F.col("c")) & (F.col("t") == back) & (F.col("turn") > 0), "left")
+    line = F.get(F.split("quoted", "\n"), F.lit(0))
+    quoting = mail.select("conv_id", "turn", "role", F.concat_ws("\n", F.concat(F.lit("> "), line), "text").alias("text"))
+    return quotes.conversations(quoting).select(
+        F.col("conv").alias("conv_id"), "turn", F.col("parent").alias("parent_turn"), "n_quotes", "text")
+
+
+QUOTE_THREADS_SQL = r"""
+WITH talk AS (SELECT conv_id, turn, text FROM conversations),
+back AS (
+  SELECT a.conv_id, a.turn, a.text, string_split(min(b.text), chr(10))[1] AS quoted
+  FROM (SELECT *, row_number() OVER () AS n FROM talk) a
+  LEFT JOIN talk b ON a.conv_id = b.conv_id AND a.turn > 0 AND b.turn = greatest(a.turn - 1 - (a.conv_id + a.turn) % 2, 0)
+  GROUP BY a.n, a.conv_id, a.turn, a.text),
+lines AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM talk),
+paragraphs AS (
+  SELECT conv_id, turn, replace(unnest(string_split_regex(text, '
+ *
+')), chr(10), ' ') AS line FROM talk),
+units AS (
+  SELECT conv_id, turn, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS u FROM (FROM lines UNION ALL FROM paragraphs)),
+firsts AS (SELECT conv_id, u, min(turn) AS parent FROM units GROUP BY ALL)
+SELECT b.conv_id, b.turn, CASE WHEN f.parent < b.turn THEN f.parent END AS parent_turn,
+       CAST(CASE WHEN trim(quoted) <> '' THEN 1 ELSE 0 END AS BIGINT) AS n_quotes, trim(b.text) AS text
+FROM back b LEFT JOIN firsts f ON f.conv_id = b.conv_id AND f.u = trim(regexp_replace(lower(b.quoted), '\s+', ' ', 'g'))
+  AND trim(b.quoted) <> ''
+"""
+
+
 def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bitslice
     return bitslice.top_k(read(spark, sf_dir, "embeddings"), is_query=F.col("id") % 20 == 0)
@@ -136,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quotes": op2_quotes,
     "op3_bitslice": op3_bitslice,
+    "quote_threads": quote_threads,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
@@ -146,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "quote_threads": QUOTE_THREADS_SQL,
     "op3_bitslice": OP3_SQL,
     "op6_decontam": OP6_SQL,
 }
