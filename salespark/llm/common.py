@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,5 +69,16 @@ def crc_mod(col: Column, m: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % F.lit(m)
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let the Python workers find this package where the driver found it, whatever folder the session was started in.
+    (Where executors have other folders, install the package there or pass it with --py-files.)"""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")

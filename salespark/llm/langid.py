@@ -14,7 +14,7 @@ and the rejection threshold.
 
 Rejection: a text is rejected when it has no letter, or when its calibrated
 confidence is below the threshold, the ``FALSE_REJECTS`` quantile of the
-confidences of correctly recognised texts set aside, and never above one half.
+confidences of correctly recognised texts set aside, and never above ``MOST_THRESHOLD``, so that clean texts stay.
 
 Defined results: a null text, or one without letters, gets ``und``, score 0 and
 is rejected; equal logits go to the language that sorts first; with nothing to learn from every text
@@ -48,6 +48,7 @@ EPOCHS = 10
 RATE = 0.5
 SEED = 42
 FALSE_REJECTS = 0.001
+MOST_THRESHOLD = 0.4
 BLOCK = 1 << 18  # characters hashed at a time
 UNDETERMINED = "und"
 
@@ -154,7 +155,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     t = min(np.geomspace(0.05, 20, 121), key=lambda t: -np.log(_softmax(z / t)[range(len(held)), y[held]] + 1e-300).sum())
     p = _softmax(z / t)
     right = p.max(axis=1)[p.argmax(axis=1) == y[held]]
-    threshold = min(0.5, float(np.quantile(right, FALSE_REJECTS, method="lower"))) if len(right) else 0.0
+    threshold = min(MOST_THRESHOLD, float(np.quantile(right, FALSE_REJECTS, method="lower"))) if len(right) else 0.0
     return Model(langs, table, weight, bias, float(t), threshold)
 
 
