@@ -242,3 +242,13 @@ def test_similarity_of_word_arrays_is_that_of_their_texts(spark):
         a, b = " ".join(a), " ".join(b)
         want.append(lev(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9))
     assert got == want and 50 < sum(want) < 350
+
+
+def test_repeated_rows_do_not_fill_a_counter(spark):
+    line = " ".join(f"w{i}" for i in range(20))
+    d = X.docs(spark, [(1, line), (2, line)])
+    d = d.where("doc_id = 1").crossJoin(spark.range(2_600).select()).union(d.where("doc_id = 2"))
+    got = linededup.classes(d).collect()
+    assert sorted((r.doc, r.line_no, r["class"].doc, r.kept) for r in got) == [(1, 0, 1, True), (2, 0, 1, False)]
+    fps = linededup.fingerprints(linededup.documents(d, "doc_id", "text")).select("k1", "k2", "fp").distinct()
+    assert fps.count() == 1
