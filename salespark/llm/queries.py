@@ -114,7 +114,7 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import linededup
-    return linededup.classes(read(spark, sf_dir, "documents")).select(
+    return linededup.classes(read(spark, sf_dir, "documents"), **linededup.EVERY_LINE).select(
         F.col("doc").alias("doc_id"), "line_no", F.col("class.doc").alias("class_doc_id"),
         F.col("class.line_no").alias("class_line_no"), "kept")
 

@@ -252,3 +252,14 @@ def test_repeated_rows_do_not_fill_a_counter(spark):
     assert sorted((r.doc, r.line_no, r["class"].doc, r.kept) for r in got) == [(1, 0, 1, True), (2, 0, 1, False)]
     fps = linededup.fingerprints(linededup.documents(d, "doc_id", "text")).select("k1", "k2", "fp").distinct()
     assert fps.count() == 1
+
+
+def test_lines_of_few_words_take_part_in_query_and_stage(spark, tmp_path):
+    import corpus_pipeline as P
+    from salespark.llm import queries as Q
+    zh = "\u9019\u662f\u4e00\u500b\u6c92\u6709\u7a7a\u683c\u7684\u6bb5\u843d" * 3
+    X.docs(spark, [(i, f"All rights\n\n{zh}\n{X.prose(60 + i, 9)}\n \t\nEnd.") for i in range(3)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.kept) for r in Q.op7_lines(spark, str(tmp_path)).collect()}
+    assert got == {(i, n): (i, n, True) if n == 3 else (0, n, i == 0) for i in range(3) for n in (0, 2, 3, 5)}
+    left = P.line_dedup(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in left if r.doc_id} == {i: f"\n{X.prose(60 + i, 9)}\n \t" for i in (1, 2)}
