@@ -263,3 +263,18 @@ def test_lines_of_few_words_take_part_in_query_and_stage(spark, tmp_path):
     assert got == {(i, n): (i, n, True) if n == 3 else (0, n, i == 0) for i in range(3) for n in (0, 2, 3, 5)}
     left = P.line_dedup(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).collect()
     assert {r.doc_id: r.text for r in left if r.doc_id} == {i: f"\n{X.prose(60 + i, 9)}\n \t" for i in (1, 2)}
+
+
+def test_small_edits_are_found_in_lines_of_any_length(spark):
+    r = random.Random(11)
+    base = [X.prose(300 + i, n) for i, n in enumerate([2, 3, 6, 6, 6, 8, 12, 12, 30, 30])]
+    base.append("".join(chr(0x4e00 + r.randrange(3_000)) for _ in range(60)))
+    docs = [(2 * i + k, line) for i, b in enumerate(base) for k, line in enumerate(
+        [b, (lambda at: b[:at] + "q" + b[at:])(r.randrange(len(b) // 3, len(b)))])]
+    texts = [" ".join(norm(x)) for _, x in docs]
+    links = [(i, j) for i in range(len(texts)) for j in range(i)
+             if lev(texts[i], texts[j]) <= int(max(len(texts[i]), len(texts[j])) * 0.2 + 1e-9)]
+    comp = union(len(texts), links)
+    want = {i: min(j for j in range(len(docs)) if comp[j] == comp[i]) for i in range(len(docs))}
+    got = {x.doc: x["class"].doc for x in linededup.classes(X.docs(spark, docs), **linededup.EVERY_LINE).collect()}
+    assert got == want and len(links) >= len(base)
