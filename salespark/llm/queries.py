@@ -141,6 +141,38 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fim
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+    return fim.fill_in_middle(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+  FROM documents),
+k AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS UBIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS UBIGINT) % (len(u) + 1) AS b,
+         CAST('0x' || h[17:24] AS UBIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS UBIGINT) % 100 AS h4
+  FROM d),
+p AS (
+  SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 100 THEN 'plain'
+                            WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1 : least(a, b)], '') AS x, array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS m,
+         array_to_string(u[greatest(a, b) + 1 : n], '') AS s
+  FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(x) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || x || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || x || '<M>' || m
+                        ELSE t END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -180,10 +212,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
+    "op12_fim": op12_fim,
 }
 
 ORACLES: dict[str, str] = {
     "quote_threads": QUOTE_THREADS_SQL,
     "op3_bitslice": OP3_SQL,
     "op6_decontam": OP6_SQL,
+    "op12_fim": OP12_SQL,
 }
