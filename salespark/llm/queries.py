@@ -141,6 +141,46 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import trie
+    turns, convs = trie.spliced(trie.numbered(read(spark, sf_dir, "conversations")), every=20, most=4)
+    return trie.nodes(turns, convs).withColumnsRenamed({"conv": "conv_id", "parent_conv": "parent_conv_id"})
+
+
+OP11_SQL = r"""
+WITH o AS (
+  SELECT conv_id AS c, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT c, list({'role': role, 'text': text} ORDER BY pos) AS u FROM o GROUP BY c),
+crc AS (  -- crc32 bit by bit over the decimal digits
+  SELECT c, u, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: ascii(s)::BIGINT)),
+    lambda a, d: list_reduce(list_prepend(xor(a, d), range(8)),
+      lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 4 AS h
+  FROM own),
+b AS (
+  SELECT x.c, list_concat(coalesce(y.u[1 : x.h], []), x.u[x.h + 1 : len(x.u)]) AS u
+  FROM crc x LEFT JOIN own y ON y.c = x.c - x.c % 20),
+p AS (
+  SELECT c, d, len(u) = d AS ended, CASE WHEN d > 0 THEN u[d].text ELSE '' END AS t,
+         CASE WHEN d = 0 THEN '' ELSE sha256(to_json(u[1 : d])) END AS key
+  FROM (SELECT c, u, unnest(range(len(u) + 1)) AS d FROM b)),
+n AS (
+  SELECT d, key, min(c) AS c, count(*) AS n, len(regexp_extract_all(any_value(t), '[^\x20\x09-\x0D]+')) AS words,
+         sha256(coalesce(string_agg(CASE WHEN ended THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends
+  FROM p GROUP BY d, key),
+above AS (  -- the node itself and those above it
+  SELECT n.d, n.key, n.words * (n.n - 1) AS saving, q.d AS ad, q.key AS akey FROM n JOIN p q ON q.c = n.c AND q.d <= n.d),
+kids AS (SELECT ad AS d, akey AS key, count(*) AS k FROM above WHERE ad = d - 1 GROUP BY ALL),
+subtree AS (
+  SELECT ad AS d, akey AS key, sum(saving) AS saving, count(*) FILTER (kids.k IS NULL) AS leaves
+  FROM above LEFT JOIN kids USING (d, key) GROUP BY ALL),
+parent AS (SELECT x.d, x.key, y.c FROM above x JOIN n y ON y.d = x.ad AND y.key = x.akey WHERE x.ad = x.d - 1)
+SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, parent.c AS parent_conv_id, n.n AS n_convs, coalesce(kids.k, 0) AS n_children,
+       CAST(subtree.leaves AS BIGINT) AS n_leaves, CAST(subtree.saving AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN subtree USING (d, key) LEFT JOIN kids USING (d, key) LEFT JOIN parent USING (d, key)
+"""
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import fim
     def digest(text: Column) -> Column:
@@ -212,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secrets": op9_secrets,
     "op10_lattice": op10_lattice,
+    "op11_trie": op11_trie,
     "op12_fim": op12_fim,
 }
 
@@ -219,5 +260,6 @@ ORACLES: dict[str, str] = {
     "quote_threads": QUOTE_THREADS_SQL,
     "op3_bitslice": OP3_SQL,
     "op6_decontam": OP6_SQL,
+    "op11_trie": OP11_SQL,
     "op12_fim": OP12_SQL,
 }
