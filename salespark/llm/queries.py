@@ -213,6 +213,11 @@ FROM p
 """
 
 
+def op13_kdsearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import kdsearch
+    return kdsearch.nearest(read(spark, sf_dir, "embeddings"), is_query=F.col("id") % 20 == 0)
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -254,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lattice": op10_lattice,
     "op11_trie": op11_trie,
     "op12_fim": op12_fim,
+    "op13_kdsearch": op13_kdsearch,
 }
 
 ORACLES: dict[str, str] = {
