@@ -1,6 +1,7 @@
 """op4 and op7 against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -133,22 +134,18 @@ def norm(line):
 
 
 def brute_lines(docs):
-    """{(doc, line): (first occurrence)} of lines of five words or more."""
+    """({(doc, line): first occurrence} of all lines but empty ones, number of links), by edit similarity alone."""
     occ = [(i, n, tuple(norm(x))) for i, t in docs if t is not None for n, x in enumerate(t.split("\n"))]
-    occ = [o for o in occ if len(o[2]) >= 5]
+    occ = [o for o in occ if o[2]]
     lines = sorted({o[2] for o in occ})
-    fp = []
-    for w in lines:
-        h = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in set(w)], dtype=">u8")
-        ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0)
-        fp.append(int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big"))
+    texts = [" ".join(x) for x in lines]
     links = []
     for i in range(len(lines)):
         for j in range(i):
-            if (fp[i] ^ fp[j]).bit_count() <= 3:
-                a, b = " ".join(lines[i]), " ".join(lines[j])
-                if lev(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
-                    links.append((i, j))
+            a, b = sorted((texts[i], texts[j]), key=len)
+            allowed = int(len(b) * 0.2 + 1e-9)
+            if len(b) - len(a) <= allowed and sum((Counter(b) - Counter(a)).values()) <= allowed and lev(a, b) <= allowed:
+                links.append((i, j))
     comp = dict(zip(lines, union(len(lines), links)))
     first = {}
     for i, n, w in occ:
@@ -276,5 +273,5 @@ def test_small_edits_are_found_in_lines_of_any_length(spark):
              if lev(texts[i], texts[j]) <= int(max(len(texts[i]), len(texts[j])) * 0.2 + 1e-9)]
     comp = union(len(texts), links)
     want = {i: min(j for j in range(len(docs)) if comp[j] == comp[i]) for i in range(len(docs))}
-    got = {x.doc: x["class"].doc for x in linededup.classes(X.docs(spark, docs), **linededup.EVERY_LINE).collect()}
+    got = {x.doc: x["class"].doc for x in linededup.classes(X.docs(spark, docs)).collect()}
     assert got == want and len(links) >= len(base)
