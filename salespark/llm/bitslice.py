@@ -1,6 +1,6 @@
 """Exact top-k inner products with a bit-sliced index (O'Neil and Quass, 1997; Rinfret et al., 2001).
 
-Vectors are quantised to integers, floor(scale * x), and dealt into blocks by the hash of their id.  In a block each
+Vectors are quantised to integers, floor(scale * x), and dealt into blocks by the hash of their id and row.  In a block each
 component is stored as bit slices: slice b of a component is a bitmap with bit b of every
 row's value (less the component's least value).  For a query,
 
@@ -15,9 +15,11 @@ row's value (less the component's least value).  For a query,
 The stated queries meet all rows in blocks: a pair of a row block and a query block is one group, bounded by
 ``BLOCK_ROWS`` and ``QUERY_ROWS``, and returns k rows for each query.  A second step ranks those per query.
 
-Defined results: a vector that is null or holds a null or non-finite component takes no part; vectors of different
-lengths are not compared; a repeated id counts once, with its least vector; a null id takes no part; a query with
-fewer than k candidates gets them all; extra columns are ignored; an empty table gives no rows.
+Defined results: a vector that is null or holds a null or non-finite component takes no part, nor does a null id; vectors of different
+lengths are not compared; every row of another id is a candidate, so repeated rows are each found; a query is an id (one that several
+rows have is searched with each of their vectors, and its best rows are ranked together); a query with
+fewer than k candidates gets them all; extra columns are ignored; an empty table gives no rows.  A vector with a component
+over ``LARGEST`` / sqrt(length), after scaling, takes no part either: its inner products need not fit 64 bits.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ SCALE = 64
 K = 20
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
+BLOCK_BYTES = 1 << 26  # of a block's vectors as integers: long vectors come in smaller blocks
+LARGEST = math.isqrt((1 << 63) - 1)  # bound of a vector's length in integers
 
 
 class Slices:
@@ -123,12 +127,13 @@ class Slices:
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, v): the integer vectors that take part."""
+    """(id, row, v): the integer vectors that take part; row tells repeated rows apart."""
     x = F.col(vec_col).cast("array<double>")
-    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < math.inf))
+    bound = F.lit(float(LARGEST) / scale) / F.sqrt(F.greatest(F.size(x), F.lit(1))) - 1
+    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) <= bound))
     return df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & fine) \
-        .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda e: F.floor(e * scale)).alias("v")) \
-        .groupBy("id").agg(F.min("v").alias("v"))
+        .select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
+                F.transform(x, lambda e: F.floor(e * scale)).alias("v"))
 
 
 def _search(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -158,11 +163,12 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", v
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of each query with the rows
     of other ids.  ``is_query``: a condition on the column ``id``."""
     rows = cut(quantised(df, id_col, vec_col, scale))
-    n = rows.agg(F.count("*").alias("rows"), F.count(F.when(is_query, 1)).alias("queries")).first()
+    n = rows.agg(F.count("*").alias("rows"), F.count(F.when(is_query, 1)).alias("queries"), F.max(F.size("v")).alias("dims")).first()
+    block_rows = max(1, min(block_rows, BLOCK_BYTES // (8 * max(1, n["dims"] or 0))))
     blocks, parts = max(1, -(-n["rows"] // block_rows)), max(1, -(-n["queries"] // query_rows))
 
     def dealt(d: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return d.select("id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("id"), F.lit(n_own)).alias(own),
+        return d.select("id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("id", "row"), F.lit(n_own)).alias(own),
                         F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)).cast("array<bigint>")).alias(other))
 
     left = dealt(rows, "block", blocks, "part", parts).groupBy("dims", "block", "part")
