@@ -55,13 +55,14 @@ UNDETERMINED = "und"
 
 @cache
 def _letters() -> np.ndarray:
-    """For each code point, whether it is a letter or a mark on one."""
-    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool,
+    """For each code point 1 for a mark, 2 for a letter, else 0."""
+    kinds = {"M": 1, "L": 2}
+    return np.fromiter((kinds.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)), np.uint8,
                        sys.maxunicode + 1)
 
 
 def _has_letter(codes: np.ndarray) -> bool:
-    return bool(_letters()[codes].any())
+    return bool((_letters()[codes] == 2).any())
 
 
 def features(text: str | None) -> np.ndarray | None:
@@ -73,8 +74,8 @@ def features(text: str | None) -> np.ndarray | None:
     tail = np.zeros(1, np.uint64)  # a text begins with a boundary
     for at in range(0, len(text), BLOCK):
         codes = np.frombuffer(text[at:at + BLOCK].lower().encode("utf-32-le", "replace"), np.uint32)
-        kept = np.where(_letters()[codes], codes, 0)
-        some = some or bool(kept.any())
+        kept = np.where(_letters()[codes] > 0, codes, 0)  # marks belong to the n-grams of their letters
+        some = some or _has_letter(codes)
         last = at + BLOCK >= len(text)
         run = np.concatenate([tail, kept.astype(np.uint64), np.zeros(int(last), np.uint64)])
         run = run[np.concatenate([[True], (run[1:] != 0) | (run[:-1] != 0)])]  # one boundary for a run of them

@@ -214,3 +214,8 @@ def test_nothing_to_learn_words_from(spark):
     assert got[1].base_score == 0 and got[1].n_known == 0 and got[1].n_tokens == 3 and got[1].train_tokens == 0
     assert got[2].n_tokens == 1 and got[2].score == pytest.approx(lattice.vocabulary().end / math.log(10), rel=1e-6)
     assert lattice.score(d.where("false"), F.lit(True)).count() == 0
+
+
+def test_a_text_of_marks_alone_has_no_letter():
+    from salespark.llm import langid
+    assert langid.features("\u0301\u0302 12") is None and langid.features("e\u0301") is not None
