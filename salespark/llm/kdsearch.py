@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import let, saved
 
 K = 20
 PROJECTED = 12         # even: the chi-square distribution then has a closed form
@@ -361,8 +361,8 @@ class Plan:
 def fitted(found: DataFrame, k: int, m: int, confidence: float, seed: int, block_rows: int) -> tuple[Plan, DataFrame]:
     """The plan for the points ``found``, and the saved points with their places (dims, cell, block)."""
     plan = Plan(m, seed, quantile(confidence, m), k)
-    top = F.array_max(F.transform("v", F.abs))
-    norm = top * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + (e / top) * (e / top)))
+    norm = let(F.array_max(F.transform("v", lambda e: F.abs(e))), lambda top: top * F.sqrt(
+        F.aggregate("v", F.lit(0.0), lambda s, e: s + (e / top) * (e / top))))
     sizes = {r["dims"]: r for r in found.groupBy(F.size("v").alias("dims")).agg(F.max(norm).alias("largest"), F.count("*").alias("n")).collect()}
     plan.largest = {n: r["largest"] for n, r in sizes.items()}
 
