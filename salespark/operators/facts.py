@@ -51,6 +51,16 @@ def by_contract(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return Q.split_by_rules(rows, Q.not_null_rules(FACT_COLUMNS))
 
 
+def by_table_contract(rows: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet the whole contract of the fact table, the others with the names of the ``violations``): NOT NULL columns,
+    CHECK rules (with the bands that are emitted, low/medium/high) and foreign keys into ``dims``."""
+    marked, keys = Q.with_foreign_keys(rows, dims)
+    checks = {n: r for n, r in Q.fact_rules().items() if n != "value_band_in_schema"}
+    ok, bad = Q.split_by_rules(marked, {**Q.not_null_rules(FACT_COLUMNS), **checks, **keys})
+    marks = [c for c in marked.columns if c not in rows.columns]
+    return ok.drop(*marks), bad.drop(*marks)
+
+
 def fact_sales(valid: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``fact_sales`` as the consumer table holds it: NOT NULL columns, one
     row per sale id, first arrival wins; ``columns``: those wanted beside ``sale_id``."""

@@ -102,6 +102,23 @@ def fk_split(facts: DataFrame, users: DataFrame, products: DataFrame,
     return ok, orphans
 
 
+#: The foreign keys of fact_sales: column (of the same name in the dimension) and dimension.
+FOREIGN_KEYS = {"user_id": "dim_user", "product_id": "dim_product", "date_id": "dim_date"}
+
+
+def with_foreign_keys(facts: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, Column]]:
+    """(``facts`` with a mark for each foreign key, the rules over the marks).  A null key passes, as in SQL.
+
+    ``facts`` may be a stream and ``dims`` static: each join is a stream-static left join."""
+    rules = {}
+    for key, table in FOREIGN_KEYS.items():
+        mark = f"_has_{key}"
+        known = dims[table].select(F.col(key).alias(f"_dim_{key}")).distinct().withColumn(mark, F.lit(True))
+        facts = facts.join(known, F.col(key) == F.col(f"_dim_{key}"), "left").drop(f"_dim_{key}")
+        rules[f"{key}_in_{table}"] = F.col(key).isNull() | F.col(mark).isNotNull()
+    return facts, rules
+
+
 # ------------------------------------------------------------- stream checks
 
 KNOWN_FIELDS = ("sale_id", "user_id", "product_id", "quantity", "unit_price",

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from salespark.operators import reports as R
 from salespark.plans import oracle as O
-from salespark.plans.queries import FACT_OUT, FACT_OUT_SQL, Query
+from salespark.plans.queries import FACT_OUT, FACT_OUT_SQL, FK_DATE_END, FK_DATE_START, Query
 from salespark.schemas import TOPIC_MESSAGE
 from salespark.session import work_dir
+from salespark.sources import dims as D
 from salespark.sources import fixture as FX
 from salespark.streaming import jobs as JB
 from salespark.streaming import sinks as S
@@ -54,6 +55,7 @@ class Run:
         self.facts = f"{self.root}/tables/fact_sales"
         self.alerts = f"{self.root}/tables/anomaly_alerts"
         self.agg = f"{self.root}/tables/agg_sales_windowed"
+        self.dims = f"{self.root}/tables/dims"
         self.consumer_facts = f"{self.root}/tables/fact_sales_consumer"
         self.consumer_alerts = f"{self.root}/tables/anomaly_alerts_consumer"
         self.consumer_agg = f"{self.root}/tables/agg_sales_windowed_consumer"
@@ -74,8 +76,13 @@ class Run:
         files = len(T.read_batch(self.spark, topic).inputFiles())
         JB.run_to_end(start(self.spark, topic, *args, self.ckpt(ckpt), max_per_trigger=max(1, files // BATCHES), **more))
 
-    def etl(self) -> None:
-        self._run(JB.start_etl, self.raw, JB.EtlOutputs(self.valid, self.invalid, self.facts), ckpt="etl")
+    def etl(self, dims: bool = False) -> None:
+        out = JB.EtlOutputs(self.valid, self.invalid, self.facts, self.dims if dims else None)
+        self._run(JB.start_etl, self.raw, out, ckpt="etl")
+
+    def store_dims(self) -> None:
+        S.store_dims({"dim_user": D.dim_user(self.spark), "dim_product": D.dim_product(self.spark),
+                      "dim_date": D.dim_date(self.spark, FK_DATE_START, FK_DATE_END)}, self.dims)
 
     def anomaly(self, with_topic: bool = False) -> None:
         self._run(JB.start_anomaly, self.invalid, self.alerts, ckpt="anomaly",
@@ -134,6 +141,34 @@ def q_sink_error_skip(spark, sf):
     return parts[0].union(parts[1])
 
 
+# the whole contract of fact_sales by the name of each rule, in the order of the table's columns, its CHECKs and its keys
+_CONTRACT_SQL = {**{f"{c}_not_null": f"{c} IS NOT NULL" for c in O.FACT_COLUMNS},
+                 "quantity_positive": "quantity > 0", "unit_price_positive": "unit_price > 0", "total_amount_positive": "total_amount > 0",
+                 "value_band_known": "value_band IN ('low', 'medium', 'high')", "sale_hour_range": "sale_hour BETWEEN 0 AND 23",
+                 "sale_minute_range": "sale_minute BETWEEN 0 AND 59",
+                 "user_id_in_dim_user": "user_id IN (SELECT 'U-' || lpad(CAST(i AS VARCHAR), 4, '0') FROM range(1, 101) t(i))",
+                 "product_id_in_dim_product": "product_id IN (SELECT i FROM (FROM range(101, 107) UNION ALL FROM range(201, 208) "
+                                              "UNION ALL FROM range(301, 306) UNION ALL FROM range(401, 407)) t(i))",
+                 "date_id_in_dim_date": f"date_id BETWEEN DATE '{FK_DATE_START}' AND DATE '{FK_DATE_END}'"}
+
+
+@_register("sink_fact_contract", O.facts_sql(f"""
+SELECT ingest_key, sale_id, CASE WHEN violations = '' THEN 'stored' ELSE 'rejected' END AS outcome, violations
+FROM (SELECT *, row_number() OVER (PARTITION BY sale_id, violations = '' ORDER BY ingest_key) AS rn FROM (
+  SELECT *, array_to_string(list_filter([{', '.join(f"CASE WHEN NOT ({r}) THEN '{n}' END" for n, r in _CONTRACT_SQL.items())}],
+                                        lambda x: x IS NOT NULL), ',') AS violations FROM fact_input))
+WHERE violations <> '' OR rn = 1"""),
+           "streaming ETL whose fact table has its whole contract (NOT NULL, CHECK, FOREIGN KEY): facts and rejects")
+def q_sink_fact_contract(spark, sf):
+    r = Run(spark, "sink_fact_contract")
+    r.produce(sf)
+    r.store_dims()
+    r.etl(dims=True)
+    rejects = spark.read.parquet(JB.rejects_of(r.facts))
+    return S.read_facts(spark, r.facts).select("ingest_key", "sale_id", F.lit("stored").alias("outcome"), F.lit("").alias("violations")) \
+        .union(rejects.select("ingest_key", "sale_id", F.lit("rejected"), F.array_join("violations", ",")))
+
+
 @_register("split_multi_sink", O.tagged_sql("""
 SELECT CASE WHEN error_reason IS NULL THEN 'valid-sales' ELSE 'invalid-sales-events' END AS topic,
        ingest_key, error_reason, value_band FROM tagged"""),

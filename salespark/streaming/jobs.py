@@ -50,6 +50,7 @@ class EtlOutputs:
     valid: T.Topic
     invalid: T.Topic
     facts_path: str
+    dims_path: str | None = None  # stored dimensions: facts must then meet the CHECK and FOREIGN KEY rules
 
 
 def etl_batch(out: EtlOutputs):
@@ -61,7 +62,7 @@ def etl_batch(out: EtlOutputs):
             invalid = V.invalid_events(batch)
             T.write_batch(valid, out.valid, batch_id, key="sale_id")
             T.write_batch(invalid, out.invalid, batch_id, key="sale_id")
-            S.upsert_first_wins(valid, out.facts_path, rejects_of(out.facts_path), batch_id)
+            S.upsert_first_wins(valid, out.facts_path, rejects_of(out.facts_path), batch_id, out.dims_path)
         finally:
             batch.unpersist()
     return run
@@ -156,15 +157,16 @@ def windows(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, checkpoint: str,
-                        trigger: dict | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, max_per_trigger: int | None = None,
+                        dims_path: str | None = None) -> StreamingQuery:
     """The fact consumer: valid topic -> fact_sales with ``ON CONFLICT
-    (sale_id) DO NOTHING``, through the same sink as the ETL job."""
+    (sale_id) DO NOTHING``, through the same sink as the ETL job (``dims_path`` as there)."""
     tagged = V.tag_events(T.read_stream(spark, valid, max_per_trigger)).drop(V.V)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            S.upsert_first_wins(V.valid_events(batch), facts_path, rejects_of(facts_path), batch_id)
+            S.upsert_first_wins(V.valid_events(batch), facts_path, rejects_of(facts_path), batch_id, dims_path)
         finally:
             batch.unpersist()
     return (tagged.writeStream.queryName("fact_consumer")

@@ -57,10 +57,23 @@ def not_stored(new: DataFrame, stored: DataFrame, broadcast_keys: int = BROADCAS
     return new.join(both, "sale_id", "left_anti")
 
 
-def upsert_first_wins(valid: DataFrame, path: str, rejects_path: str, batch_id: int) -> None:
-    """Store the new sales of a batch of tagged valid events, and the rejected ones."""
+def store_dims(dims: dict[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
+    """Store dimensions as ``path/<name>``; ``mode="append"`` adds rows to those that are there."""
+    for name, rows in dims.items():
+        rows.write.mode(mode).parquet(f"{path}/{name}")
+
+
+def read_dims(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The stored dimensions as they are now: called in each micro-batch, it sees rows that were added since the last."""
+    return {name: spark.read.parquet(f"{path}/{name}") for name in Q.FOREIGN_KEYS.values()}
+
+
+def upsert_first_wins(valid: DataFrame, path: str, rejects_path: str, batch_id: int, dims_path: str | None = None) -> None:
+    """Store the new sales of a batch of tagged valid events, and the rejected ones.  With ``dims_path`` rows must meet the
+    CHECK rules and have their dimensions' rows too, not the NOT NULL columns alone."""
     spark = valid.sparkSession
-    ok, bad = FA.by_contract(FA.fact_rows(valid))
+    rows = FA.fact_rows(valid)
+    ok, bad = FA.by_contract(rows) if dims_path is None else FA.by_table_contract(rows, read_dims(spark, dims_path))
     commit_once(bad, rejects_path, batch_id)
     if path_exists(spark, f"{path}/batch_id={batch_id}"):
         return  # stored before; don't read the table for it

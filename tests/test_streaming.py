@@ -19,7 +19,7 @@ def con(sf_small):
     return duck(sf_small)
 
 
-@pytest.mark.parametrize("name", ["sink_fact_upsert", "window_sliding", "sink_error_skip", "sink_agg_consumer"])
+@pytest.mark.parametrize("name", ["sink_fact_upsert", "window_sliding", "sink_error_skip", "sink_fact_contract", "sink_agg_consumer"])
 def test_stream_query_matches_oracle(spark, con, sf_small, name):
     q = SQ.STREAM_QUERIES[name]
     assert compare(spark, con, name, q.run, q.sql, sf_small, verbose=False)
@@ -50,6 +50,30 @@ def test_restart_and_replay_keep_one_row_per_sale(spark):
     assert facts.filter("total_amount = 999").count() == 0  # the first arrival, not the later copy
 
 
+def test_a_dimension_row_added_between_two_batches_is_seen(spark):
+    run = SQ.Run(spark, "test_dims")
+    run.store_dims()
+
+    def etl(start, *events):
+        T.write_batch(_events(spark, start, events), run.raw)
+        run.etl(dims=True)
+        return ({r.sale_id for r in S.read_facts(spark, run.facts).collect()},
+                [(r.sale_id, r.violations) for r in spark.read.parquet(JB.rejects_of(run.facts)).orderBy("ingest_key").collect()])
+
+    def known(n, **changes):
+        return sale(n, **{"user_id": "U-0001", "product_id": 101, "event_timestamp": f"{SQ.FK_DATE_START}T10:00:00", **changes})
+
+    first = [known(1), known(2, user_id="U-NEW"), known(3, product_id=999), known(4, total_amount=0),
+             known(5, event_timestamp="1899-01-01T00:00:00", user_id="U-NEW")]
+    facts, rejects = etl(0, *first)
+    bad = [["user_id_in_dim_user"], ["product_id_in_dim_product"], ["total_amount_positive"], ["user_id_in_dim_user", "date_id_in_dim_date"]]
+    assert len(facts) == 1 and [v for _, v in rejects] == bad
+    S.store_dims({"dim_user": spark.createDataFrame([("U-NEW", "new")], "user_id string, segment string")}, run.dims, "append")
+    facts, rejects = etl(100, known(6, user_id="U-NEW"), known(7, product_id=999))
+    assert len(facts) == 2 and [v for _, v in rejects[4:]] == [["product_id_in_dim_product"]]
+    assert len(facts) + len(rejects) == 7  # and no duplicates
+
+
 def test_the_stored_table_is_not_shuffled(spark):
     new = spark.createDataFrame([("a", 1), ("b", 2)], "sale_id string, x int")
     stored = spark.createDataFrame([("b",), ("c",), ("b",)], "sale_id string")
