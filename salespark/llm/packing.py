@@ -82,7 +82,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     """(id, chunk, start, length, bucket, batch, slot) of every sequence; bucket: its padded length; batch: the
     number of its batch in the bucket; slot: its place in the batch.  ``length``: tokens of a row, at least 1."""
     length = tokens(F.col(text_col)) if length is None else length
-    seqs = cut(sequences(df, id_col, length, F.xxhash64(F.col(text_col)), max_length))
+    # row deals repeated rows over shards; the checkpoint keeps it
+    seqs = cut(sequences(df, id_col, length, F.xxhash64(F.col(text_col)), max_length).withColumn("row", F.monotonically_increasing_id()))
     hist = seqs.groupBy("length").count().toPandas().sort_values("length")  # at most max_length rows
     lengths, counts = hist["length"].to_numpy(np.int64), hist["count"].to_numpy(np.int64)
     ends = boundaries(lengths, counts, buckets)
@@ -99,12 +100,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     for e in reversed(ends[:-1]):
         bucket = F.when(F.col("length") <= e, e).otherwise(bucket)
     dealt = seqs.withColumn("bucket", bucket).withColumn(
-        "shard", F.pmod(F.xxhash64("id", "key", "chunk"), shards.cast("long")))
+        "shard", F.pmod(F.xxhash64("id", "key", "chunk", "row"), shards.cast("long")))
     sizes = dealt.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("bucket").alias("b"), F.col("shard").alias("s"),
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    order = Window.partitionBy("bucket", "shard").orderBy("id", "key", "chunk")
+    order = Window.partitionBy("bucket", "shard").orderBy("id", "key", "chunk", "row")
     at = dealt.withColumn("no", F.row_number().over(order)).join(
         offsets, (F.col("bucket") == F.col("b")) & (F.col("shard") == F.col("s")))
     place = (F.col("offset") + F.col("no") - 1).alias("place")

@@ -106,6 +106,15 @@ def test_batches_hold_every_token_once(spark):
     assert len(ends) == 4 and sum(r.bucket - r.length for r in got) == best
 
 
+def test_repeated_rows_are_dealt_over_shards(spark):
+    d = X.docs(spark, [(1, "a b c")]).crossJoin(spark.range(500).select())
+    got = packing.pack(d, max_length=64, buckets=2, budget=16, shard_rows=10)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert any("xxhash64" in line and "row#" in line for line in plan.splitlines())
+    slots = sorted((r.batch, r.slot) for r in got.collect())
+    assert slots == [(n // 4, n % 4) for n in range(500)]
+
+
 def test_nothing_to_pack(spark):
     assert packing.pack(X.docs(spark, X.ODD).where("false")).count() == 0
 
@@ -143,5 +152,5 @@ def test_pipeline_filters_what_it_should(spark):
 def test_entry_lists_the_queries():
     import __spark_entry__ as E
     names = set(E.queries())
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
     assert set(E.oracle_sql()) <= names
