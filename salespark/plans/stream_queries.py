@@ -24,6 +24,7 @@ from salespark.sources import dims as D
 from salespark.sources import fixture as FX
 from salespark.streaming import jobs as JB
 from salespark.streaming import sinks as S
+from salespark.streaming import stateful as ST
 from salespark.streaming import topics as T
 
 STREAM_QUERIES: dict[str, Query] = {}
@@ -92,6 +93,15 @@ class Run:
         self._run(JB.start_aggregation, self.valid, self.agg, ckpt="aggregation", time_col=time_col,
                   agg_topic=self.agg_topic if with_topic else None)
 
+    def stateful_windows(self, clock: str) -> DataFrame:
+        """Windows closed by ``clock`` over the valid topic: closed, late and open together."""
+        files = len(T.read_batch(self.spark, self.valid).inputFiles())
+        events = JB.valid_from_topic(T.read_stream(self.spark, self.valid, max(1, files // BATCHES)))
+        paths = (self.agg, f"{self.agg}_late", self.ckpt(f"windows_{clock}"))
+        q = ST.start_windows(events, *paths, clock=clock)
+        (JB.run_to_end if clock == "event_time" else ST.run_to_idle)(q)
+        return ST.all_windows(self.spark, *paths)
+
     def fact_consumer(self) -> None:
         self._run(JB.start_fact_consumer, self.valid, self.consumer_facts, ckpt="fact_consumer")
 
@@ -225,6 +235,18 @@ def q_sink_agg_job(spark, sf):
     return JB.windows(spark, r.agg)
 
 
+@_register("watermark", O.windows_sql(_WINDOWS_SELECT),
+           "windows closed by the watermark: those closed, the late rows' table and those still open hold every event")
+def q_watermark(spark, sf):
+    return run_pipeline(spark, sf, "watermark").stateful_windows("event_time")
+
+
+@_register("processing_time_close", O.windows_sql(_WINDOWS_SELECT, "ingest_ts"),
+           "windows closed by the clock: a backlog is closed as it is read, what has not ended stays open")
+def q_processing_time_close(spark, sf):
+    return run_pipeline(spark, sf, "processing_time_close").stateful_windows("processing_time")
+
+
 @_register("chained_jobs", O.facts_sql("""
 SELECT value_band, CAST(sum(total_amount) AS DECIMAL(22,2)) AS revenue, count(*) AS cnt
 FROM fact_sales GROUP BY value_band"""), "job -> topic -> job chain, then the band report over the stored table")

@@ -115,12 +115,12 @@ def start_anomaly(spark: SparkSession, invalid: T.Topic, alerts_path: str, check
 
 
 def valid_from_topic(messages: DataFrame) -> DataFrame:
-    """Valid-topic JSON -> (event_ts, ingest_ts, total_value)."""
+    """Valid-topic JSON -> (event_ts, ingest_ts, ingest_key, total_value)."""
     v = J.parse("value")
-    parsed = messages.select("ingest_ts", v.alias("_v")).select(
-        "ingest_ts", J.field("_v", "event_timestamp", "string").alias("_ts_text"),
+    parsed = messages.select("ingest_ts", "ingest_key", v.alias("_v")).select(
+        "ingest_ts", "ingest_key", J.field("_v", "event_timestamp", "string").alias("_ts_text"),
         J.field("_v", "total_amount", "decimal(22,2)").alias("total_value"))
-    return parsed.select("ingest_ts", TS.ts_iso("_ts_text").alias("event_ts"), "total_value")
+    return parsed.select("ingest_ts", "ingest_key", TS.ts_iso("_ts_text").alias("event_ts"), "total_value")
 
 
 def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkpoint: str,
