@@ -29,6 +29,12 @@ ISO_TIMES = [
     r"([0-9]{2})(?:([0-9]{2})(?:([0-9]{2})(?:[.,]([0-9]+))?)?)?",
 ]
 ISO_OFFSET = r"(Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
+# All of them in one pattern.  Its groups: 1-3, 4-6 year, month, day; 7-9, 10-12 year, week, weekday; 13-16, 17-20 hour, minute,
+# second, fraction; 21 offset.
+ISO = "^(?:" + "|".join(ISO_DATES) + ")(?:(?s:.)(?:" + "|".join(ISO_TIMES) + ")" + ISO_OFFSET + r")?\z"
+# What a text is rewritten to, a part that it doesn't state being empty.
+ISO_PARTS = "$1$4-$2$5-$3$6|$7$10|$8$11|$9$12|$13$17|$14$18|$15$19|$16$20"
+ISO_OFFSET_GROUP = 21
 SQL_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -37,41 +43,23 @@ def _c(c: Column | str) -> Column:
 
 
 # The shape producers emit; Spark's own cast reads it directly.
-ISO_SIMPLE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"
-
-
-def _clock(time: str) -> str:
-    """A separator character, a time and an offset."""
-    return "(?s:.)" + time + ISO_OFFSET
-
-
-def _iso_dates(s: Column) -> Column:
-    """The date of an ISO text, NULL for an impossible one."""
-    any_clock = "(?:" + "|".join(_clock(t) for t in ISO_TIMES) + ")?$"
-    out = F.lit(None).cast("date")
-    for shape in reversed(ISO_DATES):
-        pattern = "^" + shape + any_clock
-        y, m, d = (F.regexp_extract(s, pattern, i) for i in (1, 2, 3))
-        if "W" in shape:
-            # week 1 holds January 4th; an ISO year holds its weeks' Thursdays
-            fourth = F.concat(y, F.lit("-01-04")).try_cast("date")
-            monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (m.try_cast("int") - 1) * 7)
-            day = F.date_add(monday, F.when(d == "", 0).otherwise(d.try_cast("int") - 1))
-            date = F.when(F.year(F.date_add(monday, 3)) == y.try_cast("int"), day)
-        else:
-            date = F.concat_ws("-", y, m, d).try_cast("date")
-        out = F.when(s.rlike(pattern), date).otherwise(out)
-    return out
-
-
-def _iso_clock(s: Column, group: int) -> Column:
-    """Group ``group`` (1..4: hour, minute, second, fraction; 5: offset) of an ISO text's time, '' if absent."""
-    any_date = "^(?:" + "|".join(d.replace("(", "(?:").replace("(?:?:", "(?:") for d in ISO_DATES) + ")"
-    out = F.lit("")
-    for time in reversed(ISO_TIMES):
-        pattern = any_date + _clock(time) + "$"
-        out = F.when(s.rlike(pattern), F.regexp_extract(s, pattern, group)).otherwise(out)
-    return out
+ISO_SIMPLE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+
+
+def _iso_text(parts: Column) -> Column:
+    """``ISO_PARTS`` of a text, split -> the wall clock as text that Spark's cast reads; NULL for an impossible date."""
+    date, year, week, weekday, h, m, sec, frac = (F.get(parts, F.lit(i)) for i in range(8))
+    # week 1 holds January 4th; an ISO year holds its weeks' Thursdays
+    fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week.try_cast("int") - 1) * 7)
+    of_week = F.when(F.year(F.date_add(monday, 3)) == year.try_cast("int"),
+                     F.date_add(monday, F.when(weekday == "", 0).otherwise(weekday.try_cast("int") - 1)))
+
+    def or_zero(x: Column) -> Column:
+        return F.when(x == "", "00").otherwise(x)
+
+    return F.concat(F.when(year == "", date).otherwise(of_week.cast("string")), F.lit("T"), or_zero(h), F.lit(":"), or_zero(m),
+                    F.lit(":"), or_zero(sec), F.lit("."), F.rpad(F.substr(frac, F.lit(1), F.lit(6)), 6, "0"))
 
 
 def ts_iso(s: Column | str) -> Column:
@@ -79,35 +67,38 @@ def ts_iso(s: Column | str) -> Column:
     Python would raise (bad text, empty, null, impossible dates, year 0).
 
     Pass a column, not a large expression: the text is read several times.
-    Cost per row: one regex for the common ``yyyy-MM-dd[T ]HH:mm:ss`` shape, which Spark's cast reads; only other
-    texts go through the general rules."""
+    Cost per row: one regex for the common ``yyyy-MM-dd[T ]HH:mm:ss`` shape, which Spark's cast reads; two more for any
+    other text, of which the second cuts all parts at once."""
     s = _c(s)
-    h, m, sec, frac = (_iso_clock(s, i) for i in (1, 2, 3, 4))
-
-    def or_zero(x: Column) -> Column:
-        return F.when(x == "", "00").otherwise(x)
-
-    general = F.concat(_iso_dates(s).cast("string"), F.lit("T"), or_zero(h), F.lit(":"), or_zero(m), F.lit(":"), or_zero(sec),
-                       F.lit("."), F.rpad(F.substr(frac, F.lit(1), F.lit(6)), 6, "0"))
+    # a lambda's variable is computed once, however often it is read
+    parts = F.array(F.split(F.regexp_replace(s, ISO, ISO_PARTS), "[|]", -1))
+    general = F.when(s.rlike(ISO), F.get(F.transform(parts, _iso_text), F.lit(0)))
     text = F.when(s.rlike(ISO_SIMPLE), s).otherwise(general)
     # Spark accepts year 0000, Python's datetime does not
     return F.when(~s.startswith("0000"), text.try_cast("timestamp_ntz"))
 
 
+def _offset_seconds(o: Column) -> Column:
+    digits = F.regexp_replace(o, "[.,].*|:", "")
+    east = (F.coalesce(F.substr(digits, F.lit(2), F.lit(2)).try_cast("int"), F.lit(0)) * 3600
+            + F.coalesce(F.substr(digits, F.lit(4), F.lit(2)).try_cast("int"), F.lit(0)) * 60
+            + F.coalesce(F.substr(digits, F.lit(6), F.lit(2)).try_cast("int"), F.lit(0)))
+    return F.when(o.startswith("-"), -east).otherwise(east)
+
+
 def iso_offset(s: Column | str) -> Column:
     """Seconds east of UTC that an ISO text states; 0 when it states none."""
     s = _c(s)
-    o = F.regexp_replace(_iso_clock(s, 5), "[.,].*|:", "")
-    east = (F.coalesce(F.substr(o, F.lit(2), F.lit(2)).try_cast("int"), F.lit(0)) * 3600
-            + F.coalesce(F.substr(o, F.lit(4), F.lit(2)).try_cast("int"), F.lit(0)) * 60
-            + F.coalesce(F.substr(o, F.lit(6), F.lit(2)).try_cast("int"), F.lit(0)))
-    return F.when(s.rlike(ISO_SIMPLE) | ~s.rlike(r"[Z+-]"), 0).otherwise(F.when(o.startswith("-"), -east).otherwise(east))
+    stated = F.get(F.transform(F.array(F.regexp_extract(s, ISO, ISO_OFFSET_GROUP)), _offset_seconds), F.lit(0))
+    return F.when(s.rlike(ISO_SIMPLE) | ~s.rlike(r"[+-][0-9:.,]*\z"), 0).otherwise(stated)
 
 
 def instant(wall: Column | str, text: Column | str) -> Column:
     """The UTC clock of a wall clock that ``text`` states with its offset (none: UTC already)."""
     wall, text = _c(wall), _c(text)
-    return F.when(text.rlike(ISO_SIMPLE), wall).otherwise(wall - F.make_dt_interval(secs=iso_offset(text).cast("decimal(18,6)")))
+    # a text without a sign behind its date states none, or Z
+    return F.when(text.rlike(ISO_SIMPLE) | text.endswith("Z"), wall) \
+        .otherwise(wall - F.make_dt_interval(secs=iso_offset(text).cast("decimal(18,6)")))
 
 
 # The SQL job's one pattern as a regex: the text must have exactly this shape.

@@ -67,7 +67,10 @@ class OpenWindow(StatefulProcessor):
                 yield Row(start_us=start, end_us=end, late=True, ingest_key=row.ingest_key, sale_count=1, total_revenue=row.total_value)
             count += 1
             revenue += row.total_value
-        if not closed:
+        over = not self.event_time and ends_ms <= timerValues.getCurrentProcessingTimeInMs()
+        if over:  # a backlog: nothing to wait for
+            yield Row(start_us=start, end_us=end, late=False, ingest_key=None, sale_count=count, total_revenue=revenue)
+        elif not closed:
             before = self.total.get()
             if before is None:
                 self.handle.registerTimer(ends_ms)
