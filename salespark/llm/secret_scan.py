@@ -51,6 +51,30 @@ ROUNDING = 1e-9
 SPAN = "array<struct<at:int,kind_no:int,until:int,kind:string>>"
 
 
+BLOCK = 128
+
+
+def running(values: Column, combine) -> Column:
+    """For each of an array's ints, 0 combined with all before it, in order.
+
+    An array is copied for each value that is put behind it; so each block of ``BLOCK`` values makes one of its own,
+    starting from what all blocks before it come to, and the cost stays near the number of values."""
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")),
+                           lambda k: F.slice(v, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def before(v: Column, first: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            return F.struct(combine(acc["now"], x).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
+        return F.aggregate(v, F.struct(first.alias("now"), F.array().cast("array<int>").alias("out")), step, lambda acc: acc["out"])
+
+    def within(parts: Column) -> Column:
+        totals = F.transform(parts, lambda b: F.aggregate(b, F.lit(0), combine))
+        return let(before(totals, F.lit(0)), lambda firsts: F.flatten(F.transform(parts, lambda b, k: before(b, F.get(firsts, k)))))
+
+    return F.when(F.size(values) > 0, let(values, lambda v: let(blocks(v), within))).otherwise(F.array().cast("array<int>"))
+
+
 def located(text: Column, pattern: str, group: int | None = None) -> Column:
     """array<struct(at, until, match[, value])> of a pattern's matches, in order.
 
@@ -64,15 +88,31 @@ def located(text: Column, pattern: str, group: int | None = None) -> Column:
                     lambda z: z["match"].isNotNull())  # the text after the last match has none
     found = f"struct<at:int,until:int,match:string{',value:string' if values else ''}>"
 
-    def step(acc: Column, z: Column) -> Column:
-        at = acc["at"] + z["gap"]
-        until = at + F.length(z["match"])
-        return F.struct(until.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            at.alias("at"), until.alias("until"), *(z[n].alias(n) for n in names[1:])))).alias("out"))
+    def placed(each: Column) -> Column:
+        lengths = F.transform(each, lambda z: z["gap"] + F.length(z["match"]))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{found}>").alias("out"))
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(each, start, step, lambda acc: acc["out"])) \
-        .otherwise(F.array().cast(f"array<{found}>"))
+        def place(z: Column, before: Column) -> Column:
+            at = before + z["gap"]
+            return F.struct(at.alias("at"), (at + F.length(z["match"])).alias("until"), *(z[n].alias(n) for n in names[1:]))
+        return let(running(lengths, lambda a, b: a + b), lambda starts: F.transform(each, lambda z, i: place(z, F.get(starts, i))))
+
+    return F.when(F.rlike(text, F.lit(pattern)), let(each, placed)).otherwise(F.array().cast(f"array<{found}>"))
+
+
+def uncovered(spans: Column, base: Column) -> Column:
+    """The spans that lie in no base span: in order of start, base first, none before has an end as far as theirs."""
+    def event(no: int):
+        return lambda x: F.struct(x["at"].alias("at"), F.lit(no).alias("own"), x["until"].alias("until"), x["kind_no"].alias("kind_no"),
+                                  x["kind"].alias("kind"))
+
+    def kept(events: Column) -> Column:
+        ends = F.transform(events, lambda e: F.when(e["own"] == 0, e["until"]).otherwise(0))
+        return let(running(ends, lambda a, b: F.greatest(a, b)), lambda furthest: F.filter(
+            events, lambda e, i: (e["own"] == 1) & (F.get(furthest, i) < e["until"])))
+
+    events = F.array_sort(F.concat(F.transform(base, event(0)), F.transform(spans, event(1))))
+    bare = F.transform(let(events, kept), lambda e: F.struct(*(e[n].alias(n) for n in ("at", "kind_no", "until", "kind"))))
+    return F.when(F.size(spans) > 0, bare).otherwise(F.array().cast(SPAN))
 
 
 def _spans(found: Column, no: int, kind: str) -> Column:
@@ -108,17 +148,20 @@ def hot_windows(s: Column, alphabet: str, window: int, bits: float) -> Column:
             counts = F.transform(acc["counts"], lambda c, k: c + F.when(k == enters, 1).otherwise(0)
                                  - F.when(k == leaves, 1).otherwise(0))
             hot = (i >= window - 1) & (s2 <= most)
-            at, last = i - (window - 1), F.element_at(acc["out"], -1)
-            here = F.array(F.struct(at.alias("at"), (i + 1).alias("until")))
-            out = F.when(~hot, acc["out"]).when(F.size(acc["out"]) == 0, here).when(
-                last["until"] >= at,
-                F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1),
-                         F.array(F.struct(last["at"].alias("at"), (i + 1).alias("until"))))) \
-                .otherwise(F.concat(acc["out"], here))
-            return F.struct(counts.alias("counts"), s2.alias("s"), out.cast(spans).alias("out"))
-
-        start = F.struct(blank.alias("counts"), F.lit(0.0).alias("s"), F.array().cast(spans).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), start, step, lambda acc: acc["out"])
+            at, until = i - (window - 1), i + 1
+            begins = hot & (acc["until"] < at)  # apart from the span that grows, which is put away
+            return F.struct(counts.alias("counts"), s2.alias("s"),
+                            F.when(begins, at).otherwise(acc["at"]).alias("at"),
+                            F.when(hot, until).otherwise(acc["until"]).alias("until"),
+                            F.when(begins, put_away(acc)).otherwise(acc["out"]).alias("out"))
+
+        def put_away(acc: Column) -> Column:
+            last = F.array(F.struct(acc["at"].alias("at"), acc["until"].alias("until"))).cast(spans)
+            return F.when(acc["until"] >= 0, F.concat(acc["out"], last)).otherwise(acc["out"])
+
+        start = F.struct(blank.alias("counts"), F.lit(0.0).alias("s"), F.lit(-1).alias("at"), F.lit(-1).alias("until"),
+                         F.array().cast(spans).alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), start, step, put_away)
 
     chars = F.filter(F.split(s, ""), lambda c: c != "")
     return let(F.transform(chars, lambda c: F.instr(F.lit(alphabet), c) - 1), over)
@@ -140,8 +183,7 @@ def entropy_spans(text: Column, base: Column, allow: list[str] = ALLOW) -> list[
             hot_windows(z["match"], alphabet, window, bits),
             lambda w: F.struct((z["at"] + w["at"]).alias("at"), F.lit(no).alias("kind_no"),
                                (z["at"] + w["until"]).alias("until"), F.lit(kind).alias("kind")))))
-        out.append(F.filter(spans, lambda w: ~F.exists(
-            base, lambda b: (b["at"] <= w["at"]) & (b["until"] >= w["until"]))))
+        out.append(let(spans, lambda found: uncovered(found, base)))
     return out
 
 

@@ -135,6 +135,23 @@ def test_spans_equal_brute_force(spark):
     assert len(kinds) == 5 and secret_scan.scan(d.where("false")).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    """Beyond one block of places: runs, assignments and entropy spans against brute force; the cost grows with the text."""
+    import time
+    r = random.Random(8)
+    run = lambda n, a: "".join(r.choice(a) for _ in range(n))
+    mixed = " ".join(r.choice([run(20, "0123456789abcdef"), run(40, secret_scan.CLASSES[1][1]), "token=" + run(14, "abcXYZ012"), "word"])
+                     for _ in range(600))
+    hexes = [" ".join(run(17, "0123456789abcdef") for _ in range(n)) for n in (5_000, 20_000)]
+    took = []
+    for t in (mixed, *hexes):
+        began = time.monotonic()
+        row = secret_scan.scan(X.docs(spark, [(1, t)])).select(secret_scan.written(secret_scan.F.col("spans")).alias("spans")).first()
+        took.append(time.monotonic() - began)
+        assert row.spans == ",".join(f"{k}:{a}:{b}" for a, _, b, k in brute_spans(t)[1])
+    assert took[2] < 8 * max(took[1], 1), took  # four times the text
+
+
 def test_op9_digest(spark):
     sf = "/root/testdata/sf0.001"
     texts = dict(duckdb.execute(f"select doc_id, text from '{sf}/documents.parquet'").fetchall())
