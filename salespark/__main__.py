@@ -46,7 +46,7 @@ def main(argv=None) -> None:
         if a.bootstrap:
             start = a.starting_offsets or ("latest" if a.job == "sql-etl" else "earliest")
             return T.kafka_topic(name, a.bootstrap, start, group_id=f"salespark-{a.job}")
-        return T.file_topic(name, root)
+        return T.file_topic(name, root, "sql-etl" if a.job == "sql-etl" and name == T.INVALID_TOPIC else None)
 
     trigger = {"availableNow": True} if a.once else {"processingTime": a.every}
     tables, ckpt = f"{root}/tables", f"{root}/checkpoints/{a.job}"
@@ -70,9 +70,7 @@ def main(argv=None) -> None:
         q = JB.start_alert_consumer(spark, topic(T.ALERTS_TOPIC), f"{tables}/anomaly_alerts_consumer", ckpt, **more)
     else:
         q = JB.start_agg_consumer(spark, topic(T.AGG_TOPIC), f"{tables}/agg_sales_windowed_consumer", ckpt, **more)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise SystemExit(str(q.exception()))
+    JB.run_to_end(q)
 
 
 if __name__ == "__main__":

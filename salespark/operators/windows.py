@@ -14,6 +14,9 @@ holds totals that do not fit the fact table too.  Counts and sums merge: ``merge
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,38 @@ def window_stats(valid: DataFrame, time_col: str, length: str = WINDOW_LENGTH,
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_statistics(F.col("_rev")))
 
 
+#: Windows a task combines before it passes them on.
+HELD_WINDOWS = 50_000
+
+
+def partial_rows(events: DataFrame, time_col: str, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE) -> DataFrame:
+    """Partial rows that each task has combined from its own rows, without a shuffle: what a stream in append mode can give.
+    ``merged`` adds them up.  A task holds at most ``HELD_WINDOWS`` windows and the rows of one Arrow batch."""
+    members = (events.select(F.window(time_col, length, slide).alias("w"), "total_value")
+               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                       F.lit(1).cast("long").alias("sale_count"),
+                       F.coalesce(F.col("total_value"), F.lit(0)).cast(MONEY_SUM).alias("_rev")))
+    schema = f"window_start timestamp_ntz, window_end timestamp_ntz, sale_count long, _rev {MONEY_SUM.simpleString()}"
+    return members.mapInArrow(_combine, schema).select("window_start", "window_end", *_statistics(F.col("_rev")))
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = _sums(rows if held is None else pa.concat_tables([held, rows]))
+        if held.num_rows > HELD_WINDOWS:
+            yield from held.to_batches()
+            held = None
+    if held is not None:
+        yield from held.to_batches()
+
+
+def _sums(rows: pa.Table) -> pa.Table:
+    sums = rows.group_by(["window_start", "window_end"]).aggregate([("sale_count", "sum"), ("_rev", "sum")])
+    return pa.table([sums[c] for c in ("window_start", "window_end", "sale_count_sum", "_rev_sum")], names=rows.column_names).cast(rows.schema)
+
+
 def merged(partial: DataFrame) -> DataFrame:
     """One row per window from partial rows of disjoint sets of events."""
     agg = partial.groupBy("window_start", "window_end").agg(

@@ -182,7 +182,7 @@ def q_sink_fact_contract(spark, sf):
 @_register("split_multi_sink", O.tagged_sql("""
 SELECT CASE WHEN error_reason IS NULL THEN 'valid-sales' ELSE 'invalid-sales-events' END AS topic,
        ingest_key, error_reason, value_band FROM tagged"""),
-           "one tagged stream, valid and invalid topics from one foreachBatch")
+           "one tagged stream, its rows routed to the valid and the invalid topic by one query")
 def q_split_multi_sink(spark, sf):
     r = run_pipeline(spark, sf, "split_multi_sink")
 
@@ -297,7 +297,7 @@ SELECT sale_id, user_id, product_id, CAST(ts AS DATE) AS date_id, quantity, unit
 FROM sql_src WHERE {O.SQL_OK}"""), "streaming SQL job: fact branch into the fact table (append)")
 def q_sink_jdbc_fact(spark, sf):
     r = _sql_run(spark, sf, "sink_jdbc_fact")
-    return spark.read.parquet(f"{r.root}/tables/fact_sale_sink").drop("batch_id")
+    return spark.read.parquet(f"{r.root}/tables/fact_sale_sink")
 
 
 @_register("sink_kafka_typed", O.sql_dialect(f"""

@@ -1,18 +1,17 @@
 """The three streaming jobs and the consumers, as Structured Streaming queries.
 
-Each job is ``readStream -> DataFrame transforms -> sink`` with its own
-checkpoint folder under the shared checkpoint root, so a job restarted after
-a failure resumes from its last committed micro-batch.
+Each job is ``readStream -> DataFrame transforms -> sinks``: one streaming query for each output, with a checkpoint of its own
+under the job's checkpoint folder, so a job restarted after a failure resumes each output from its last committed micro-batch.
 
-* ``start_etl``         raw topic -> tag -> valid topic, invalid topic,
-                        fact_sales and its rejects (one scan, one foreachBatch, batch cached once)
+* ``start_etl``         raw topic -> tag -> valid and invalid topic (one query, routed by row); fact_sales and its
+                        rejects (a second one)
 * ``start_anomaly``     invalid topic -> coded alerts -> anomaly_alerts, and the alert topic if given
 * ``start_aggregation`` valid topic -> 30 s / 10 s sliding windows -> partial statistics per batch, to a
                         log and to the aggregate topic; ``windows`` merges them
 * ``start_fact_consumer``, ``start_alert_consumer``, ``start_agg_consumer`` the three topic -> table consumers
 
-Every output of a micro-batch is committed once (``commit``): a replayed batch changes nothing, neither in a table nor
-for a job that has read the topic already.
+Topics and appended tables are written by Spark's file sink, whose log makes them exactly once; what needs the stored table
+or an aggregate of the micro-batch is a partition of its own per batch (``sinks.write_part``), which a replay overwrites with the same rows.
 
 ``trigger`` is ``{"availableNow": True}`` to drain what is there and stop, or
 ``{"processingTime": "60 seconds"}`` for a continuous job (the SQL job's
@@ -21,6 +20,8 @@ checkpoint interval).
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +30,53 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salespark.functions import json as J
 from salespark.functions import time as TS
+from salespark.operators import facts as FA
 from salespark.operators import quality as Q
 from salespark.operators import validate as V
 from salespark.operators import windows as W
-from salespark.schemas import AGG_SALES_WINDOWED, ALERT_COLUMNS
+from salespark.schemas import AGG_SALES_WINDOWED, ALERT_COLUMNS, FACT_SALES
 from salespark.streaming import sinks as S
 from salespark.streaming import topics as T
 
 # Bounded out-of-orderness declared by the SQL job.
 EVENT_WATERMARK = "5 seconds"
 
+DRAIN = {"availableNow": True}
+
+
+@dataclass(frozen=True)
+class Job:
+    """The streaming queries of one job, one for each output, under the names of a StreamingQuery."""
+
+    queries: tuple[StreamingQuery, ...]
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries)
+
+    def processAllAvailable(self) -> None:
+        for q in self.queries:
+            q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+    def exception(self) -> Exception | None:
+        return next((q.exception() for q in self.queries if q.exception() is not None), None)
+
+
+def run_to_end(job: Job | StreamingQuery) -> None:
+    """Wait until all queries of a job have ended (with an ``availableNow`` trigger they end by themselves).  If one fails, the
+    others are stopped and its failure is raised."""
+    job = job if isinstance(job, Job) else Job((job,))
+    while job.isActive and job.exception() is None:
+        time.sleep(0.05)
+    failed = job.exception()
+    if failed is not None:
+        job.stop()
+        raise RuntimeError(str(failed))
+
 
 def rejects_of(table_path: str) -> str:
     """Where the rows go that break a table's contract."""
@@ -53,30 +91,35 @@ class EtlOutputs:
     dims_path: str | None = None  # stored dimensions: facts must then meet the CHECK and FOREIGN KEY rules
 
 
-def etl_batch(out: EtlOutputs):
-    """The ``foreachBatch`` body of the ETL job (split + multi-sink)."""
+def routed(tagged: DataFrame, valid: T.Topic, invalid: T.Topic) -> DataFrame:
+    """Tagged events with the name of the topic each belongs to (split)."""
+    return tagged.withColumn("topic", F.when(F.col("error_reason").isNull(), valid.name).otherwise(invalid.name))
+
+
+def start_etl(spark: SparkSession, raw: T.Topic, out: EtlOutputs, checkpoint: str,
+              trigger: dict | None = None, max_per_trigger: int | None = None) -> Job:
+    """The valid and the invalid topic share their place (one folder, or the same Kafka servers): one query writes both."""
+    trigger = trigger or DRAIN
+    tagged = V.tag_events(T.read_stream(spark, raw, max_per_trigger)).drop(V.V)  # the VARIANT is not needed past the split
+    split = T.start_writer(routed(tagged, out.valid, out.invalid), out.valid, f"{checkpoint}/topics", "etl_topics", trigger, key="sale_id")
+    return Job((split, _start_facts(tagged, out.facts_path, f"{checkpoint}/facts", "etl_facts", trigger, out.dims_path)))
+
+
+def _start_facts(tagged: DataFrame, facts_path: str, checkpoint: str, name: str, trigger: dict, dims_path: str | None) -> StreamingQuery:
+    spark = tagged.sparkSession
+    S.create_table_if_not_exists(spark, facts_path, FACT_SALES)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            valid = V.valid_events(batch)
-            invalid = V.invalid_events(batch)
-            T.write_batch(valid, out.valid, batch_id, key="sale_id")
-            T.write_batch(invalid, out.invalid, batch_id, key="sale_id")
-            S.upsert_first_wins(valid, out.facts_path, rejects_of(out.facts_path), batch_id, out.dims_path)
+            S.upsert_first_wins(batch, facts_path, rejects_of(facts_path), batch_id, dims_path)
         finally:
             batch.unpersist()
-    return run
+    return _start_foreach(FA.fact_rows(V.valid_events(tagged)), run, checkpoint, name, trigger)
 
 
-def start_etl(spark: SparkSession, raw: T.Topic, out: EtlOutputs, checkpoint: str,
-              trigger: dict | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
-    tagged = V.tag_events(T.read_stream(spark, raw, max_per_trigger))
-    tagged = tagged.drop(V.V)  # the VARIANT is not needed past the split
-    q = (tagged.writeStream.queryName("etl_sales")
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True}))
-         .foreachBatch(etl_batch(out)))
-    return q.start()
+def _start_foreach(rows: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, name: str, trigger: dict) -> StreamingQuery:
+    return rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(run).start()
 
 
 def alerts_from_invalid(messages: DataFrame) -> DataFrame:
@@ -95,23 +138,16 @@ def alerts_from_invalid(messages: DataFrame) -> DataFrame:
 
 def start_anomaly(spark: SparkSession, invalid: T.Topic, alerts_path: str, checkpoint: str,
                   trigger: dict | None = None, alerts_topic: T.Topic | None = None,
-                  max_per_trigger: int | None = None) -> StreamingQuery:
+                  max_per_trigger: int | None = None) -> Job:
+    trigger = trigger or DRAIN
     alerts = alerts_from_invalid(T.read_stream(spark, invalid, max_per_trigger))
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            S.append_batch(batch, alerts_path, batch_id)
-            if alerts_topic is not None:
-                msg = batch.select(
-                    "sale_id", J.write(F.struct("sale_id", "anomaly_type", "anomaly_code", "event_timestamp"))
-                    .alias("value"), F.col("detected_at").alias("ingest_ts"),
-                    F.col("id").alias("ingest_key"))
-                T.write_batch(msg, alerts_topic, batch_id, key="sale_id")
-        finally:
-            batch.unpersist()
-    return (alerts.writeStream.queryName("anomaly_alerts").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
+    queries = [S.append_stream(alerts, alerts_path, f"{checkpoint}/table", "anomaly_alerts", trigger)]
+    if alerts_topic is not None:
+        msg = alerts.select(
+            "sale_id", J.write(F.struct("sale_id", "anomaly_type", "anomaly_code", "event_timestamp")).alias("value"),
+            F.col("detected_at").alias("ingest_ts"), F.col("id").alias("ingest_key"), F.lit(alerts_topic.name).alias("topic"))
+        queries.append(T.start_writer(msg, alerts_topic, f"{checkpoint}/topic", "anomaly_topic", trigger, key="sale_id"))
+    return Job(tuple(queries))
 
 
 def valid_from_topic(messages: DataFrame) -> DataFrame:
@@ -125,30 +161,26 @@ def valid_from_topic(messages: DataFrame) -> DataFrame:
 
 def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkpoint: str,
                       time_col: str = "ingest_ts", trigger: dict | None = None,
-                      agg_topic: T.Topic | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
+                      agg_topic: T.Topic | None = None, max_per_trigger: int | None = None) -> Job:
     """Sliding-window statistics on the arrival clock (``ingest_ts``) or the event time (``event_ts``).
 
     Each micro-batch is reduced to one partial row per window it touches, (count, sum), which is what the
-    original's accumulator holds and merges.  The partial rows are committed once per batch; a window's
+    original's accumulator holds and merges.  The partial rows are a partition of the log per batch; a window's
     statistics are the sum of its partial rows (``windows``).  No state is kept and no watermark drops a
-    late event: it becomes a partial row of its window like any other."""
+    late event: it becomes a partial row of its window like any other.  The topic, which other streams read, takes partial rows
+    that each task has combined (``W.partial_rows``): an append needs no shuffle, and the file sink makes it exactly once."""
+    trigger = trigger or DRAIN
     events = valid_from_topic(T.read_stream(spark, valid, max_per_trigger))
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        part = W.window_stats(batch, time_col).persist()
-        try:
-            S.append_batch(part, log_path, batch_id)
-            if agg_topic is not None:
-                bounds = F.struct(*[F.col(c).cast("string").alias(c) for c in ("window_start", "window_end")],
-                                  "sale_count", "total_revenue", "avg_order_value")
-                T.write_batch(part.select(
-                    J.write(bounds).alias("value"), F.col("window_end").alias("ingest_ts"),
-                    F.unix_micros(TS.ntz_to_instant("window_start")).alias("ingest_key")), agg_topic, batch_id)
-        finally:
-            part.unpersist()
-    return (events.writeStream.queryName("agg_sales_windowed")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
+    queries = [_start_foreach(events, lambda batch, batch_id: S.write_part(W.window_stats(batch, time_col), log_path, batch_id),
+                              f"{checkpoint}/log", "agg_sales_windowed", trigger)]
+    if agg_topic is not None:
+        bounds = F.struct(*[F.col(c).cast("string").alias(c) for c in ("window_start", "window_end")],
+                          "sale_count", "total_revenue", "avg_order_value")
+        msg = W.partial_rows(events, time_col).select(
+            J.write(bounds).alias("value"), F.col("window_end").alias("ingest_ts"),
+            F.unix_micros(TS.ntz_to_instant("window_start")).alias("ingest_key"), F.lit(agg_topic.name).alias("topic"))
+        queries.append(T.start_writer(msg, agg_topic, f"{checkpoint}/topic", "agg_topic", trigger))
+    return Job(tuple(queries))
 
 
 def windows(spark: SparkSession, log_path: str) -> DataFrame:
@@ -158,59 +190,43 @@ def windows(spark: SparkSession, log_path: str) -> DataFrame:
 
 def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, checkpoint: str,
                         trigger: dict | None = None, max_per_trigger: int | None = None,
-                        dims_path: str | None = None) -> StreamingQuery:
+                        dims_path: str | None = None) -> Job:
     """The fact consumer: valid topic -> fact_sales with ``ON CONFLICT
     (sale_id) DO NOTHING``, through the same sink as the ETL job (``dims_path`` as there)."""
     tagged = V.tag_events(T.read_stream(spark, valid, max_per_trigger)).drop(V.V)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            S.upsert_first_wins(V.valid_events(batch), facts_path, rejects_of(facts_path), batch_id, dims_path)
-        finally:
-            batch.unpersist()
-    return (tagged.writeStream.queryName("fact_consumer")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
+    return Job((_start_facts(tagged, facts_path, checkpoint, "fact_consumer", trigger or DRAIN, dims_path),))
 
 
 def start_sql_etl(spark: SparkSession, raw: T.Topic, facts_path: str, invalid: T.Topic,
                   checkpoint: str, trigger: dict | None = None,
                   watermark: str | None = EVENT_WATERMARK, max_per_trigger: int | None = None,
-                  jdbc: tuple[str, str, dict] | None = None) -> StreamingQuery:
+                  jdbc: tuple[str, str, dict] | None = None) -> Job:
     """The SQL ETL job as a stream: fixed-schema JSON source with the computed
     ``ts`` column (and its declared watermark, which no operator consumes),
     fact branch appended to the fact table (the JDBC table declares no key, so
     no dedup), invalid branch with the SQL reason order to a topic.  ``jdbc``: (url, table, properties) of a
-    database table that takes the facts instead of ``facts_path`` (at-least-once, as the original).  One scan
-    feeds both branches (the original ran two INSERT jobs)."""
+    database table that takes the facts instead of ``facts_path`` (at-least-once, as the original).  Two
+    queries, as the original's two INSERT jobs."""
+    trigger = trigger or DRAIN
     typed = V.parse_typed(T.read_stream(spark, raw, max_per_trigger))
     if watermark is not None:
         typed = typed.withColumn("_wm", TS.ntz_to_instant("ts")).withWatermark("_wm", watermark)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if jdbc is None:
-                S.append_batch(V.sql_facts(batch), facts_path, batch_id)
-            else:
-                S.jdbc_append(V.sql_facts(batch), *jdbc)
-            inv = batch.filter(~V.sql_ok())
-            out = inv.select(
-                J.write(F.struct("sale_id", "user_id", "product_id", "quantity", "unit_price",
-                                 "total_amount", "event_timestamp",
-                                 V.sql_reason().alias("error_reason"))).alias("value"),
-                "ingest_ts", "ingest_key", "sale_id")
-            T.write_batch(out, invalid, batch_id, key="sale_id")
-        finally:
-            batch.unpersist()
-    return (typed.writeStream.queryName("sql_etl").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
+    facts = V.sql_facts(typed)
+    if jdbc is None:
+        stored = S.append_stream(facts, facts_path, f"{checkpoint}/facts", "sql_facts", trigger)
+    else:
+        stored = _start_foreach(facts, lambda batch, _: S.jdbc_append(batch, *jdbc), f"{checkpoint}/facts", "sql_facts", trigger)
+    out = typed.filter(~V.sql_ok()).select(
+        J.write(F.struct("sale_id", "user_id", "product_id", "quantity", "unit_price",
+                         "total_amount", "event_timestamp",
+                         V.sql_reason().alias("error_reason"))).alias("value"),
+        "ingest_ts", "ingest_key", "sale_id", F.lit(invalid.name).alias("topic"))
+    return Job((stored, T.start_writer(out, invalid, f"{checkpoint}/invalid", "sql_invalid", trigger, key="sale_id")))
 
 
 def start_alert_consumer(spark: SparkSession, alerts_topic: T.Topic, table_path: str,
                          checkpoint: str, trigger: dict | None = None,
-                         max_per_trigger: int | None = None) -> StreamingQuery:
+                         max_per_trigger: int | None = None) -> Job:
     """The alert consumer: stores (sale_id, anomaly_type, event_timestamp)
     from the alert topic; the code column stays NULL; detected_at is the
     arrival clock.  Rows without a sale id or type go to the rejects."""
@@ -228,7 +244,7 @@ def start_alert_consumer(spark: SparkSession, alerts_topic: T.Topic, table_path:
 
 def start_agg_consumer(spark: SparkSession, agg_topic: T.Topic, table_path: str,
                        checkpoint: str, trigger: dict | None = None,
-                       max_per_trigger: int | None = None) -> StreamingQuery:
+                       max_per_trigger: int | None = None) -> Job:
     """The aggregate consumer: the rows of the aggregate topic stored with ``inserted_at`` =
     the micro-batch clock (``current_timestamp()`` is fixed per batch); ``windows`` gives one row per window."""
     v = J.parse("value")
@@ -241,20 +257,5 @@ def start_agg_consumer(spark: SparkSession, agg_topic: T.Topic, table_path: str,
                     checkpoint, trigger)
 
 
-def _consume(rows: DataFrame, name: str, rules: dict, table_path: str, checkpoint: str,
-             trigger: dict | None) -> StreamingQuery:
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            S.append_checked(batch, rules, table_path, rejects_of(table_path), batch_id)
-        finally:
-            batch.unpersist()
-    return (rows.writeStream.queryName(name).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).foreachBatch(run).start())
-
-
-def run_to_end(q: StreamingQuery) -> None:
-    """Wait for an ``availableNow`` query; re-raise its failure."""
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+def _consume(rows: DataFrame, name: str, rules: dict, table_path: str, checkpoint: str, trigger: dict | None) -> Job:
+    return Job(tuple(S.append_checked(rows, rules, table_path, rejects_of(table_path), checkpoint, name, trigger or DRAIN)))

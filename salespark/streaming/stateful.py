@@ -125,9 +125,9 @@ def start_windows(events: DataFrame, closed_path: str, late_path: str, checkpoin
             # most triggers of the clock close nothing; batch 0 is written even if empty, so both tables exist
             if batch_id > 0 and batch.isEmpty():
                 return
-            S.append_batch(W.merged(batch.filter("not late")), closed_path, batch_id)
-            S.append_batch(batch.filter("late").select("window_start", "window_end", "ingest_key",
-                                                       F.col("total_revenue").alias("total_value")), late_path, batch_id)
+            S.write_part(W.merged(batch.filter("not late")), closed_path, batch_id)
+            S.write_part(batch.filter("late").select("window_start", "window_end", "ingest_key",
+                                                     F.col("total_revenue").alias("total_value")), late_path, batch_id)
         finally:
             batch.unpersist()
     return (out.writeStream.queryName(f"windows_{clock}").option("checkpointLocation", checkpoint).outputMode("append")

@@ -9,7 +9,13 @@ Kafka connector is not installed here).  Both give the same message columns:
 * ``ingest_key`` arrival order used for first-arrival-wins decisions.  For Kafka it is the record's
                  time in milliseconds, then the partition, then the offset, in one number; it is
                  unique while a partition takes fewer than 65,536 records in a millisecond.  Records are
-                 written with the sale id as their key, so all copies of a sale share a partition.
+                 written with the sale id as their key, so all copies of a sale share a partition.  Partitions count
+                 modulo 64: beyond 64 of them two records of one millisecond may share a key, and first-wins falls to
+                 the columns that follow it.
+
+The file topics of one job are one folder, split by ``topic=<name>``, that one streaming query writes through Spark's file
+sink: its log in the folder lists the files of committed micro-batches, and readers of the folder, batch or stream, see
+those files only.  A replayed micro-batch is skipped by that log.
 """
 
 from __future__ import annotations
@@ -18,9 +24,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
+from pyspark.sql.streaming import StreamingQuery
 
 from salespark.schemas import TOPIC_MESSAGE
-from salespark.streaming.commit import commit_once
 
 # Topic names of the pipeline.
 RAW_TOPIC = "sales-events"
@@ -29,12 +36,16 @@ INVALID_TOPIC = "invalid-sales-events"
 ALERTS_TOPIC = "anomaly-alerts"
 AGG_TOPIC = "agg-sales-windowed"
 
+#: The job that writes each topic: its file topics share a folder.
+WRITERS = {RAW_TOPIC: "producer", VALID_TOPIC: "etl", INVALID_TOPIC: "etl", ALERTS_TOPIC: "anomaly", AGG_TOPIC: "aggregation"}
+FILE_MESSAGE = ST.StructType([*TOPIC_MESSAGE.fields, ST.StructField("topic", ST.StringType())])
+
 
 @dataclass(frozen=True)
 class Topic:
     name: str
     kind: str = "files"                 # "files" or "kafka"
-    path: str | None = None             # folder of message files (kind="files")
+    path: str | None = None             # the writing job's folder of message files (kind="files")
     bootstrap: str | None = None        # kafka bootstrap servers (kind="kafka")
     starting_offsets: str = "earliest"  # jobs: earliest; the SQL job: latest
     options: dict = field(default_factory=dict)
@@ -52,10 +63,11 @@ def read_stream(spark: SparkSession, topic: Topic, max_per_trigger: int | None =
         for k, v in topic.options.items():
             r = r.option(k, v)
         return kafka_columns(r.load())
-    r = spark.readStream.schema(TOPIC_MESSAGE)
+    create(spark, topic)
+    r = spark.readStream.schema(FILE_MESSAGE)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
-    return r.parquet(topic.path)
+    return _messages_of(r.parquet(topic.path), topic)
 
 
 def read_batch(spark: SparkSession, topic: Topic) -> DataFrame:
@@ -64,7 +76,17 @@ def read_batch(spark: SparkSession, topic: Topic) -> DataFrame:
         df = (spark.read.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap)
               .option("subscribe", topic.name).option("startingOffsets", "earliest").load())
         return kafka_columns(df)
-    return spark.read.schema(TOPIC_MESSAGE).parquet(topic.path)
+    return _messages_of(spark.read.schema(FILE_MESSAGE).parquet(topic.path), topic)
+
+
+def create(spark: SparkSession, topic: Topic) -> None:
+    """The folder of a file topic, empty, if it is not there: a reader may start before the writer."""
+    if topic.kind == "files":
+        spark.createDataFrame([], FILE_MESSAGE).write.mode("ignore").partitionBy("topic").parquet(topic.path)
+
+
+def _messages_of(files: DataFrame, topic: Topic) -> DataFrame:
+    return files.filter(F.col("topic") == topic.name).drop("topic")
 
 
 def kafka_columns(df: DataFrame) -> DataFrame:
@@ -78,28 +100,39 @@ def kafka_columns(df: DataFrame) -> DataFrame:
         "partition")
 
 
-def write_batch(messages: DataFrame, topic: Topic, batch_id: int | None = None, key: str | None = None) -> None:
-    """Append messages (``value``, ``ingest_ts``, ``ingest_key``) to a topic.
-
-    Files: the output of a micro-batch is committed once (``commit.commit_once``), so a replayed batch adds nothing, to
-    jobs that have read the topic already neither.  Kafka is at-least-once (as the original sinks): a replayed
-    batch is sent again, and readers that must count it once have to drop repeated keys.  ``key``: the
+def write_batch(messages: DataFrame, topic: Topic, key: str | None = None) -> None:
+    """Append a static frame of messages (``value``, ``ingest_ts``, ``ingest_key``) to a topic, as a producer does.  ``key``: the
     column that becomes the Kafka record's key."""
     if topic.kind == "kafka":
-        columns = ["value"] if key is None else [F.col(key).cast("string").alias("key"), "value"]
-        (messages.select(*columns).write.format("kafka")
-            .option("kafka.bootstrap.servers", topic.bootstrap)
-            .option("topic", topic.name).save())
+        (_kafka_records(messages.withColumn("topic", F.lit(topic.name)), key).write.format("kafka")
+            .option("kafka.bootstrap.servers", topic.bootstrap).save())
         return
-    out = messages.select("value", "ingest_ts", "ingest_key")
-    if batch_id is None:
-        out.write.mode("append").parquet(topic.path)
+    (messages.select("value", "ingest_ts", "ingest_key", F.lit(topic.name).alias("topic"))
+        .write.mode("append").partitionBy("topic").parquet(topic.path))
+
+
+def start_writer(messages: DataFrame, topic: Topic, checkpoint: str, query_name: str, trigger: dict, key: str | None = None) -> StreamingQuery:
+    """Write streaming messages (``value``, ``ingest_ts``, ``ingest_key`` and the name of each row's ``topic``) where ``topic`` lives:
+    its Kafka servers, or its folder of message files, which belongs to this query alone.
+
+    Files: exactly once, by the file sink's own log.  Kafka is at-least-once (as the original sinks): a replayed batch is sent
+    again, and readers that must count it once have to drop repeated keys."""
+    if topic.kind == "kafka":
+        w = (_kafka_records(messages, key).writeStream.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap))
     else:
-        commit_once(out, topic.path, batch_id)
+        w = (messages.select("value", "ingest_ts", "ingest_key", "topic").writeStream.format("parquet")
+             .partitionBy("topic").option("path", topic.path))
+    return w.queryName(query_name).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _kafka_records(messages: DataFrame, key: str | None) -> DataFrame:
+    columns = ["value", "topic"]
+    return messages.select(*columns if key is None else [F.col(key).cast("string").alias("key"), *columns])
 
 
-def file_topic(name: str, root: str) -> Topic:
-    return Topic(name=name, kind="files", path=f"{root.rstrip('/')}/topics/{name}")
+def file_topic(name: str, root: str, writer: str | None = None) -> Topic:
+    """``writer``: the job that writes it, if not the usual one."""
+    return Topic(name=name, kind="files", path=f"{root.rstrip('/')}/topics/{writer or WRITERS[name]}")
 
 
 def kafka_topic(name: str, bootstrap: str, starting_offsets: str = "earliest",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salespark.plans import stream_queries as SQ
 from salespark.plans.queries import QUERIES
+from salespark.schemas import FACT_SALES
 from salespark.streaming import jobs as JB
 from salespark.streaming import sinks as S
 from salespark.streaming import topics as T
@@ -86,12 +87,20 @@ def test_the_stored_table_is_not_shuffled(spark):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def _forget_last_commit(checkpoint):
+    """The state after a crash between a batch's output and its commit: the next start runs the batch again."""
+    import os
+    from salespark.session import local_path
+    commits = f"{local_path(checkpoint)}/commits"
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{commits}/{name}")
+
+
 def test_a_replayed_batch_changes_nothing_downstream(spark):
-    """ETL batch 0 runs again after every downstream job has read its output: nothing moves, then or later."""
-    from salespark.operators.validate import tag_events
+    """Each job's last batch runs again after every downstream job has read its output: nothing moves, then or later."""
     run = SQ.Run(spark, "test_replay")
-    batch = tag_events(_events(spark, 0, [sale(i) for i in range(7)] + [sale(quantity=0), sale(8, quantity=1.5)])).drop("_v")
-    body = JB.etl_batch(JB.EtlOutputs(run.valid, run.invalid, run.facts))
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(7)] + [sale(quantity=0), sale(8, quantity=1.5)]).coalesce(1), run.raw)
 
     def downstream():
         run.anomaly(with_topic=True)
@@ -104,32 +113,69 @@ def test_a_replayed_batch_changes_nothing_downstream(spark):
                   spark.read.parquet(JB.rejects_of(run.facts)), JB.windows(spark, run.agg), JB.windows(spark, run.consumer_agg)]
         return [sorted(map(str, t.collect())) for t in tables]
 
-    body(batch, 0)
-    first = downstream()
+    run.etl()
+    first, batches = downstream(), _batches(run.facts)
     assert [len(t) for t in first] == [7, 7, 8, 1, 1, 1, 1, 3, 3]
-    body(batch, 0)
-    assert downstream() == first and _batches(run.valid.path) == ["batch_id=0"]
-    body(tag_events(_events(spark, 50, [sale(70)])).drop("_v"), 1)
+    outputs = ["etl/topics", "etl/facts", "anomaly/table", "anomaly/topic", "aggregation/log", "aggregation/topic", "fact_consumer",
+               "alert_consumer/rows", "alert_consumer/rejects", "agg_consumer/rows", "agg_consumer/rejects"]
+    for output in outputs:
+        _forget_last_commit(run.ckpt(output))
+    run.etl()
+    assert downstream() == first and _batches(run.facts) == batches
+    T.write_batch(_events(spark, 50, [sale(70)]), run.raw)
+    run.etl()
     assert [len(t) for t in downstream()][:3] == [8, 8, 9]
 
 
 def test_a_batch_that_failed_half_way_is_completed(spark):
-    """The topics were written, the facts were not: the replay adds what is missing, and only that."""
-    from salespark.operators.validate import tag_events, valid_events
+    """The topics were written, the facts only in part: the next start adds what is missing, and only that."""
     run = SQ.Run(spark, "test_half")
-    batch = tag_events(_events(spark, 0, [sale(i) for i in range(5)])).drop("_v")
-    T.write_batch(valid_events(batch), run.valid, 0)
-    JB.etl_batch(JB.EtlOutputs(run.valid, run.invalid, run.facts))(batch, 0)
-    assert T.read_batch(spark, run.valid).count() == 5 == S.read_facts(spark, run.facts).count()
-
-
-def test_two_writers_of_a_batch_leave_one(spark):
-    from salespark.streaming.commit import commit_once, rename_new
-    path = f"{SQ.Run(spark, 'test_writers').root}/table"
-    assert commit_once(spark.range(3), path, 4) and not commit_once(spark.range(9), path, 4)
-    spark.range(9).write.parquet(f"{path}/_staged/late")
-    assert not rename_new(spark, f"{path}/_staged/late", f"{path}/batch_id=4")
-    assert spark.read.parquet(path).count() == 3
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(5)]), run.raw)
+    run.etl()
+    stored = S.read_facts(spark, run.facts)
+    before = sorted(map(str, stored.collect()))
+    last = int(_batches(run.facts)[-1].split("=")[1])
+    nothing = spark.createDataFrame([], FACT_SALES).withColumn("sale_month", F.col("date_id"))
+    S.write_part(nothing, run.facts, last, "sale_month")
+    assert S.read_facts(spark, run.facts).count() < 5
+    _forget_last_commit(run.ckpt("etl/facts"))
+    run.etl()
+    assert T.read_batch(spark, run.valid).count() == 5 and sorted(map(str, S.read_facts(spark, run.facts).collect())) == before
+
+
+def test_files_of_a_batch_that_was_not_committed_are_not_read(spark):
+    run = SQ.Run(spark, "test_uncommitted")
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(5)]), run.raw)
+    run.etl()
+    T.write_batch(_events(spark, 90, [sale(9)]), run.valid)  # what a task of a failed batch leaves in the folder
+    assert T.read_batch(spark, run.valid).count() == 5
+    run.fact_consumer()
+    assert S.read_facts(spark, run.consumer_facts).count() == 5
+
+
+def test_a_failing_output_ends_its_job(spark):
+    run = SQ.Run(spark, "test_failing")
+    T.write_batch(_events(spark, 0, [sale(1)]), run.raw)
+    out = JB.EtlOutputs(run.valid, run.invalid, run.facts, f"{run.root}/no/dims")
+    job = JB.start_etl(spark, run.raw, out, run.ckpt("etl"), trigger={"processingTime": "1 second"})
+    with pytest.raises(RuntimeError, match="no/dims"):
+        JB.run_to_end(job)
+    assert not job.isActive
+    run.etl()  # restarted with what it needs
+    assert S.read_facts(spark, run.facts).count() == 1 == T.read_batch(spark, run.valid).count()
+
+
+def test_partial_rows_of_tasks_merge_to_the_windows(spark, monkeypatch):
+    from salespark.operators import windows as W
+    monkeypatch.setattr(W, "HELD_WINDOWS", 2)
+    rows = spark.range(400, numPartitions=3).selectExpr(
+        "timestamp_ntz'2026-07-09 10:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 50) AS event_ts",
+        "if(id % 7 = 0, NULL, CAST(id AS decimal(22,2))) AS total_value")
+    want = W.window_stats(rows, "event_ts")
+    part = W.partial_rows(rows, "event_ts")
+    assert part.columns == want.columns and part.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, W.merged(part).collect())) == sorted(map(str, want.collect()))
+    assert W.partial_rows(rows.limit(0), "event_ts").count() == 0
 
 
 def test_inserted_at_is_the_clock_of_the_batch(spark):
