@@ -78,6 +78,37 @@ def run_to_end(job: Job | StreamingQuery) -> None:
         raise RuntimeError(str(failed))
 
 
+def supervise(starts: dict[str, Callable[[], Job]], until: Callable[[], bool] | None = None, restarts: int = 3,
+              every: float = 1.0) -> dict[str, int]:
+    """Run jobs together, in the order of ``starts`` (name -> function that starts it, writers of a topic before its readers).
+
+    A job of which an output fails is stopped as a whole and started again from its checkpoints, at most ``restarts`` times;
+    after that all jobs are stopped and the failure is raised.  Returns the restarts of each job when all have ended
+    (``availableNow``), or once ``until()`` is true (jobs with a processing-time trigger), and leaves none running."""
+    done = dict.fromkeys(starts, 0)
+    jobs: dict[str, Job] = {}
+    try:
+        for name, start in starts.items():
+            jobs[name] = start()
+        while any(job.isActive for job in jobs.values()) or any(job.exception() for job in jobs.values()):
+            for name, job in jobs.items():
+                failed = job.exception()
+                if failed is None:
+                    continue
+                job.stop()
+                if done[name] >= restarts:
+                    raise RuntimeError(f"{name}: {failed}")
+                done[name] += 1
+                jobs[name] = starts[name]()
+            if until is not None and until():
+                break
+            time.sleep(every)
+        return done
+    finally:
+        for job in jobs.values():
+            job.stop()
+
+
 def rejects_of(table_path: str) -> str:
     """Where the rows go that break a table's contract."""
     return f"{table_path}_rejects"

@@ -2,6 +2,10 @@
 from checkpoint without duplicates, first-arrival-wins across micro-batches,
 and the same transform on a static frame and a stream."""
 
+import argparse
+import time
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +169,43 @@ def test_a_failing_output_ends_its_job(spark):
     assert S.read_facts(spark, run.facts).count() == 1 == T.read_batch(spark, run.valid).count()
 
 
+def test_jobs_run_together_and_a_failed_one_is_restarted(spark, monkeypatch):
+    """All jobs with a processing-time trigger; the fact sink fails once in the middle of a batch."""
+    from salespark import __main__ as cli
+    run = SQ.Run(spark, "test_together")
+    T.write_batch(_events(spark, 0, [sale(i) for i in range(6)] + [sale(quantity=0)]).coalesce(1), run.raw)
+    write, failures = S.write_part, []
+
+    def fails_once(df, path, batch_id, partition_by=None):
+        if partition_by and not failures:
+            failures.append(path)
+            raise OSError("lost while writing")
+        write(df, path, batch_id, partition_by)
+    monkeypatch.setattr(S, "write_part", fails_once)
+    facts, alerts, consumed = (f"{run.root}/tables/{t}" for t in ("fact_sales", "anomaly_alerts_consumer", "fact_sales_consumer"))
+
+    def complete():
+        try:
+            return [S.read_facts(spark, facts).count(), spark.read.parquet(alerts).count(), S.read_facts(spark, consumed).count()] == [6, 1, 6]
+        except Exception:  # a table is not there yet
+            return False
+    args = argparse.Namespace(bootstrap=None, once=False, every="1 second", max_per_trigger=None, time="event_ts")
+    jobs = ("etl", "anomaly", "fact-consumer", "alert-consumer")
+    deadline = time.monotonic() + 120
+    done = JB.supervise({j: partial(cli.start, spark, j, args, run.root) for j in jobs}, lambda: complete() or time.monotonic() > deadline)
+    assert complete() and sum(done.values()) == len(failures) == 1
+    assert not spark.streams.active
+
+
+def test_a_job_that_keeps_failing_stops_all(spark):
+    run = SQ.Run(spark, "test_keeps_failing")
+    T.write_batch(_events(spark, 0, [sale(1)]).coalesce(1), run.raw)
+    out = JB.EtlOutputs(run.valid, run.invalid, run.facts, f"{run.root}/no/dims")
+    with pytest.raises(RuntimeError, match="etl: .*"):
+        JB.supervise({"etl": lambda: JB.start_etl(spark, run.raw, out, run.ckpt("etl"), {"processingTime": "1 second"})}, restarts=1)
+    assert not spark.streams.active
+
+
 def test_partial_rows_of_tasks_merge_to_the_windows(spark, monkeypatch):
     from salespark.operators import windows as W
     monkeypatch.setattr(W, "HELD_WINDOWS", 2)
