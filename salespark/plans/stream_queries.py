@@ -224,7 +224,7 @@ _WINDOWS_SELECT = f"SELECT {', '.join(WINDOW_OUT)} FROM agg_sales_windowed"
 def q_window_sliding(spark, sf):
     r = run_pipeline(spark, sf, "window_sliding")
     r.aggregation("event_ts")
-    return JB.windows(spark, r.agg)
+    return JB.log_windows(spark, r.agg)
 
 
 @_register("sink_agg_job", O.windows_sql(_WINDOWS_SELECT, "ingest_ts"),
@@ -232,7 +232,7 @@ def q_window_sliding(spark, sf):
 def q_sink_agg_job(spark, sf):
     r = run_pipeline(spark, sf, "sink_agg_job")
     r.aggregation()
-    return JB.windows(spark, r.agg)
+    return JB.log_windows(spark, r.agg)
 
 
 @_register("watermark", O.windows_sql(_WINDOWS_SELECT),
@@ -269,7 +269,7 @@ def q_src_table_scan(spark, sf):
     money = "decimal(22,2)"
     facts = R.revenue_by_minute(S.read_facts(spark, r.facts)).select(F.lit("revenue").alias("panel"), "time", F.col("revenue").cast(money).alias("amount"))
     alerts = R.anomalies_by_minute(spark.read.parquet(r.alerts)).select(F.lit("anomalies"), "time", F.col("anomalies").cast(money))
-    window = R.latest_window(JB.windows(spark, r.agg)).select(F.lit("latest_window"), "window_end", "total_revenue")
+    window = R.latest_window(JB.log_windows(spark, r.agg)).select(F.lit("latest_window"), "window_end", "total_revenue")
     return facts.union(alerts).union(window)
 
 

@@ -7,7 +7,7 @@ under the job's checkpoint folder, so a job restarted after a failure resumes ea
                         rejects (a second one)
 * ``start_anomaly``     invalid topic -> coded alerts -> anomaly_alerts, and the alert topic if given
 * ``start_aggregation`` valid topic -> 30 s / 10 s sliding windows -> partial statistics per batch, to a
-                        log and to the aggregate topic; ``windows`` merges them
+                        log and to the aggregate topic; ``log_windows`` merges them, ``compact_windows`` keeps the log short
 * ``start_fact_consumer``, ``start_alert_consumer``, ``start_agg_consumer`` the three topic -> table consumers
 
 Topics and appended tables are written by Spark's file sink, whose log makes them exactly once; what needs the stored table
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from salespark.functions import json as J
 from salespark.functions import time as TS
@@ -197,10 +198,12 @@ def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkp
 
     Each micro-batch is reduced to one partial row per window it touches, (count, sum), which is what the
     original's accumulator holds and merges.  The partial rows are a partition of the log per batch; a window's
-    statistics are the sum of its partial rows (``windows``).  No state is kept and no watermark drops a
+    statistics are the sum of its partial rows (``log_windows``).  No state is kept and no watermark drops a
     late event: it becomes a partial row of its window like any other.  The topic, which other streams read, takes partial rows
     that each task has combined (``W.partial_rows``): an append needs no shuffle, and the file sink makes it exactly once."""
     trigger = trigger or DRAIN
+    S.create_table_if_not_exists(spark, generations_of(log_path), GENERATION)
+    S.create_table_if_not_exists(spark, compacted_of(log_path), StructType([*AGG_SALES_WINDOWED.fields, StructField("upto", LongType())]), ["upto"])
     events = valid_from_topic(T.read_stream(spark, valid, max_per_trigger))
     queries = [_start_foreach(events, lambda batch, batch_id: S.write_part(W.window_stats(batch, time_col), log_path, batch_id),
                               f"{checkpoint}/log", "agg_sales_windowed", trigger)]
@@ -214,9 +217,62 @@ def start_aggregation(spark: SparkSession, valid: T.Topic, log_path: str, checkp
     return Job(tuple(queries))
 
 
-def windows(spark: SparkSession, log_path: str) -> DataFrame:
-    """agg_sales_windowed: one row per window, the sum of its partial rows."""
-    return W.merged(spark.read.schema(AGG_SALES_WINDOWED).parquet(log_path))
+def windows(spark: SparkSession, table_path: str) -> DataFrame:
+    """agg_sales_windowed as a consumer stored it: one row per window, the sum of its partial rows."""
+    return W.merged(spark.read.schema(AGG_SALES_WINDOWED).parquet(table_path))
+
+
+GENERATION = "upto long"
+
+
+def compacted_of(log_path: str) -> str:
+    """Where the merged rows of all batches up to ``upto`` are."""
+    return f"{log_path}_compacted"
+
+
+def generations_of(log_path: str) -> str:
+    """The table of complete generations: one row each, appended when the generation has been written."""
+    return f"{log_path}_generations"
+
+
+def _generation(spark: SparkSession, log_path: str) -> int:
+    """The batch that the latest complete generation goes up to; -1 if there is none."""
+    upto = spark.read.schema(GENERATION).parquet(generations_of(log_path)).agg(F.max("upto")).first()[0]
+    return -1 if upto is None else upto
+
+
+def _parts(spark: SparkSession, path: str, column: str) -> DataFrame:
+    return spark.read.schema(StructType([*AGG_SALES_WINDOWED.fields, StructField(column, LongType())])).parquet(path)
+
+
+def _log_rows(spark: SparkSession, log_path: str) -> DataFrame:
+    """The latest complete generation and the log's batches after it (folders before it are pruned, not read)."""
+    upto = _generation(spark, log_path)
+    merged = _parts(spark, compacted_of(log_path), "upto").filter(F.col("upto") == upto).drop("upto")
+    later = _parts(spark, log_path, "batch_id").filter(F.col("batch_id") > upto)
+    return merged.withColumn("batch_id", F.lit(upto)).unionByName(later)
+
+
+def log_windows(spark: SparkSession, log_path: str) -> DataFrame:
+    """agg_sales_windowed from the aggregation job's log: one row per window, the sum of its partial rows."""
+    return W.merged(_log_rows(spark, log_path))
+
+
+def compact_windows(spark: SparkSession, log_path: str) -> int | None:
+    """Maintenance beside the running job: merge the log's partial rows, up to the batch before the last, into a new generation, and
+    return that batch's number (None: there is nothing to merge).  Readers see the old generation and all batches after it until the
+    new one's row is appended, and the same windows before and after; a run that fails half way leaves files that nobody
+    reads and the next run overwrites.  The last batch stays out because it may still be running.  The merged
+    folders of the log can be dropped once no reader that started earlier is left."""
+    rows = _log_rows(spark, log_path)
+    last = _parts(spark, log_path, "batch_id").agg(F.max("batch_id")).first()[0]
+    upto = -1 if last is None else last - 1
+    if upto <= _generation(spark, log_path):
+        return None
+    merged = W.merged(rows.filter(F.col("batch_id") <= upto))
+    merged.hint("rebalance").write.mode("overwrite").parquet(f"{compacted_of(log_path)}/upto={upto}")
+    spark.createDataFrame([(upto,)], GENERATION).coalesce(1).write.mode("append").parquet(generations_of(log_path))
+    return upto
 
 
 def start_fact_consumer(spark: SparkSession, valid: T.Topic, facts_path: str, checkpoint: str,
