@@ -120,3 +120,30 @@ def test_a_backlog_is_closed_as_it_is_read(spark):
         job.add(*seconds)
         job.drain()
     job.check_whole("ingest_ts")
+
+
+def test_windows_of_one_day_share_a_state(spark):
+    """The state store is asked once for each span a batch touches, not once for each window: the timers follow."""
+    job = Job(spark, "test_span")
+    job.add(*range(0, 3600, 7))
+    job.drain()
+    state = spark.read.format("statestore").option("path", job.paths[2]).option("stateVarName", "open").load()
+    assert state.count() <= ST.SHARDS
+    job.add(1805)
+    job.drain()
+    job.add(3700, 3590)  # the watermark is 3590 s here: all windows before it are over
+    job.drain()
+    job.add(3701)
+    job.drain()
+    job.check_whole()
+    assert len(job.closed()) > 300
+    left = {(r.window_start.second + 60 * r.window_start.minute) for r in ST.open_windows(spark, job.paths[2]).collect()}
+    assert left and min(left) >= 40
+
+
+def test_a_table_is_made_once_for_a_schema_in_ddl(spark):
+    from salespark.session import work_dir
+    from salespark.streaming.sinks import create_table_if_not_exists
+    path = work_dir(spark, "made_once")
+    assert [create_table_if_not_exists(spark, path, "upto long") for _ in range(2)] == [True, False]
+    assert spark.read.parquet(path).columns == ["upto"]
