@@ -141,3 +141,20 @@ def test_valid_sales_that_do_not_fit_are_rejected_with_their_rules(spark):
     assert {r.ingest_key: r.violations for r in bad.collect()} == {i: v for i, (_, v) in enumerate(UNFIT) if v}
     assert [r.ingest_key for r in ok.orderBy("ingest_key").collect()] == [i for i, (_, v) in enumerate(UNFIT) if not v]
     assert ok.filter("ingest_key = 7").first().quantity == 2
+
+
+def test_wide_stages_are_compiled_in_any_session(spark, sf_small):
+    """A session without the project's settings runs the jobs' stages as code that the JVM compiles."""
+    from salespark.session import work_dir
+    from salespark.sources.fixture import raw_messages
+    from salespark.streaming import topics as T
+    key = "spark.sql.codegen.hugeMethodLimit"
+    topic = T.file_topic(T.RAW_TOPIC, work_dir(spark, "test_compiled"))
+    before = spark.conf.get(key)
+    try:
+        for use in (lambda: V.tag_events(messages(spark, [sale()])), lambda: raw_messages(spark, sf_small), lambda: T.read_stream(spark, topic)):
+            spark.conf.unset(key)
+            use()
+            assert spark.conf.get(key) == "8000"
+    finally:
+        spark.conf.set(key, before)
