@@ -52,6 +52,26 @@ def as_type(value: Column, as_type: str) -> Column:
     return F.try_variant_get(value, "$", as_type)
 
 
+def text_of(value: Column) -> Column:
+    """The JSON text of a VARIANT value; NULL: absent."""
+    return F.to_json(value)
+
+
+def read(value: Column, text: Column, as_type: str) -> Column:
+    """``as_type(value, as_type)`` with the value's ``text_of`` at hand, as a string, int, double or decimal.
+
+    ``try_variant_get`` builds a cast anew for every row.  A string without escapes, and a number without an exponent,
+    are read off their text, which gives the same value for a small part of that; all others go the long way.  Pass
+    ``text`` as a column: it is read several times."""
+    long_way = F.try_variant_get(value, "$", as_type)
+    if as_type == "string":
+        plain = text.startswith('"') & ~text.contains("\\")
+        return F.when(plain, F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(long_way)
+    k = F.schema_of_variant(value)
+    plain = k == "BIGINT" if as_type == "int" else (k == "BIGINT") | k.startswith("DECIMAL")
+    return F.when(plain, text.try_cast(as_type)).otherwise(long_way)
+
+
 def has_key(v: Column | str, key: str) -> Column:
     """``key in event`` -- true also when the value is JSON null."""
     return field(v, key).isNotNull()
@@ -102,6 +122,20 @@ def merge(base: Column, new: Column, new_keys: list[str]) -> Column:
     return F.map_concat(keep, new)
 
 
+def extend(text: Column, v: Column | str, new: dict[str, Column], known: Column) -> Column:
+    """JSON text of ``merge`` of the object ``v``, whose ``text_of`` is ``text``, and the columns ``new`` by their keys.  ``known``: whether
+    ``v`` has one of those keys already.
+
+    If it has none, and no escapes, the new keys are put behind its own, in the order of their names, as in a VARIANT; else the
+    two are merged as maps."""
+    merged = write(merge(as_map(v), struct_as_map(*[c.alias(k) for k, c in new.items()]), list(new)))
+    more = write(F.struct(*[new[k].alias(k) for k in sorted(new)]))
+    # bytes are cut in no time, characters have to be counted first
+    joined = F.concat(F.substr(text.cast("binary"), F.lit(1), F.octet_length(text) - 1), F.lit(",").cast("binary"),
+                      F.substr(more.cast("binary"), F.lit(2), F.octet_length(more) - 1)).cast("string")
+    return F.when(known | (text == "{}") | text.contains("\\"), merged).otherwise(joined)
+
+
 def write(obj: Column) -> Column:
     """Object -> JSON text; null values are written (as Python does)."""
     return F.to_json(obj, {"ignoreNullFields": "false"})

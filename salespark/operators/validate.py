@@ -75,20 +75,29 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
     typed_as = {"sale_id": "string", "user_id": "string", "product_id": "int",
                 "quantity": "int", "unit_price": "decimal(10,2)",
                 "total_amount": "decimal(12,2)", "event_timestamp": "string"}
-    df = df.select(*extra, "_text", V, J.fields(v, RAW_FIELDS).alias("_e"))
-    e = {k: F.col(f"_e.{k}") for k in RAW_FIELDS}
+    numbers = ("product_id", "quantity", "unit_price", "total_amount")
+    df = df.select(*extra, "_text", V, J.fields(v, (*RAW_FIELDS, *ENRICH_FIELDS, "error_reason")).alias("_e"))
+    # the text of each value is a column of its own: ``J.read`` reads it several times
+    df = df.select(*extra, "_text", V, "_e", *[J.text_of(F.col(f"_e.{k}")).alias(f"_j_{k}") for k in RAW_FIELDS])
+
+    def read(k: str, as_type: str) -> Column:
+        return J.read(F.col(f"_e.{k}"), F.col(f"_j_{k}"), as_type)
+
     df = df.select(
         *extra, "_text", V,
         J.is_object(F.col("_text"), v).alias("_is_obj"),
-        *[e[k].isNotNull().alias(f"_has_{k}") for k in RAW_FIELDS],
-        *[J.as_type(e[k], t).alias(f"_f_{k}") for k, t in typed_as.items()],
-        *[J.as_type(e[k], "double").alias(f"_d_{k}") for k in ("product_id", "quantity", "unit_price", "total_amount")],
-        *[J.type_is_number(e[k]).alias(f"_n_{k}") for k in ("quantity", "unit_price", "total_amount")],
-        J.as_type(e["total_amount"], "decimal(22,2)").alias("_total_value"),
-        # the timestamp text is a column of its own: ts_iso reads it several times
-        F.when(F.schema_of_variant(e["event_timestamp"]) == "STRING", J.as_type(e["event_timestamp"], "string"))
-         .alias("_ts_text"))
-    df = df.withColumn("event_ts", TS.ts_iso("_ts_text"))
+        *[F.col(f"_e.{k}").isNotNull().alias(f"_has_{k}") for k in RAW_FIELDS],
+        *[read(k, t).alias(f"_f_{k}") for k, t in typed_as.items() if k != "total_amount"],
+        *[read(k, "double").alias(f"_d_{k}") for k in numbers],
+        *[J.type_is_number(F.col(f"_e.{k}")).alias(f"_n_{k}") for k in numbers[1:]],
+        read("total_amount", "decimal(22,2)").alias("_total_value"),
+        F.col("_j_event_timestamp").startswith('"').alias("_s_event_timestamp"),
+        F.coalesce(*[F.col(f"_e.{k}") for k in ENRICH_FIELDS]).isNotNull().alias("_has_enrichment"),
+        F.col("_e.error_reason").isNotNull().alias("_has_reason"))
+    # the timestamp text is a column of its own: ts_iso reads it several times
+    df = df.withColumn("_ts_text", F.when(F.col("_s_event_timestamp"), F.col("_f_event_timestamp")))
+    df = df.withColumn("_f_total_amount", F.col("_total_value").try_cast(typed_as["total_amount"]))
+    df = df.withColumn("event_ts", TS.ts_iso("_ts_text")).withColumn("_json", J.text_of(v))
 
     def has(k: str) -> Column:
         return F.col(f"_has_{k}")
@@ -136,9 +145,9 @@ def tag_events(messages: DataFrame, text_col: str = "value") -> DataFrame:
         F.when(valid, F.hour(ts)).alias("sale_hour"),
         F.when(valid, F.minute(ts)).alias("sale_minute"),
         F.when(valid, TS.day_name(ts)).alias("day_of_week"),
-        V, "_text",
+        V, "_text", "_json", "_has_enrichment", "_has_reason",
     )
-    return df.withColumn("value", _payload()).drop("_text")
+    return df.withColumn("value", _payload()).drop("_text", "_json", "_has_enrichment", "_has_reason")
 
 
 _OBSERVATIONS = itertools.count()
@@ -175,13 +184,12 @@ def _payload() -> Column:
         F.lit("event_timestamp"), get_default("event_timestamp", '"N/A"'),
         F.lit("error_reason"), J.variant_lit('"missing_field"'),
     )
-    enrich = J.struct_as_map(*[F.col(c) for c in ENRICH_FIELDS])
-    tagged = J.struct_as_map(reason.alias("error_reason"))
-    base = J.as_map(v)
-    record = J.write(
-        F.when(reason.isNull(), J.merge(base, enrich, list(ENRICH_FIELDS)))
-         .when(reason == MISSING_FIELD, rebuilt)
-         .otherwise(J.merge(base, tagged, ["error_reason"])))
+    text = F.col("_json")
+    enrich = {c: F.col(c) for c in ENRICH_FIELDS}
+    record = (
+        F.when(reason.isNull(), J.extend(text, v, enrich, F.col("_has_enrichment")))
+         .when(reason == MISSING_FIELD, J.write(rebuilt))
+         .otherwise(J.extend(text, v, {"error_reason": reason}, F.col("_has_reason"))))
     # a dead letter keeps the original text untouched
     dead = F.to_json(F.struct(F.col("_text").alias("raw"), reason.alias("error_reason")))
     return F.when(reason == MALFORMED, dead).otherwise(record)

@@ -19,7 +19,7 @@ from salespark.operators import reports as R
 from salespark.plans import oracle as O
 from salespark.plans.queries import FACT_OUT, FACT_OUT_SQL, FK_DATE_END, FK_DATE_START, Query
 from salespark.schemas import TOPIC_MESSAGE
-from salespark.session import work_dir
+from salespark.session import open_files, work_dir
 from salespark.sources import dims as D
 from salespark.sources import fixture as FX
 from salespark.streaming import jobs as JB
@@ -69,6 +69,7 @@ class Run:
         part = FX.raw_messages(self.spark, sf).withColumn(
             "part", F.least(F.floor(F.col("ingest_key") / ((1 << 60) / batches)), F.lit(batches - 1)))
         staged = f"{self.root}/staged"
+        open_files(self.spark)
         part.write.partitionBy("part").parquet(staged)
         for k in range(batches):
             T.write_batch(self.spark.read.schema(TOPIC_MESSAGE).parquet(f"{staged}/part={k}"), self.raw)

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.task.maxFailures": "4",
     # see ``compiled``
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # see ``open_files``
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # JSON objects with a repeated key parse with the last value (as json.loads)
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -80,6 +82,13 @@ def compiled(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"])
 
 
+def open_files(spark: SparkSession) -> None:
+    """Let a task that deals rows over a few folders (topics, parts, months) keep a file open in each, not sort the rows by folder
+    first; beyond this many folders it sorts.  Streaming queries take the setting with them when they start."""
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(conf, DEFAULT_CONF[conf])
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as ST
 from pyspark.sql.streaming import StreamingQuery
 
 from salespark.schemas import TOPIC_MESSAGE
-from salespark.session import compiled
+from salespark.session import compiled, open_files
 
 # Topic names of the pipeline.
 RAW_TOPIC = "sales-events"
@@ -109,6 +109,7 @@ def write_batch(messages: DataFrame, topic: Topic, key: str | None = None) -> No
         (_kafka_records(messages.withColumn("topic", F.lit(topic.name)), key).write.format("kafka")
             .option("kafka.bootstrap.servers", topic.bootstrap).save())
         return
+    open_files(messages.sparkSession)
     (messages.select("value", "ingest_ts", "ingest_key", F.lit(topic.name).alias("topic"))
         .write.mode("append").partitionBy("topic").parquet(topic.path))
 
@@ -122,6 +123,7 @@ def start_writer(messages: DataFrame, topic: Topic, checkpoint: str, query_name:
     if topic.kind == "kafka":
         w = (_kafka_records(messages, key).writeStream.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap))
     else:
+        open_files(messages.sparkSession)
         w = (messages.select("value", "ingest_ts", "ingest_key", "topic").writeStream.format("parquet")
              .partitionBy("topic").option("path", topic.path))
     return w.queryName(query_name).option("checkpointLocation", checkpoint).trigger(**trigger).start()
