@@ -275,3 +275,57 @@ def test_small_edits_are_found_in_lines_of_any_length(spark):
     want = {i: min(j for j in range(len(docs)) if comp[j] == comp[i]) for i in range(len(docs))}
     got = {x.doc: x["class"].doc for x in linededup.classes(X.docs(spark, docs)).collect()}
     assert got == want and len(links) >= len(base)
+
+
+def test_counted_characters_bound_the_edit_distance(spark):
+    r = random.Random(21)
+    pairs = [("".join(r.choice("aeo. tz\u6f22") for _ in range(r.randint(0, 30))), "".join(r.choice("aeo. tz\u6f22") for _ in range(r.randint(0, 30))))
+             for _ in range(200)] + [("e" * 300, "e" * 200), ("eeee", "tttt")]
+    d = spark.createDataFrame(pairs, "x string, y string")
+    named = d.select("x", "y", *(c.alias(f"{p}{n}") for p, t in (("a_", "x"), ("b_", "y")) for n, c in zip(linededup.COUNTS, linededup.counts(F.col(t)))))
+    got = named.select("x", "y", linededup.fewest_edits("a_", "b_").alias("n")).collect()
+    assert all(g.n <= lev(g.x, g.y) for g in got) and got[-1].n == 4 and sum(g.n > 0 for g in got) > 150
+
+
+def crowd():
+    """Lines of one key: several groups of near copies, and lines on their own."""
+    r = random.Random(31)
+    common = X.prose(900, 30).split()
+    docs = []
+    for g in range(6):
+        own = [w if r.random() < 0.5 else w + "q" * 12 for w in common]
+        for k in range(12 if g < 4 else 1):
+            w = list(own)
+            w[r.randrange(len(w))] += "x"
+            docs.append((len(docs), " ".join(w)))
+    return docs
+
+
+def test_parts_of_a_crowded_key_meet_without_all_pairs(spark):
+    rows = [(1, i, 0x0101 * (1 + i % 3), 40, i % 5) for i in range(500)] + [(2, 7, 1, 40, 2), (2, 8, 1, 40, 2)]
+    near = spark.createDataFrame([(*x, None, None, None) for x in rows], "key long, line long, fp long, size int, part long, c0 long, c1 long, c2 long")
+    got = linededup.between_parts(near).collect()
+    part = {line: p for _, line, _, _, p in rows}
+    assert got and len(got) <= 2 * 8 * 3 * 5 and all(part[x.a] != part[x.b] and x.a < x.b for x in got)
+
+
+def test_classes_of_a_crowded_key_equal_brute_force(spark, monkeypatch):
+    seen = []
+    real = linededup.between_parts
+    monkeypatch.setattr(linededup, "between_parts", lambda near: seen.append(near.count()) or real(near))
+    docs = crowd()
+    want, links = brute_lines(docs)
+    got = linededup.classes(X.docs(spark, docs)).collect()
+    assert {(r.doc, r.line_no): (r["class"].doc, r["class"].line_no) for r in got} == want and links > 100 and seen
+
+
+def test_components_of_few_edges_need_no_shuffle(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    plans = []
+    real = graph.cut
+    try:
+        graph.cut = lambda df, rows=None: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, rows)
+        out = graph._stars(graph._stars(edges, True, 40), False, 40)
+    finally:
+        graph.cut = real
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans) and out.count() > 0
