@@ -186,8 +186,7 @@ def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Colu
 
     got = d.where(keep).mapInArrow(counted, "h long, lang string, ids binary, counts binary") \
         .orderBy("h", "lang", "counts").limit(2 * rows).collect()
-    return [(r["lang"], np.frombuffer(r["ids"], np.uint16).astype(np.int64),
-             np.frombuffer(r["counts"], np.uint32).astype(np.int64)) for r in got]
+    return [(r["lang"], np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in got]
 
 
 def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

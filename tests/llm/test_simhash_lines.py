@@ -329,3 +329,19 @@ def test_components_of_few_edges_need_no_shuffle(spark):
     finally:
         graph.cut = real
     assert len(plans) == 2 and not any("Exchange" in p for p in plans) and out.count() > 0
+
+
+def test_components_let_go_of_each_round(spark, monkeypatch):
+    called = []
+    monkeypatch.setattr(graph, "let_go", lambda s: called.append(s))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r.component for r in graph.components(edges).collect()} == {0} and called
+
+
+def test_size_of_components_does_not_grow_with_the_rounds(spark, monkeypatch):
+    """Spark's estimate, a product for each join, had four times the digits after each round: it alone filled the driver's memory."""
+    monkeypatch.setattr(graph, "FILE_ROWS", 10)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    part = graph.components(edges)
+    assert part.groupBy("component").count().collect() == [(0, 61)]
+    assert part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 200
