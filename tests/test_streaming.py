@@ -356,3 +356,18 @@ def test_cli_runs_the_jobs_once(spark):
     assert S.read_facts(spark, f"{run.root}/tables/fact_sales_consumer").count() == 1
     assert JB.windows(spark, f"{run.root}/tables/agg_sales_windowed_consumer").count() == 3
     assert spark.read.parquet(f"{run.root}/tables/anomaly_alerts").first().anomaly_code == 3
+
+
+def test_raw_topic_is_stored_once(spark, sf_small):
+    """No second copy of the messages is left or made: the run's folder holds the topic alone."""
+    import os
+
+    from salespark.plans import stream_queries as SQ
+    from salespark.session import local_path
+    from salespark.streaming import topics as T
+    r = SQ.Run(spark, "test_stored_once")
+    r.produce(sf_small)
+    assert os.listdir(local_path(r.root)) == ["topics"]
+    files = T.read_batch(spark, r.raw).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert T.read_batch(spark, r.raw).count() == spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
