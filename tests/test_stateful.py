@@ -141,6 +141,43 @@ def test_windows_of_one_day_share_a_state(spark):
     assert left and min(left) >= 40
 
 
+def test_days_share_a_state_and_money_is_exact(spark):
+    job = Job(spark, "test_days")
+    job.add(*range(0, 10 * 86_400, 7_200), total="-99999999999999999.99")
+    job.drain()
+    state = spark.read.format("statestore").option("path", job.paths[2]).option("stateVarName", "open").load()
+    assert state.count() <= 2 * ST.SHARDS
+    job.add(20, 21, 10 * 86_400, total="12345678901234567890.12")
+    job.drain()
+    job.check_whole()
+
+
+def test_memberships_are_packed_by_key():
+    import numpy as np
+    import pyarrow as pa
+    n = 3 * ST.PACK_ROWS
+    columns = [np.arange(n) % 2, np.zeros(n), np.arange(n), np.arange(n) + 30, np.arange(n), np.full(n, 7), np.full(n, -3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], list("abcdefg"))
+    (got,) = ST._pack(iter([batch]))
+    assert got.column("span").to_pylist() == [0, 0, 1, 1] and set(got.column("shard").to_pylist()) == {0}
+    packed = pa.RecordBatch.from_arrays([pa.array([False] * 4), got.column("packed")], ["late", "packed"])
+    rows = [r for b in ST._unpack(iter([packed])) for r in b.to_pylist()]
+    assert len(rows) == n and {r["start_us"] for r in rows} == set(range(n)) and all((r["high"], r["low"]) == (7, -3) for r in rows)
+
+
+def test_a_late_row_without_a_key(spark):
+    job = Job(spark, "test_no_key")
+    job.add(20)
+    job.drain()
+    job.add(100)
+    job.drain()
+    spark.sql("SELECT CAST(NULL AS BIGINT) AS ingest_key, TIMESTAMP_NTZ '2026-07-09 10:00:21' AS event_ts, TIMESTAMP_NTZ '2026-07-09 10:00:21' AS ingest_ts, "
+              "CAST(1 AS DECIMAL(22,2)) AS total_value").coalesce(1).write.mode("append").parquet(f"{job.root}/rows")
+    job.drain()
+    assert [r.ingest_key for r in ST.late_rows(spark, job.paths[1]).collect()] == [None] * 3
+    job.check_whole()
+
+
 def test_a_table_is_made_once_for_a_schema_in_ddl(spark):
     from salespark.session import work_dir
     from salespark.streaming.sinks import create_table_if_not_exists
